@@ -64,7 +64,7 @@ def read_online(spark: SparkSession, view: FeatureView, paths, as_of=None) -> Da
     at = F.current_timestamp() if as_of is None else _moment(as_of)
     rows = _read_batches(spark, paths)
     current = latest_by_key(rows, view.entity, (*view.recency, "_table", "batch_id"))
-    return current.where(at < F.col("expires_at")).drop("_table", "batch_id")
+    return current.where(at < F.col("expires_at")).drop("_table")
 
 
 def compact_online(spark: SparkSession, view: FeatureView, paths, target: str, as_of=None) -> None:
@@ -72,7 +72,7 @@ def compact_online(spark: SparkSession, view: FeatureView, paths, target: str, a
     that lookups read few row groups."""
     if target in ([paths] if isinstance(paths, str) else list(paths)):
         raise ValueError("compaction needs a new target path")
-    live = read_online(spark, view, paths, as_of)
+    live = read_online(spark, view, paths, as_of).drop("batch_id")
     writer = live.repartitionByRange(*view.entity).sortWithinPartitions(*view.entity).write.mode("errorifexists")
     for name in view.entity:
         writer = writer.option(f"parquet.bloom.filter.enabled#{name}", "true")

@@ -97,21 +97,24 @@ def decode_transactions(df: DataFrame, schemas: dict, fmt: str = "json") -> Data
         fields = parsed.schema[name].dataType.fieldNames()
         here = F.when(mine & F.col(name).isNotNull(), _record_fields(name, fields))
         record = here if record is None else F.coalesce(record, here)
-    known = F.col("schema_id").isin([int(i) for i in schemas])
-    error = (
-        F.col("frame_error") if "frame_error" in df.columns else F.lit(None).cast("string")
+    # The record leaves through a generator: a filter on its fields, such as the one on a missing id, stays above
+    # it instead of being pushed down together with a second copy of the parsing.
+    frame_error = F.col("frame_error") if "frame_error" in df.columns else F.lit(None).cast("string")
+    fields = [f.name for f in _PAYLOAD_FIELDS]
+    opened = parsed.select(
+        *kept, "schema_id", frame_error.alias("_frame_error"), record.alias("_record"),
+    ).select(
+        *kept, "schema_id", "_frame_error",
+        F.inline_outer(F.when(F.col("_record").isNotNull(), F.array("_record"))),
     )
+    known = F.col("schema_id").isin([int(i) for i in schemas])
     error = (
-        F.when(error.isNotNull(), error)
+        F.when(F.col("_frame_error").isNotNull(), F.col("_frame_error"))
         .when(~known, "unknown schema id")
-        .when(F.col("_record.transaction_id").isNull(), "unreadable body")
-    )
-    return parsed.withColumn("_record", record).select(
-        *kept,
-        *[F.col(f"_record.{f.name}").alias(f.name) for f in _PAYLOAD_FIELDS],
-        F.expr("try_cast(schema_id as int)").alias("_schema_id"),
-        error.alias("decode_error"),
+        .when(F.col("transaction_id").isNull(), "unreadable body")
     )
+    return opened.select(
+        *kept, *fields, F.expr("try_cast(schema_id as int)").alias("_schema_id"), error.alias("decode_error"))
 
 
 def publish_transactions(df: DataFrame, schema_id: int, fmt: str = "json", avro_schema: str | None = None) -> DataFrame:

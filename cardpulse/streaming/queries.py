@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -49,14 +50,18 @@ FEATURE_QUERIES = {
 }
 
 
+@functools.cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="cardpulse-")
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh path under the cluster's ``spark.checkpoint.dir``; a temporary folder only for a local master."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all nodes share")
-        root = tempfile.mkdtemp(prefix="cardpulse-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_root()
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
