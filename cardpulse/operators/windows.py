@@ -37,14 +37,19 @@ def _check(length_us: int, slide_us: int) -> None:
         raise ValueError("slide must not exceed the window length")
 
 
+def _by_key(panes: DataFrame, key: str) -> DataFrame:
+    """Cluster panes by key. The partition count is fixed because the rows multiply behind this shuffle: adaptive
+    coalescing would judge it by the few bytes of the panes and leave too few tasks for their windows."""
+    return panes.repartition(int(panes.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def with_bounds(df: DataFrame, tick: str, pane_us: int, length_us: int, key: str) -> DataFrame:
     """Replace the index of a window's end by its two timestamps."""
-    end = F.col(tick) * F.lit(pane_us).cast("bigint")
     rest = [c for c in df.columns if c not in (key, tick)]
-    return df.select(
-        key,
-        F.timestamp_micros(end - F.lit(length_us).cast("bigint")).alias("window_start"),
-        F.timestamp_micros(end).alias("window_end"),
+    return df.selectExpr(
+        f"`{key}`",
+        f"timestamp_micros({tick} * {pane_us}L - {length_us}L) as window_start",
+        f"timestamp_micros({tick} * {pane_us}L) as window_end",
         *rest,
     )
 
@@ -103,30 +108,26 @@ def _tallies_by_pane(tx, tallies, slide, key, time):
         tx.where(F.col(time).isNotNull())
         .groupBy(key, slot_of(F.unix_micros(time), pane_us).alias("_pane"))
         .agg(
-            *[F.count_if(_matches(p)).alias(f"_n{i}") for i, p in enumerate(predicates)],
+            *[F.expr(f"count_if({p or 'true'}) as _n{i}") for i, p in enumerate(predicates)],
             F.max(time).alias("_last"),
         )
     )
 
     # A pane enters the running count at the first window end after it and leaves ``length`` later, so two
     # changes per count describe all windows it belongs to.
-    def change(where: str | None, length_us: int) -> Column:
-        n = F.col(f"_n{predicates.index(where)}")
-        after = F.col("_after")
-        return F.sum(F.when(after == 0, n).when(after == length_us // pane_us, -n).otherwise(0))
-
     counts = [(t.name, t.where, micros(t.length)) for t in tallies] + [(_ROWS, None, longest)]
-    afters = sorted({0, *[length // pane_us for length in lengths]})
+    changes = [
+        F.expr(f"sum(case _after when 0 then _n{predicates.index(where)} "
+               f"when {length // pane_us} then -_n{predicates.index(where)} else 0 end)").alias(name)
+        for name, where, length in counts
+    ]
+    afters = ", ".join(f"{a}L" for a in sorted({0, *[length // pane_us for length in lengths]}))
     changes = (
-        panes.repartition(key)
-        .withColumn("_after", F.explode(F.array(*[F.lit(a).cast("bigint") for a in afters])))
-        .groupBy(key, (F.col("_pane") + 1 + F.col("_after")).alias("_tick"))
-        .agg(
-            *[change(where, length).alias(name) for name, where, length in counts],
-            F.max(F.when(F.col("_after") == 0, F.col("_last"))).alias("_last"),
-        )
+        _by_key(panes, key)
+        .withColumn("_after", F.expr(f"explode(array({afters}))"))
+        .groupBy(key, F.expr("_pane + 1 + _after as _tick"))
+        .agg(*changes, F.expr("max(case _after when 0 then _last end) as _last"))
     )
-
     ends = _fill_windows(changes, [name for name, _, _ in counts], _ROWS, key)
     return with_bounds(_aligned(ends.drop(_ROWS), pane_us, longest, slide_us), "_tick", pane_us, longest, key)
 
@@ -145,16 +146,15 @@ def _fill_windows(changes, names, present, key):
     Between two changes the counts stand still, so a run of equal windows is written out from its first row. Needs
     ``changes`` of one key to be few; they are bounded by the time span, not by the number of transactions.
     """
-    order = Window.partitionBy(key).orderBy("_tick")
-    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    runs = changes.select(
-        key, "_tick",
-        F.lead("_tick").over(order).alias("_next"),
-        *[F.sum(name).over(so_far).alias(name) for name in names],
-        F.max("_last").over(so_far).alias("last_event_time"),
-    ).where(F.col(present) > 0)
-    return runs.select(
-        key, F.explode(F.sequence(F.col("_tick"), F.col("_next") - 1)).alias("_tick"), *names, "last_event_time")
+    order = f"(partition by `{key}` order by _tick)"
+    so_far = f"(partition by `{key}` order by _tick rows between unbounded preceding and current row)"
+    runs = changes.selectExpr(
+        f"`{key}`", "_tick",
+        f"lead(_tick) over {order} as _next",
+        *[f"sum({name}) over {so_far} as {name}" for name in names],
+        f"max(_last) over {so_far} as last_event_time",
+    ).where(f"{present} > 0")
+    return runs.selectExpr(f"`{key}`", "explode(sequence(_tick, _next - 1)) as _tick", *names, "last_event_time")
 
 
 def sliding_amounts(
@@ -189,37 +189,35 @@ def sliding_amounts(
     panes = (
         tx.where(F.col(time).isNotNull())
         .groupBy(key, slot_of(F.unix_micros(time), pane_us).alias("_pane"))
-        .agg(
-            F.count(amount).alias("_n"),
-            F.sum(amount).alias("_sum"),
-            (F.var_pop(amount) * F.count(amount)).alias("_spread"),
-            F.max(amount).alias("_max"),
-            F.min(amount).alias("_min"),
-            F.max(time).alias("_last"),
-        )
+        .agg(*map(F.expr, (
+            f"count({amount}) as _n",
+            f"sum({amount}) as _sum",
+            f"var_pop({amount}) * count({amount}) as _spread",
+            f"max({amount}) as _max",
+            f"min({amount}) as _min",
+            f"max({time}) as _last",
+        )))
     )
-    parts = panes.repartition(key).select(
-        key,
-        F.explode(F.sequence(F.col("_pane") + 1, F.col("_pane") + length_us // pane_us)).alias("_tick"),
+    parts = _by_key(panes, key).selectExpr(
+        f"`{key}`",
+        f"explode(sequence(_pane + 1, _pane + {length_us // pane_us}L)) as _tick",
         "_n", "_sum", "_spread", "_max", "_min", "_last",
     )
     parts = _aligned(parts, pane_us, length_us, slide_us)
     # Spread around the window's own mean: the panes' inner spread plus the distance of their means from it.
     # Taking the mean first keeps the sum free of cancellation.
-    whole = Window.partitionBy(key, "_tick")
-    mean = F.sum("_sum").over(whole) / F.nullif(F.sum("_n").over(whole), F.lit(0))
-    off = F.col("_sum") / F.nullif(F.col("_n"), F.lit(0)) - F.col("_mean")
-    stats = parts.withColumn("_mean", mean).groupBy(key, "_tick").agg(
-        F.first("_mean").alias("avg_amount"),
-        F.sqrt(
-            F.sum(F.col("_spread") + F.col("_n") * off * off)
-            / F.when(F.sum("_n") > 1, F.sum("_n") - 1)
-        ).alias("stddev_amount"),
-        F.max("_max").alias("max_amount"),
-        F.min("_min").alias("min_amount"),
-        F.sum("_sum").alias("sum_amount"),
-        F.max("_last").alias("last_event_time"),
-    )
+    whole = f"over (partition by `{key}`, _tick)"
+    off = "_sum / nullif(_n, 0) - _mean"
+    stats = parts.withColumn("_mean", F.expr(f"sum(_sum) {whole} / nullif(sum(_n) {whole}, 0)")).groupBy(
+        key, "_tick",
+    ).agg(*map(F.expr, (
+        "first(_mean) as avg_amount",
+        f"sqrt(sum(_spread + _n * ({off}) * ({off})) / case when sum(_n) > 1 then sum(_n) - 1 end) as stddev_amount",
+        "max(_max) as max_amount",
+        "min(_min) as min_amount",
+        "sum(_sum) as sum_amount",
+        "max(_last) as last_event_time",
+    )))
     return with_bounds(stats, "_tick", pane_us, length_us, key)
 
 
@@ -287,5 +285,5 @@ def sliding_distinct(
     )).alias("_e"))
     changes = edges.groupBy(key, F.col("_e.tick").alias("_tick")).agg(
         F.sum("_e.change").alias(count_name), F.max("_e.last").alias("_last"))
-    ends = _fill_windows(changes, [count_name], count_name, key)
+    ends = _fill_windows(_by_key(changes, key), [count_name], count_name, key)
     return with_bounds(_aligned(ends, pane_us, length_us, slide_us), "_tick", pane_us, length_us, key)
