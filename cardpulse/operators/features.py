@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardpulse.functions import scalars
@@ -18,13 +18,22 @@ from cardpulse.schema import FAILED_LIMIT, SMALL_AMOUNT, SMALL_FAILED_LIMIT
 
 _BOUNDS = ("user_id", "window_start", "window_end")
 
+APPROVED = "status = 'APPROVED'"
+FAILED = "status = 'FAILED'"
+SMALL_FAILED = f"{FAILED} and amount < {SMALL_AMOUNT}D"
+
+
+def hard_block(failed_count: str = "failed_count", small_amount_fails: str = "small_amount_fails") -> Column:
+    """Credential stuffing or card testing."""
+    return (F.col(failed_count) > FAILED_LIMIT) | (F.col(small_amount_fails) > SMALL_FAILED_LIMIT)
+
 
 def tx_counts(tx: DataFrame, window: str = "5 minutes", slide: str = "1 minute") -> DataFrame:
     """all, approved and failed transactions of a user."""
     return sliding_tallies(tx, [
         Tally("total_tx", window),
-        Tally("approved_tx", window, "status = 'APPROVED'"),
-        Tally("failed_tx", window, "status = 'FAILED'"),
+        Tally("approved_tx", window, APPROVED),
+        Tally("failed_tx", window, FAILED),
     ], slide)
 
 
@@ -32,7 +41,7 @@ def amount_stats(
     tx: DataFrame, window: str = "24 hours", slide: str = "1 hour", amount: str = "amount"
 ) -> DataFrame:
     """statistics of a user's approved amounts."""
-    return sliding_amounts(tx.where(F.col("status") == "APPROVED"), window, slide, amount)
+    return sliding_amounts(tx.where(APPROVED), window, slide, amount)
 
 
 def enrich_profiles(tx: DataFrame, profiles: DataFrame) -> DataFrame:
@@ -108,19 +117,17 @@ def device_change(
 def failed_attempts(tx: DataFrame, window: str = "30 minutes", slide: str = "5 minutes") -> DataFrame:
     """failure counts of a user and the flags for credential stuffing and card testing."""
     counts = sliding_tallies(tx, [
-        Tally("failed_count", window, "status = 'FAILED'"),
+        Tally("failed_count", window, FAILED),
         Tally("declined_count", window, "status = 'DECLINED'"),
         Tally("insufficient_funds", window, "failure_reason = 'INSUFFICIENT_FUNDS'"),
         Tally("card_blocked", window, "failure_reason = 'CARD_BLOCKED'"),
-        Tally("small_amount_fails", window, f"status = 'FAILED' and amount < {SMALL_AMOUNT}D"),
+        Tally("small_amount_fails", window, SMALL_FAILED),
     ], slide)
-    stuffing = F.col("failed_count") > FAILED_LIMIT
-    testing = F.col("small_amount_fails") > SMALL_FAILED_LIMIT
     return counts.select(
         *_BOUNDS, "failed_count", "declined_count", "insufficient_funds", "card_blocked", "small_amount_fails",
-        stuffing.alias("credential_stuffing"),
-        testing.alias("card_testing"),
-        (stuffing | testing).alias("hard_block"),
+        (F.col("failed_count") > FAILED_LIMIT).alias("credential_stuffing"),
+        (F.col("small_amount_fails") > SMALL_FAILED_LIMIT).alias("card_testing"),
+        hard_block().alias("hard_block"),
         "last_event_time",
     )
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cardpulse.functions.scalars import feature_json, feature_key
+from cardpulse.functions.times import micros
 from cardpulse.operators.quality import latest_by_key
 from cardpulse.schema import FeatureView
 
@@ -20,9 +21,17 @@ def _moment(value) -> Column:
     return value if isinstance(value, Column) else F.lit(value).cast("timestamp")
 
 
-def online_rows(df: DataFrame, view: FeatureView, written_at=None) -> DataFrame:
-    """The current row of each entity in ``df`` with ``written_at`` and ``expires_at`` (now unless given)."""
+def online_rows(df: DataFrame, view: FeatureView, written_at=None, slide: str | None = None) -> DataFrame:
+    """The current row of each entity in ``df`` with ``written_at`` and ``expires_at`` (now unless given).
+
+    ``slide`` is the one ``df``'s windows were made with. A window whose newest event lies further back than one slide
+    is not the first to end after it, hence never current; with the slide known such rows go before the aggregation,
+    all but one in (length / slide).
+    """
     written = F.current_timestamp() if written_at is None else _moment(written_at)
+    if slide is not None:
+        end = "window_end" if "window_end" in df.columns else "event_timestamp"
+        df = df.where(F.unix_micros(end) - F.unix_micros("last_event_time") <= micros(slide))
     return (
         latest_by_key(df, view.entity, view.recency)
         .withColumn("written_at", written)
@@ -30,12 +39,14 @@ def online_rows(df: DataFrame, view: FeatureView, written_at=None) -> DataFrame:
     )
 
 
-def write_online(df: DataFrame, view: FeatureView, path: str, batch_id: int, written_at=None) -> None:
+def write_online(
+    df: DataFrame, view: FeatureView, path: str, batch_id: int, written_at=None, slide: str | None = None
+) -> None:
     """Upsert the current value of each entity in ``df``; calling it again with the same batch changes nothing.
 
     One table belongs to one sequence of batch ids: a query started on a new checkpoint needs a new path.
     """
-    writer = online_rows(df, view, written_at).write.mode("overwrite")
+    writer = online_rows(df, view, written_at, slide).write.mode("overwrite")
     for name in view.entity:  # lets a lookup of a few entities skip row groups
         writer = writer.option(f"parquet.bloom.filter.enabled#{name}", "true")
     writer.parquet(f"{path.rstrip('/')}/batch_id={int(batch_id)}")
@@ -80,7 +91,8 @@ def compact_online(spark: SparkSession, view: FeatureView, paths, target: str, a
 
 
 def push_features(
-    df: DataFrame, view: FeatureView, online_path: str, offline_path: str, batch_id: int, written_at=None
+    df: DataFrame, view: FeatureView, online_path: str, offline_path: str, batch_id: int, written_at=None,
+    slide: str | None = None,
 ) -> None:
     """A10: keep feature rows in the offline history and their newest values online.
 
@@ -90,7 +102,7 @@ def push_features(
     dated = df.withColumn("event_date", F.to_date("event_timestamp"))
     dated.write.mode("overwrite").partitionBy("event_date").parquet(
         f"{offline_path.rstrip('/')}/batch_id={int(batch_id)}")
-    write_online(df, view, online_path, batch_id, written_at)
+    write_online(df, view, online_path, batch_id, written_at, slide)
 
 
 def read_offline(spark: SparkSession, view: FeatureView, paths) -> DataFrame:

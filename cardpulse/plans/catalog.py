@@ -18,7 +18,7 @@ LABELS_FROM, LABELS_TO = "2024-01-01 00:30:00", "2024-01-01 01:00:00"
 
 
 def in_micros(df: DataFrame) -> DataFrame:
-    """Timestamps as ``<name>`` minus ``_time`` plus ``_us``-style longs, under unchanged names otherwise."""
+    """Timestamp columns as microsecond longs under the same names."""
     return df.select(*[
         F.unix_micros(f.name).alias(f.name) if f.dataType.typeName() == "timestamp" else F.col(f.name)
         for f in df.schema.fields
@@ -46,9 +46,7 @@ def _profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _user_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     tx = transactions(spark, sf_dir)
-    return tables.build_user_features(
-        features.tx_counts(tx), _amounts(tx), features.velocity(tx),
-        features.device_change(tx), features.failed_attempts(tx))
+    return tables.backfill_user_features(tx, _amounts(tx), features.device_change(tx))
 
 
 def _tx_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,9 +54,9 @@ def _tx_features(spark: SparkSession, sf_dir: str) -> DataFrame:
         features.country_mismatch(transactions(spark, sf_dir), _profiles(spark, sf_dir)))
 
 
-def _live(df: DataFrame, view) -> DataFrame:
+def _live(df: DataFrame, view, slide: str | None = None, known_at: str = "event_timestamp") -> DataFrame:
     """Values as if each had been written when it became known, and looked up at AS_OF."""
-    rows = store.online_rows(df, view, written_at=F.col("event_timestamp"))
+    rows = store.online_rows(df, view, F.col(known_at), slide)
     return rows.where(F.lit(AS_OF).cast("timestamp") < F.col("expires_at"))
 
 
@@ -155,10 +153,10 @@ def online_latest(spark, sf_dir):
     path = streams.shared_folder(spark, "online")
     middle = F.lit("2024-01-01 01:00:00").cast("timestamp")
     written = F.col("window_end")
-    store.write_online(counts.where(F.col("window_end") <= middle), view, path, 0, written)
+    store.write_online(counts.where(F.col("window_end") <= middle), view, path, 0, written, "1 minute")
     late = counts.where(F.col("window_end") > middle)
-    store.write_online(late, view, path, 1, written)
-    store.write_online(late, view, path, 1, written)
+    store.write_online(late, view, path, 1, written, "1 minute")
+    store.write_online(late, view, path, 1, written, "1 minute")
     live = store.read_online(spark, view, path, "2024-01-01 01:59:00")
     return in_micros(live.select("user_id", "window_end", *view.names, "last_event_time", "expires_at", "batch_id"))
 
@@ -167,7 +165,7 @@ def online_lookup(spark, sf_dir):
     requests = transactions(spark, sf_dir).select("transaction_id", "user_id")
     return scored.scoring_features(
         requests,
-        _live(_user_features(spark, sf_dir), USER_FEATURES),
+        _live(_user_features(spark, sf_dir), USER_FEATURES, "1 minute"),
         _live(_tx_features(spark, sf_dir), TRANSACTION_FEATURES),
     )
 
@@ -175,8 +173,7 @@ def online_lookup(spark, sf_dir):
 def multi_get(spark, sf_dir):
     """Velocity of every customer, most of whom have none."""
     view = ONLINE_VIEWS["velocity"]
-    speed = features.velocity(transactions(spark, sf_dir)).withColumnRenamed("window_end", "event_timestamp")
-    live = _live(speed.withColumn("window_end", F.col("event_timestamp")), view)
+    live = _live(features.velocity(transactions(spark, sf_dir)), view, "1 minute", "window_end")
     customers = adapter.table(spark, sf_dir, "customer").selectExpr("'user-' || c_custkey as user_id")
     return store.from_json_value(store.multi_get(live, view, customers), view).drop("value")
 
@@ -185,6 +182,14 @@ def user_features_wide(spark, sf_dir):
     return in_micros(_user_features(spark, sf_dir))
 
 
+def user_features_joined(spark, sf_dir):
+    """The same table from the five separate features."""
+    tx = transactions(spark, sf_dir)
+    return in_micros(tables.build_user_features(
+        features.tx_counts(tx), _amounts(tx), features.velocity(tx),
+        features.device_change(tx), features.failed_attempts(tx)))
+
+
 def transaction_features(spark, sf_dir):
     return in_micros(_tx_features(spark, sf_dir))
 
@@ -276,7 +281,7 @@ QUERIES = {
         f01_tx_counts, f02_amount_stats, f03_country_risk, f04_velocity, f05_device_change, f05_known_devices,
         f06_failed_attempts, f07_tumbling_velocity, amount_ratio,
         online_latest, online_lookup, multi_get,
-        user_features_wide, transaction_features, labels_in_range, training_dataset,
+        user_features_wide, user_features_joined, transaction_features, labels_in_range, training_dataset,
         feature_vector, decisions, routed_alerts, pk_violations, constraint_violations,
         stream_tx_counts, stream_velocity_online,
     )

@@ -247,6 +247,7 @@ ORACLE = {
               on c.user_id = v.user_id and {AS_OF_US} < v.window_end + {5 * MINUTE}::bigint""",
         _F04),
     "user_features_wide": _query("select * from k1", *_ALL_FEATURES),
+    "user_features_joined": _query("select * from k1", *_ALL_FEATURES),
     "transaction_features": _query("select * from k2", _F03, _K2),
     "labels_in_range": _query(
         f"""select user_id, transaction_id, cast(k % 13 = 0 as smallint) as label, event_us as event_timestamp

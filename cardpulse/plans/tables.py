@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from cardpulse.functions.scalars import amount_ratio
+from cardpulse.functions.scalars import amount_ratio, velocity
+from cardpulse.functions.times import micros
+from cardpulse.operators import features
 from cardpulse.operators.pointintime import HOT_ROWS, Lookup, point_in_time_join
+from cardpulse.operators.windows import Tally, sliding_tallies
 from cardpulse.schema import (
     ONLINE_VIEWS,
     TRAINING_TX_FEATURES,
@@ -34,6 +38,15 @@ def _wide(feature: DataFrame, view: str, **names: str) -> Lookup:
     return Lookup(renamed, _renamed(ONLINE_VIEWS[view], **names))
 
 
+def _amount_lookup(amounts: DataFrame) -> Lookup:
+    return _wide(amounts, "avg_amount_24h", avg_amount="avg_amount_24h", stddev_amount="stddev_amount_24h")
+
+
+def _device_lookup(devices: DataFrame) -> Lookup:
+    return _wide(devices, "device_change", distinct_devices="distinct_devices_24h",
+                 device_change_flag="device_change_flag")
+
+
 def build_user_features(
     counts: DataFrame, amounts: DataFrame, speed: DataFrame, devices: DataFrame, failures: DataFrame
 ) -> DataFrame:
@@ -50,15 +63,55 @@ def build_user_features(
     )
     # Every side has at most one row per user and slide step, so no slot can be hot and none has to be counted.
     wide = point_in_time_join(spine, [
-        _wide(amounts, "avg_amount_24h", avg_amount="avg_amount_24h", stddev_amount="stddev_amount_24h"),
+        _amount_lookup(amounts),
         _wide(speed, "velocity", velocity_score="velocity_score"),
-        _wide(devices, "device_change", distinct_devices="distinct_devices_24h",
-              device_change_flag="device_change_flag"),
+        _device_lookup(devices),
         _wide(failures, "failed_attempts", failed_count="failed_attempts_30min", hard_block="hard_block"),
     ], hot_rows=None)
     return wide.select("user_id", "event_timestamp", *USER_FEATURES.names, "last_event_time")
 
 
+def backfill_user_features(tx: DataFrame, amounts: DataFrame, devices: DataFrame) -> DataFrame:
+    """K1 straight from transactions, with F02 and F05 given: the same rows as :func:`build_user_features`.
+
+    F01, F04 and F06 are counts on one minute grid, so one scan and one pane shuffle serve all three. F04 ends where
+    F01 ends and needs no lookup; the newest live F06 row is carried along the same sorted rows.
+    """
+    short, half = "5 minutes", "30 minutes"
+    activity = sliding_tallies(tx, [
+        Tally("cnt_1m", "1 minute"),
+        Tally("tx_last_5min_total", short),
+        Tally("tx_last_5min_approved", short, features.APPROVED),
+        Tally("tx_last_5min_failed", short, features.FAILED),
+        Tally("cnt_1h", "1 hour"),
+        Tally("_rows_30m", half),
+        Tally("failed_count", half, features.FAILED),
+        Tally("small_amount_fails", half, features.SMALL_FAILED),
+    ], "1 minute")
+
+    ttl = ONLINE_VIEWS["failed_attempts"].ttl_seconds * 1_000_000
+    on_grid = f"_rows_30m > 0 and unix_micros(window_end) % {micros(short)}L = 0"
+    failures = F.when(F.expr(on_grid), F.struct(
+        F.unix_micros("window_end").alias("at"), "failed_count", features.hard_block().alias("hard_block")))
+    so_far = Window.partitionBy("user_id").orderBy("window_end").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    live = F.unix_micros("window_end") - F.col("_f06.at") <= ttl
+    spine = (
+        activity.withColumn("_f06", F.last(failures, ignorenulls=True).over(so_far))
+        .where("tx_last_5min_total > 0")
+        .select(
+            "user_id", F.col("window_end").alias("event_timestamp"),
+            "tx_last_5min_total", "tx_last_5min_approved", "tx_last_5min_failed",
+            velocity("cnt_1m", "tx_last_5min_total", "cnt_1h").alias("velocity_score"),
+            F.when(live, F.col("_f06.failed_count")).alias("failed_attempts_30min"),
+            F.when(live, F.col("_f06.hard_block")).alias("hard_block"),
+            "last_event_time",
+        )
+    )
+    wide = point_in_time_join(spine, [_amount_lookup(amounts), _device_lookup(devices)], hot_rows=None)
+    return wide.select("user_id", "event_timestamp", *USER_FEATURES.names, "last_event_time")
+
+
 def build_transaction_features(mismatch: DataFrame) -> DataFrame:
     """K2: F03 under the names of the stored table."""
     return mismatch.select(

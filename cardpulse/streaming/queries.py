@@ -36,17 +36,23 @@ class FeatureQuery:
     view: FeatureView
     compute: Callable[..., DataFrame]
     mode: str
+    slide: str | None = None
     needs_profiles: bool = False
 
+    def run(self, tx: DataFrame, profiles: DataFrame | None = None) -> DataFrame:
+        if self.needs_profiles:
+            return self.compute(tx, profiles)
+        return self.compute(tx, slide=self.slide)
+
 
 # One query per feature: windows update as events arrive, row-wise features are final at once.
 FEATURE_QUERIES = {
-    "f01": FeatureQuery(ONLINE_VIEWS["tx_5min"], features.tx_counts, "update"),
-    "f02": FeatureQuery(ONLINE_VIEWS["avg_amount_24h"], features.amount_stats, "update"),
-    "f03": FeatureQuery(ONLINE_VIEWS["country_mismatch"], features.country_mismatch, "append", True),
-    "f04": FeatureQuery(ONLINE_VIEWS["velocity"], features.velocity, "update"),
-    "f05": FeatureQuery(ONLINE_VIEWS["device_change"], features.device_change, "update"),
-    "f06": FeatureQuery(ONLINE_VIEWS["failed_attempts"], features.failed_attempts, "update"),
+    "f01": FeatureQuery(ONLINE_VIEWS["tx_5min"], features.tx_counts, "update", "1 minute"),
+    "f02": FeatureQuery(ONLINE_VIEWS["avg_amount_24h"], features.amount_stats, "update", "1 hour"),
+    "f03": FeatureQuery(ONLINE_VIEWS["country_mismatch"], features.country_mismatch, "append", needs_profiles=True),
+    "f04": FeatureQuery(ONLINE_VIEWS["velocity"], features.velocity, "update", "1 minute"),
+    "f05": FeatureQuery(ONLINE_VIEWS["device_change"], features.device_change, "update", "1 hour"),
+    "f06": FeatureQuery(ONLINE_VIEWS["failed_attempts"], features.failed_attempts, "update", "5 minutes"),
 }
 
 
@@ -95,12 +101,11 @@ def start_feature(
     Each query has its own checkpoint below ``checkpoint_root``. Batches are written by the executors.
     """
     query = FEATURE_QUERIES[name]
-    result = query.compute(tx, profiles) if query.needs_profiles else query.compute(tx)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_online(batch, query.view, online_path, batch_id, written_at)
+        write_online(batch, query.view, online_path, batch_id, written_at, query.slide)
 
-    return _writer(result, query.mode, f"{checkpoint_root.rstrip('/')}/{name}", trigger).foreachBatch(write).start()
+    return _writer(query.run(tx, profiles), query.mode, f"{checkpoint_root.rstrip('/')}/{name}", trigger).foreachBatch(write).start()
 
 
 def start_push(

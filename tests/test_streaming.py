@@ -113,7 +113,7 @@ def test_online_table_of_a_stream_equals_the_batch(spark, tx, source, tmp_path,
     stream = conform.with_watermark(file_stream(spark, source, tx.schema))
     online = str(tmp_path / "online")
     streams.start_feature(name, stream, online, str(tmp_path / "cp"), profiles, ONCE, at(0)).awaitTermination()
-    batch = query.compute(tx, profiles) if query.needs_profiles else query.compute(tx)
+    batch = query.run(tx, profiles)
     names = [*query.view.entity, *query.view.names]
     exact = [F.round(c, 6).alias(c) if "amount" in c else F.col(c) for c in names]
     live = store.read_online(spark, query.view, online, at(1)).select(exact)
