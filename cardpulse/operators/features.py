@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cardpulse.functions import scalars
 from cardpulse.functions.times import micros
+from cardpulse.operators.skew import HOT_ROWS, lookup_join
 from cardpulse.operators.windows import (
     Tally,
     sliding_amounts,
@@ -44,13 +45,13 @@ def amount_stats(
     return sliding_amounts(tx.where(APPROVED), window, slide, amount)
 
 
-def enrich_profiles(tx: DataFrame, profiles: DataFrame) -> DataFrame:
-    """Add ``home_country``; null for a user without a profile.
+def enrich_profiles(tx: DataFrame, profiles: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+    """Add ``home_country``, null for a user without a profile; one profile per user.
 
-    The profile table grows with the users, so it carries no broadcast hint: Spark broadcasts it while its size is
-    under ``spark.sql.autoBroadcastJoinThreshold`` and otherwise shuffles, splitting busy users (adaptive skew join).
+    The profile table grows with the users, so it is broadcast only while small; beyond that, busy users are spread.
     """
-    return tx.join(profiles.select("user_id", "home_country"), "user_id", "left")
+    home = profiles.select("user_id", "home_country")
+    return lookup_join(tx, home, ["user_id"], hot_rows)
 
 
 def country_mismatch(tx: DataFrame, profiles: DataFrame) -> DataFrame:

@@ -9,13 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from cardpulse.functions.times import slot_of
+from cardpulse.operators.skew import HOT_ROWS, row_digest, split_hot_keys
 from cardpulse.schema import FeatureView
 
-# Rows one task may have to sort for one entity and time slot before that slot is spread over several tasks.
-HOT_ROWS = 2_000_000
 # Slots are this many TTLs long, so that one feature row in eight is needed in two slots.
 _TTLS_PER_SLOT = 8
-_NO_ENTITY_SHARES = 1024
 
 
 @dataclass(frozen=True)
@@ -86,32 +84,7 @@ def _fill(spine, entity, group, ts, hot_rows):
         ).dropna(subset=list(entity))
         facts = mine if facts is None else facts.unionByName(mine, allowMissingColumns=True)
 
-    # A row without entity or time finds nothing; it only has to be kept, so it may go anywhere.
-    hashable = [f.name for f in spine.schema.fields if "map<" not in f.dataType.simpleString()]
-    digest = F.xxhash64(*[f"_row.{c}" for c in hashable])
-    homeless = F.lit(False)
-    for name in (*entity, "_at"):
-        homeless = homeless | F.col(name).isNull()
-    shares = F.lit(1)
-    if hot_rows is not None:
-        # At most (all rows / hot_rows) slots pass this filter, a million for two trillion rows: small by
-        # construction, hence the broadcast.
-        hot = F.broadcast(
-            spine.select(*entity, slot_of(F.unix_micros(ts), slot_us).alias("_slot"))
-            .groupBy(*keys).agg(F.count("*").alias("_n"))
-            .where(F.col("_n") > hot_rows)
-            .select(*keys, F.ceil(F.col("_n") / hot_rows).cast("int").alias("_shares"))
-        )
-        rows = rows.join(hot, keys, "left")
-        facts = facts.join(hot, keys, "left")
-        shares = F.coalesce("_shares", F.lit(1))
-    rows = rows.withColumn("_share", F.pmod(
-        digest, F.when(homeless, _NO_ENTITY_SHARES).otherwise(shares)).cast("int"))
-    if hot_rows is None:
-        facts = facts.withColumn("_share", F.lit(0))
-    else:
-        facts = facts.withColumn("_share", F.explode(F.sequence(F.lit(0), shares - 1)))
-        rows, facts = rows.drop("_shares"), facts.drop("_shares")
+    rows, facts = split_hot_keys(rows, facts, keys, row_digest(spine, "_row."), hot_rows)
 
     # Features sort before spine rows of the same instant, so that a value is usable at its own time.
     known = (

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from cardpulse.functions.scalars import feature_json, feature_key
 from cardpulse.functions.times import micros
 from cardpulse.operators.quality import latest_by_key
+from cardpulse.operators.skew import HOT_ROWS, lookup_join
 from cardpulse.schema import FeatureView
 
 
@@ -113,26 +114,33 @@ def read_offline(spark: SparkSession, view: FeatureView, paths) -> DataFrame:
 
 
 def get_online_features(
-    requests: DataFrame, lookups: list[tuple[FeatureView, DataFrame, tuple[str, ...] | None]]
+    requests: DataFrame,
+    lookups: list[tuple[FeatureView, DataFrame, tuple[str, ...] | None]],
+    request_key: tuple[str, ...] = (),
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """C4: add named features to each request row; null where an entity is unknown or expired.
 
     Each lookup is (view, live rows, columns or None for all). Live rows are unique per entity, so requests are
-    never multiplied. No side is hinted: Spark broadcasts a small one and splits busy entities otherwise.
+    never multiplied; entities with very many requests are spread. ``request_key`` names the unique columns of the
+    requests: an entity that holds them cannot be hot.
     """
     out = requests
     for view, live, columns in lookups:
-        out = out.join(live.select(*view.entity, *(columns or view.names)), list(view.entity), "left")
+        unique = bool(request_key) and set(request_key) <= set(view.entity)
+        facts = live.select(*view.entity, *(columns or view.names))
+        out = lookup_join(out, facts, list(view.entity), None if unique else hot_rows)
     return out
 
 
-def multi_get(live: DataFrame, view: FeatureView, entities: DataFrame, order: str | None = None) -> DataFrame:
+def multi_get(
+    live: DataFrame, view: FeatureView, entities: DataFrame, hot_rows: int | None = HOT_ROWS
+) -> DataFrame:
     """The JSON value of each listed entity under its key, null where there is none; one row per listed one."""
     (entity,) = view.entity
     values = live.select(entity, feature_json(*view.names).alias("value"))
-    out = entities.join(values, entity, "left").select(
+    return lookup_join(entities, values, [entity], hot_rows).select(
         *entities.columns, feature_key(view.name, entity).alias("key"), "value")
-    return out.orderBy(order) if order else out
 
 
 def get_one(live: DataFrame, view: FeatureView, entity_id: str) -> DataFrame:

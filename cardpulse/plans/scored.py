@@ -16,11 +16,11 @@ from cardpulse.schema import (
 
 
 def scoring_features(requests: DataFrame, live_users: DataFrame, live_tx: DataFrame) -> DataFrame:
-    """The nine features of a scoring request (user_id, transaction_id)."""
+    """The nine features of each scoring request (user_id, transaction_id)."""
     return get_online_features(requests, [
         (USER_FEATURES, live_users, SCORING_USER_FEATURES),
         (TRANSACTION_FEATURES, live_tx, SCORING_TX_FEATURES),
-    ])
+    ], request_key=("transaction_id",))
 
 
 def decide_requests(

@@ -9,7 +9,8 @@ from pyspark.sql.window import Window
 from cardpulse.functions.scalars import amount_ratio, velocity
 from cardpulse.functions.times import micros
 from cardpulse.operators import features
-from cardpulse.operators.pointintime import HOT_ROWS, Lookup, point_in_time_join
+from cardpulse.operators.pointintime import Lookup, point_in_time_join
+from cardpulse.operators.skew import HOT_ROWS
 from cardpulse.operators.windows import Tally, sliding_tallies
 from cardpulse.schema import (
     ONLINE_VIEWS,
