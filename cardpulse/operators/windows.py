@@ -116,17 +116,14 @@ def _tallies_by_pane(tx, tallies, slide, key, time):
     # A pane enters the running count at the first window end after it and leaves ``length`` later, so two
     # changes per count describe all windows it belongs to.
     counts = [(t.name, t.where, micros(t.length)) for t in tallies] + [(_ROWS, None, longest)]
-    changes = [
-        F.expr(f"sum(case _after when 0 then _n{predicates.index(where)} "
-               f"when {length // pane_us} then -_n{predicates.index(where)} else 0 end)").alias(name)
-        for name, where, length in counts
-    ]
-    afters = ", ".join(f"{a}L" for a in sorted({0, *[length // pane_us for length in lengths]}))
-    changes = (
-        _by_key(panes, key)
-        .withColumn("_after", F.expr(f"explode(array({afters}))"))
-        .groupBy(key, F.expr("_pane + 1 + _after as _tick"))
-        .agg(*changes, F.expr("max(case _after when 0 then _last end) as _last"))
+    changes = _by_key(panes, key).withColumn(
+        "_after", F.explode(F.expr(f"array({', '.join(f'{a}L' for a in sorted({0, *[n // pane_us for n in lengths]}))})")),
+    ).selectExpr(
+        f"`{key}`", "_pane + 1 + _after as _tick",
+        *[f"case _after when 0 then _n{predicates.index(where)} "
+          f"when {length // pane_us} then -_n{predicates.index(where)} else 0 end as {name}"
+          for name, where, length in counts],
+        "case _after when 0 then _last end as _last",
     )
     ends = _fill_windows(changes, [name for name, _, _ in counts], _ROWS, key)
     return with_bounds(_aligned(ends.drop(_ROWS), pane_us, longest, slide_us), "_tick", pane_us, longest, key)
@@ -154,7 +151,14 @@ def _fill_windows(changes, names, present, key):
         *[f"sum({name}) over {so_far} as {name}" for name in names],
         f"max(_last) over {so_far} as last_event_time",
     ).where(f"{present} > 0")
-    return runs.selectExpr(f"`{key}`", "explode(sequence(_tick, _next - 1)) as _tick", *names, "last_event_time")
+    return _write_out(runs, key, *names, "last_event_time")
+
+
+def _write_out(runs, key, *names):
+    """One row per window end from a run's ``_tick`` up to the one before ``_next``. Of several changes at one window
+    end the last one has seen them all; it is the one whose ``_next`` lies ahead."""
+    return runs.where("_next > _tick").selectExpr(
+        f"`{key}`", "explode(sequence(_tick, _next - 1)) as _tick", *names)
 
 
 def sliding_amounts(
@@ -198,27 +202,39 @@ def sliding_amounts(
             f"max({time}) as _last",
         )))
     )
-    parts = _by_key(panes, key).selectExpr(
-        f"`{key}`",
-        f"explode(sequence(_pane + 1, _pane + {length_us // pane_us}L)) as _tick",
-        "_n", "_sum", "_spread", "_max", "_min", "_last",
+    # Statistics are taken where a pane enters or leaves, twice per pane, over the few panes of that window; the
+    # windows in between repeat them. A leaving pane brings no values, it only marks the change.
+    panes_per_window = length_us // pane_us
+    changes = _by_key(panes, key).selectExpr(
+        f"`{key}`", "_n", "_sum", "_spread", "_max", "_min", "_last",
+        f"explode(array(_pane + 1, _pane + 1 + {panes_per_window}L)) as _tick", "_pane",
+    ).selectExpr(
+        f"`{key}`", "_tick",
+        "case when _tick = _pane + 1 then struct(_n, _sum, _spread, _max, _min, _last) end as _p",
     )
-    parts = _aligned(parts, pane_us, length_us, slide_us)
+    order = f"(partition by `{key}` order by _tick)"
+    inside = f"(partition by `{key}` order by _tick range between {panes_per_window - 1} preceding and current row)"
+    runs = changes.selectExpr(
+        f"`{key}`", "_tick",
+        f"lead(_tick) over {order} as _next",
+        f"sum(_p._n) over {inside} as _n",
+        f"sum(_p._sum) over {inside} as sum_amount",
+        f"max(_p._max) over {inside} as max_amount",
+        f"min(_p._min) over {inside} as min_amount",
+        f"max(_p._last) over {inside} as last_event_time",
+        f"collect_list(_p) over {inside} as _panes",
+    ).where("last_event_time is not null")
     # Spread around the window's own mean: the panes' inner spread plus the distance of their means from it.
     # Taking the mean first keeps the sum free of cancellation.
-    whole = f"over (partition by `{key}`, _tick)"
-    off = "_sum / nullif(_n, 0) - _mean"
-    stats = parts.withColumn("_mean", F.expr(f"sum(_sum) {whole} / nullif(sum(_n) {whole}, 0)")).groupBy(
-        key, "_tick",
-    ).agg(*map(F.expr, (
-        "first(_mean) as avg_amount",
-        f"sqrt(sum(_spread + _n * ({off}) * ({off})) / case when sum(_n) > 1 then sum(_n) - 1 end) as stddev_amount",
-        "max(_max) as max_amount",
-        "min(_min) as min_amount",
-        "sum(_sum) as sum_amount",
-        "max(_last) as last_event_time",
-    )))
-    return with_bounds(stats, "_tick", pane_us, length_us, key)
+    spread = (
+        "aggregate(filter(_panes, p -> p._n > 0), 0D, (total, p) -> total + p._spread "
+        "+ p._n * (p._sum / p._n - avg_amount) * (p._sum / p._n - avg_amount))"
+    )
+    stats = runs.withColumn("avg_amount", F.expr("sum_amount / nullif(_n, 0)")).withColumn(
+        "stddev_amount", F.expr(f"case when _n > 1 then sqrt({spread} / (_n - 1)) end"))
+    ends = _write_out(
+        stats, key, "avg_amount", "stddev_amount", "max_amount", "min_amount", "sum_amount", "last_event_time")
+    return with_bounds(_aligned(ends, pane_us, length_us, slide_us), "_tick", pane_us, length_us, key)
 
 
 def sliding_members(
