@@ -3,23 +3,17 @@ import sys
 from datetime import datetime, timedelta, timezone
 
 import pytest
-from pyspark.sql import SparkSession
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path[:0] = [ROOT, os.path.dirname(os.path.abspath(__file__))]
 
+from cardpulse.session import create_session  # noqa: E402
+
 
 @pytest.fixture(scope="session")
 def spark():
-    session = (
-        SparkSession.builder.master("local[8]").appName("cardpulse-tests")
-        .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "8g")
-        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
-        .getOrCreate()
-    )
+    session = create_session("cardpulse-tests", "local[8]", 8, **{
+        "spark.ui.enabled": "false", "spark.driver.memory": "8g", "spark.sql.maxMetadataStringLength": "2000"})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

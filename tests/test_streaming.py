@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cardpulse.operators import conform, features, store
 from cardpulse.plans import adapter
+from cardpulse.plans.scored import alert_messages, decide_requests
 from cardpulse.schema import ONLINE_VIEWS, TRANSACTION_FEATURES
 from cardpulse.streaming import queries as streams
 from conftest import TX_DDL, at, tx_rows
@@ -224,6 +225,18 @@ def test_debug_sink_and_messages(spark, tx, source, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == tx.count()
 
 
+def test_a_stream_of_requests_is_decided_and_routed(spark, tx, source, tmp_path):
+    users = spark.createDataFrame([("user-1", 3, 1, 9.0, 0.2, True, 1, True)], (
+        "user_id string, tx_last_5min_total bigint, tx_last_5min_failed bigint, avg_amount_24h double, "
+        "velocity_score double, device_change_flag boolean, failed_attempts_30min bigint, hard_block boolean"))
+    mismatch = spark.createDataFrame([], "transaction_id string, country_mismatch_flag boolean, country_risk_score double")
+    requests = file_stream(spark, source, tx.schema).select("user_id", "transaction_id")
+    messages = run(alert_messages(decide_requests(requests, users, mismatch)), tmp_path, "scored")
+    topics = {r.topic: r["count"] for r in messages.groupBy("topic").count().collect()}
+    blocked = tx.where("user_id = 'user-1'").count()
+    assert topics == {"fraud-alerts": blocked, "cleared-transactions": tx.count() - blocked}
+
+
 def test_shared_folder_follows_the_session(spark):
     root = spark.conf.get("spark.checkpoint.dir", None)
     first, second = (streams.shared_folder(spark, "x") for _ in range(2))
