@@ -88,7 +88,7 @@ f06 as (
 _F03 = """
 profiles as (
   select 'user-' || c_custkey as user_id, (['FR', 'US', 'GB', 'DE', 'NG'])[1 + c_nationkey % 5] as home_country
-  from customer where c_custkey % 11 <> 0),
+  from customer where c_acctbal >= 0),
 f03_risk as (
   select transaction_id, tx.user_id, event_us as event_time, merchant_country, home_country,
          case when home_country is null then 0.0::double
