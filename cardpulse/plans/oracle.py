@@ -1,5 +1,6 @@
 """The catalog's queries restated in DuckDB SQL, straight from their definitions: every event is copied into every
-window that holds it and grouped there; point-in-time lookups are ASOF joins."""
+window that holds it and grouped there; point-in-time lookups are ASOF joins. Quotients are rounded from their full
+decimal text, because rounding a binary product first can lift a value just below a tie over it."""
 
 from __future__ import annotations
 
@@ -222,7 +223,7 @@ ORACLE = {
               partition by user_id, event_us // {MINUTE} order by event_us, transaction_id) = 1"""),
     "amount_ratio": _query(
         f"""select transaction_id, user_id, amount, event_us as event_time, avg_amount,
-                   case when avg_amount > 0 then round(cast(amount / avg_amount as decimal(38, 14)), 4)::double
+                   case when avg_amount > 0 then round(cast(cast(amount / avg_amount as varchar) as decimal(38, 20)), 4)::double
                         else 1.0::double end as amount_ratio
             from (select tx.transaction_id, tx.user_id, tx.amount, tx.event_us,
                          case when tx.event_us - f02.window_end <= {24 * HOUR}::bigint then f02.avg_amount end
