@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import types as T
 
+# The record layout.
 TX_SCHEMA = T.StructType([
     T.StructField("transaction_id", T.StringType()),
     T.StructField("user_id", T.StringType()),
