@@ -48,7 +48,10 @@ def row_digest(df: DataFrame, prefix: str = "") -> Column:
 
 
 def fits_broadcast(df: DataFrame) -> bool:
-    """Whether the optimizer's estimate of ``df`` is below ``spark.sql.autoBroadcastJoinThreshold``."""
+    """Whether the optimizer's estimate of ``df`` is below ``spark.sql.autoBroadcastJoinThreshold``; not, where the
+    estimate cannot be had (a remote session)."""
+    if not hasattr(df, "_jdf"):
+        return False
     limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     return int(str(size)) <= limit

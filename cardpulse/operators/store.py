@@ -41,13 +41,19 @@ def online_rows(df: DataFrame, view: FeatureView, written_at=None, slide: str |
 
 
 def write_online(
-    df: DataFrame, view: FeatureView, path: str, batch_id: int, written_at=None, slide: str | None = None
+    df: DataFrame, view: FeatureView, path: str, batch_id: int, written_at=None, slide: str | None = None,
+    files: int | None = None,
 ) -> None:
     """Upsert the current value of each entity in ``df``; calling it again with the same batch changes nothing.
 
-    One table belongs to one sequence of batch ids: a query started on a new checkpoint needs a new path.
+    One table belongs to one sequence of batch ids: a query started on a new checkpoint needs a new path. ``files``
+    gathers the batch into that many files; streaming runs without adaptive execution, and would write one per shuffle
+    partition.
     """
-    writer = online_rows(df, view, written_at, slide).write.mode("overwrite")
+    rows = online_rows(df, view, written_at, slide)
+    if files is not None:
+        rows = rows.repartition(files, *view.entity)
+    writer = rows.write.mode("overwrite")
     for name in view.entity:  # lets a lookup of a few entities skip row groups
         writer = writer.option(f"parquet.bloom.filter.enabled#{name}", "true")
     writer.parquet(f"{path.rstrip('/')}/batch_id={int(batch_id)}")
@@ -93,7 +99,7 @@ def compact_online(spark: SparkSession, view: FeatureView, paths, target: str, a
 
 def push_features(
     df: DataFrame, view: FeatureView, online_path: str, offline_path: str, batch_id: int, written_at=None,
-    slide: str | None = None,
+    slide: str | None = None, files: int | None = None,
 ) -> None:
     """A10: keep feature rows in the offline history and their newest values online.
 
@@ -103,7 +109,7 @@ def push_features(
     dated = df.withColumn("event_date", F.to_date("event_timestamp"))
     dated.write.mode("overwrite").partitionBy("event_date").parquet(
         f"{offline_path.rstrip('/')}/batch_id={int(batch_id)}")
-    write_online(df, view, online_path, batch_id, written_at, slide)
+    write_online(df, view, online_path, batch_id, written_at, slide, files)
 
 
 def read_offline(spark: SparkSession, view: FeatureView, paths) -> DataFrame:

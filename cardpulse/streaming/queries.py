@@ -95,15 +95,17 @@ def start_feature(
     profiles: DataFrame | None = None,
     trigger: dict | None = None,
     written_at=None,
+    files: int | None = None,
 ):
     """Run one feature of :data:`FEATURE_QUERIES` into its online table; returns the running query.
 
-    Each query has its own checkpoint below ``checkpoint_root``. Batches are written by the executors.
+    Each query has its own checkpoint below ``checkpoint_root``. Batches are written by the executors, in ``files``
+    files each if given.
     """
     query = FEATURE_QUERIES[name]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_online(batch, query.view, online_path, batch_id, written_at, query.slide)
+        write_online(batch, query.view, online_path, batch_id, written_at, query.slide, files)
 
     return _writer(query.run(tx, profiles), query.mode, f"{checkpoint_root.rstrip('/')}/{name}", trigger).foreachBatch(write).start()
 
@@ -117,13 +119,14 @@ def start_push(
     mode: str = "append",
     trigger: dict | None = None,
     written_at=None,
+    files: int | None = None,
 ):
     """Push a stream of feature rows (with ``event_timestamp``) to online and offline table."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            push_features(batch, view, online_path, offline_path, batch_id, written_at)
+            push_features(batch, view, online_path, offline_path, batch_id, written_at, files=files)
         finally:
             batch.unpersist()
 

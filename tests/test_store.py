@@ -44,6 +44,13 @@ def test_a_replayed_batch_changes_nothing(spark, tmp_path):
     assert spark.read.parquet(path).count() == 2
 
 
+def test_a_batch_in_one_file(spark, tmp_path):
+    path = tmp_path / "t"
+    store.write_online(counts(spark, [(f"u{i}", 60, i, 59) for i in range(50)]), VIEW, str(path), 0, at(0), files=1)
+    assert len(list(path.glob("batch_id=0/*.parquet"))) == 1
+    assert online(spark, str(path)) == {f"u{i}": i for i in range(50)}
+
+
 @pytest.mark.parametrize("as_of, live", [(599, True), (599.999999, True), (600, False), (601, False)])
 def test_ttl_ends_exactly(spark, tmp_path, as_of, live):
     path = str(tmp_path / "t")
