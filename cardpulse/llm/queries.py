@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cardpulse.llm import exact_dedup, packing, url_filter
+from cardpulse.llm import bpe, exact_dedup, packing, simhash, toxicity, url_filter
 from cardpulse.llm.shared import table
 
 URL_RULES = (
@@ -19,6 +20,29 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), capacity=1024, end_id=0)
 
 
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    encoded = bpe.encode_documents(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+    decoded = bpe.decode_documents(encoded, path, public_tokenizers.PATTERN)
+    return decoded.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4)
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score_toxicity(docs, model, ["doc_id"])
+    return scored.select(
+        "doc_id", toxicity.is_held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), rules)
@@ -28,7 +52,7 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op7_url_filter, op8_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_packing, op4_bpe, op5_simhash, op6_toxicity, op7_url_filter, op8_exact_dedup)}
 
 _URL_VALUES = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
 
