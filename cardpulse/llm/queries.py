@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardpulse.llm import bpe, exact_dedup, packing, pii, simhash, toxicity, url_filter
+from cardpulse.llm import bpe, exact_dedup, html_extract, packing, pii, simhash, toxicity, url_filter
 from cardpulse.llm.shared import table
 
 URL_RULES = (
@@ -52,6 +52,10 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_groups(table(spark, sf_dir, "documents"))
 
 
+def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_pages(table(spark, sf_dir, "pages"))
+
+
 # The key of a run is a parameter and belongs in a secret store; this one makes results repeatable.
 SURROGATE_KEY = "corpus-surrogates"
 
@@ -61,7 +65,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_packing, op4_bpe, op5_simhash, op6_toxicity, op7_url_filter, op8_exact_dedup,
-    op10_pii)}
+    op9_html, op10_pii)}
 
 _URL_VALUES = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
 
