@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardpulse.llm import bpe, exact_dedup, html_extract, neighbours, packing, pii, simhash, toxicity, url_filter
+from cardpulse.llm import bpe, exact_dedup, html_extract, neighbours, packing, pii, simhash, suffix_dedup, toxicity, url_filter
 from cardpulse.llm.shared import table
 
 URL_RULES = (
@@ -20,6 +20,11 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), capacity=1024, end_id=0)
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removed = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), length=400)
+    return removed.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
@@ -68,7 +73,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), SURROGATE_KEY)
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op3_neighbours, op4_bpe, op5_simhash, op6_toxicity, op7_url_filter, op8_exact_dedup,
+QUERIES = {f.__name__: f for f in (op1_packing, op2_suffix_dedup, op3_neighbours, op4_bpe, op5_simhash, op6_toxicity, op7_url_filter, op8_exact_dedup,
     op9_html, op10_pii)}
 
 _URL_VALUES = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
