@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cardpulse.functions import scalars
 from cardpulse.functions.times import micros
-from cardpulse.operators.skew import HOT_ROWS, lookup_join
+from cardpulse.operators.skew import lookup_join
 from cardpulse.operators.windows import (
     Tally,
     sliding_amounts,
@@ -45,20 +45,21 @@ def amount_stats(
     return sliding_amounts(tx.where(APPROVED), window, slide, amount)
 
 
-def enrich_profiles(tx: DataFrame, profiles: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+def enrich_profiles(tx: DataFrame, profiles: DataFrame, spread: int = 1) -> DataFrame:
     """Add ``home_country``, null for a user without a profile; one profile per user.
 
-    The profile table grows with the users, so it is broadcast only while small; beyond that, busy users are spread.
+    The profile table grows with the users; Spark broadcasts it only while small. On a stream with a large one,
+    ``spread`` deals busy users out.
     """
     home = profiles.select("user_id", "home_country")
-    return lookup_join(tx, home, ["user_id"], hot_rows)
+    return lookup_join(tx, home, ["user_id"], spread)
 
 
-def country_mismatch(tx: DataFrame, profiles: DataFrame) -> DataFrame:
+def country_mismatch(tx: DataFrame, profiles: DataFrame, spread: int = 1) -> DataFrame:
     """risk of each transaction from its merchant's country and the user's home country."""
     needed = tx.select("transaction_id", "user_id", "merchant_country", "event_time")
     risk = scalars.country_risk("merchant_country", "home_country")
-    return enrich_profiles(needed, profiles).withColumn("_risk", risk).select(
+    return enrich_profiles(needed, profiles, spread).withColumn("_risk", risk).select(
         "transaction_id", "user_id", "event_time", "_risk.mismatch", "_risk.risk_score", "_risk.is_unusual")
 
 

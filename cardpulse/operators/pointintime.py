@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from cardpulse.functions.times import slot_of
-from cardpulse.operators.skew import HOT_ROWS, row_digest, split_hot_keys
+from cardpulse.operators.skew import row_digest, spread_keys
 from cardpulse.schema import FeatureView
 
+# Shares of a slot of one entity, unless the caller says otherwise.
+SPREAD = 8
 # Slots are this many TTLs long, so that one feature row in eight is needed in two slots.
 _TTLS_PER_SLOT = 8
 
@@ -38,17 +40,18 @@ def point_in_time_join(
     lookups: list[Lookup],
     ts: str = "event_timestamp",
     spine_key: tuple[str, ...] = (),
-    hot_rows: int | None = HOT_ROWS,
+    spread: int = SPREAD,
 ) -> DataFrame:
     """Add each lookup's columns to ``spine``; null where no live row exists.
 
     A feature row serves rows of its entity from its own time on until its TTL has passed, both inclusive. All
     lookups of one entity share one shuffle and one sort; there is no inequality join and no row is multiplied.
 
-    Rows meet by (entity, time slot), not by entity, so a long history never gathers in one task. A slot of one
-    entity with more than ``hot_rows`` spine rows is split by a hash of the row and its few feature rows are copied to
-    the shares. ``spine_key`` names the unique columns of the spine: an entity that holds them cannot be hot and
-    skips that count. ``hot_rows=None`` skips it altogether, for a spine known to be even.
+    Rows meet by (entity, time slot), not by entity, so a long history never gathers in one task. The engine can't
+    split a window's partition, so each slot is dealt out over ``spread`` shares by a hash of the row and its few
+    feature rows are copied to all of them. Choose it so that the busiest entity's slot, divided by it, fits a task; 1
+    for a spine known to be even. ``spine_key`` names the unique columns of the spine: an entity that holds them can't
+    be hot and is not spread.
     """
     by_entity: dict[tuple[str, ...], list[Lookup]] = {}
     for lookup in lookups:
@@ -56,11 +59,11 @@ def point_in_time_join(
     out = spine
     for entity, group in by_entity.items():
         unique = bool(spine_key) and set(spine_key) <= set(entity)
-        out = _fill(out, entity, group, ts, None if unique else hot_rows)
+        out = _fill(out, entity, group, ts, spine_key, 1 if unique else spread)
     return out
 
 
-def _fill(spine, entity, group, ts, hot_rows):
+def _fill(spine, entity, group, ts, spine_key, spread):
     slot_us = _TTLS_PER_SLOT * max(l.view.ttl_seconds for l in group) * 1_000_000
     keys = [*entity, "_slot"]
 
@@ -84,7 +87,7 @@ def _fill(spine, entity, group, ts, hot_rows):
         ).dropna(subset=list(entity))
         facts = mine if facts is None else facts.unionByName(mine, allowMissingColumns=True)
 
-    rows, facts = split_hot_keys(rows, facts, keys, row_digest(spine, "_row."), hot_rows)
+    rows, facts = spread_keys(rows, facts, keys, row_digest(spine, spine_key, "_row."), spread)
 
     # Features sort before spine rows of the same instant, so that a value is usable at its own time.
     known = (

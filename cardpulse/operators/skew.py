@@ -1,70 +1,52 @@
-"""Joins in which one key may hold a third of all rows."""
+"""Joins in which one key may hold a third of all rows.
+
+A batch join is left to adaptive execution, which splits large partitions at run time (``create_session`` asks for it
+even where that costs a shuffle). Where the engine cannot split, on a stream or below a window, ``spread`` does.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Rows of one key that one task may have to take before the key is spread over several tasks.
-HOT_ROWS = 2_000_000
 _NO_KEY_SHARES = 1024
 
 
-def split_hot_keys(
-    rows: DataFrame, facts: DataFrame, keys: list[str], digest: Column, hot_rows: int | None = HOT_ROWS
+def spread_keys(
+    rows: DataFrame, facts: DataFrame, keys: list[str], digest: Column, spread: int = 1
 ) -> tuple[DataFrame, DataFrame]:
-    """Add ``_share`` to both sides so that meeting on (keys, _share) is meeting on keys, with hot keys spread out.
+    """Add ``_share`` to both sides so that meeting on (keys, _share) is meeting on keys, in ``spread`` shares a key.
 
-    A key with more than ``hot_rows`` rows gets one share per ``hot_rows`` of them. Each row takes the share its
-    ``digest`` falls into, which is the same when a task is repeated; each fact of such a key is copied to all of them.
-    A row without key meets nothing and may go anywhere. ``hot_rows=None`` leaves one share per key and counts nothing.
+    All keys are treated alike: each row takes the share its ``digest`` falls into, which is the same when a task is
+    repeated, and each fact is copied to all shares. A row without key meets nothing and may go anywhere.
     """
     keyless = F.lit(False)
     for name in keys:
         keyless = keyless | F.col(name).isNull()
-    shares = F.lit(1)
-    if hot_rows is not None:
-        # At most (all rows / hot_rows) keys pass this filter, a million for two trillion rows: small by
-        # construction, hence the broadcast.
-        hot = F.broadcast(
-            rows.groupBy(*keys).agg(F.count("*").alias("_n"))
-            .where(F.col("_n") > hot_rows)
-            .select(*keys, F.ceil(F.col("_n") / hot_rows).cast("int").alias("_shares"))
-        )
-        rows, facts = rows.join(hot, keys, "left"), facts.join(hot, keys, "left")
-        shares = F.coalesce("_shares", F.lit(1))
-    rows = rows.withColumn(
-        "_share", F.pmod(digest, F.when(keyless, _NO_KEY_SHARES).otherwise(shares)).cast("int"))
-    if hot_rows is None:
+    rows = rows.withColumn("_share", F.pmod(
+        digest, F.when(keyless, _NO_KEY_SHARES).otherwise(spread)).cast("int"))
+    if spread == 1:
         return rows, facts.withColumn("_share", F.lit(0))
-    facts = facts.withColumn("_share", F.explode(F.sequence(F.lit(0), shares - 1)))
-    return rows.drop("_shares"), facts.drop("_shares")
-
+    return rows, facts.withColumn("_share", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
 
-def row_digest(df: DataFrame, prefix: str = "") -> Column:
-    """Hash of a row's columns; maps have no hash and are left out."""
-    names = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
-    return F.xxhash64(*[prefix + name for name in names])
 
-
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether the optimizer's estimate of ``df`` is below ``spark.sql.autoBroadcastJoinThreshold``; not, where the
-    estimate cannot be had (a remote session)."""
-    if not hasattr(df, "_jdf"):
-        return False
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) <= limit
+def row_digest(df: DataFrame, names: tuple[str, ...] = (), prefix: str = "") -> Column:
+    """Hash of the columns ``names`` or else of a row's strings and whole numbers. Other columns can differ in the last
+    bit when a task is repeated, and the row would move to another share.
+    """
+    stable = ("string", "bigint", "int", "smallint", "tinyint", "timestamp", "date")
+    chosen = names or [f.name for f in df.schema.fields if f.dataType.simpleString() in stable]
+    return F.xxhash64(*[prefix + name for name in chosen])
 
 
-def lookup_join(rows: DataFrame, facts: DataFrame, keys: list[str], hot_rows: int | None = HOT_ROWS) -> DataFrame:
+def lookup_join(rows: DataFrame, facts: DataFrame, keys: list[str], spread: int = 1) -> DataFrame:
     """Left join with a side that has at most one row per key.
 
-    While that side is small enough Spark broadcasts it and skew does not matter. Beyond that size the keys are
-    counted once and hot ones spread. A stream cannot be counted beforehand and is joined as it is.
+    ``spread`` deals every key out over that many shares and copies the facts as often. A batch needs none; give it for
+    a stream whose busiest key is too much for one task and whose facts are too large to broadcast.
     """
-    if hot_rows is None or rows.isStreaming or fits_broadcast(facts):
+    if spread == 1:
         return rows.join(facts, keys, "left")
-    left, right = split_hot_keys(rows, facts, keys, row_digest(rows), hot_rows)
+    left, right = spread_keys(rows, facts, keys, row_digest(rows), spread)
     joined = left.join(right, [*keys, "_share"], "left")
     return joined.select(*rows.columns, *[c for c in facts.columns if c not in keys])

@@ -11,11 +11,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cardpulse.functions.scalars import feature_json, feature_key
+from cardpulse.functions.scalars import feature_json, feature_key, time_text, ttl_of
 from cardpulse.functions.times import micros
 from cardpulse.operators.quality import latest_by_key
-from cardpulse.operators.skew import HOT_ROWS, lookup_join
-from cardpulse.schema import FeatureView
+from cardpulse.operators.skew import lookup_join
+from cardpulse.schema import ONLINE_VIEWS, USER_FEATURES, FeatureView
 
 
 def _moment(value) -> Column:
@@ -44,7 +44,8 @@ def write_online(
     df: DataFrame, view: FeatureView, path: str, batch_id: int, written_at=None, slide: str | None = None,
     files: int | None = None,
 ) -> None:
-    """Upsert the current value of each entity in ``df``; calling it again with the same batch changes nothing.
+    """Upsert the current value of each entity in ``df``. Calling it again with the same batch and the same
+    ``written_at`` changes nothing; without ``written_at`` a replay restarts the TTL.
 
     One table belongs to one sequence of batch ids: a query started on a new checkpoint needs a new path. ``files``
     gathers the batch into that many files; streaming runs without adaptive execution, and would write one per shuffle
@@ -74,27 +75,62 @@ def _read_batches(spark: SparkSession, paths) -> DataFrame:
     return out
 
 
-def read_online(spark: SparkSession, view: FeatureView, paths, as_of=None) -> DataFrame:
+def read_online(spark: SparkSession, view: FeatureView, paths, as_of=None, folded_up_to: int | None = None) -> DataFrame:
     """The live value of every entity at ``as_of`` (now unless given).
 
-    ``paths`` may list a compacted table followed by the newer batches of the running query.
+    ``paths`` may list a compacted table followed by the one of the running query. ``folded_up_to`` is the last batch
+    of the running table that the compacted one holds (see :func:`last_batch`): older ones are neither read nor counted.
     """
     at = F.current_timestamp() if as_of is None else _moment(as_of)
     rows = _read_batches(spark, paths)
+    if folded_up_to is not None:
+        last = 0 if isinstance(paths, str) else len(list(paths)) - 1
+        rows = rows.where((F.col("_table") < last) | (F.col("batch_id") > folded_up_to))
     current = latest_by_key(rows, view.entity, (*view.recency, "_table", "batch_id"))
     return current.where(at < F.col("expires_at")).drop("_table")
 
 
-def compact_online(spark: SparkSession, view: FeatureView, paths, target: str, as_of=None) -> None:
+def last_batch(spark: SparkSession, path: str) -> int:
+    """The number of a running table's newest batch, read from its folders' names; -1 without any."""
+    newest = spark.read.parquet(path).select(F.max(F.col("batch_id").cast("bigint"))).first()[0]
+    return -1 if newest is None else newest
+
+
+def compact_online(
+    spark: SparkSession, view: FeatureView, paths, target: str, as_of=None, folded_up_to: int | None = None
+) -> int:
     """Fold all batches into one at a *new* path, dropping expired entities; rows end up clustered by entity, so
-    that lookups read few row groups."""
-    if target in ([paths] if isinstance(paths, str) else list(paths)):
+    that lookups read few row groups. Returns the last batch of the running table (the last of ``paths``) that is in
+    it: give it to :func:`read_online` and to the next compaction as ``folded_up_to``, and to
+    :func:`expired_batches` to learn what can be removed.
+    """
+    listed = [paths] if isinstance(paths, str) else list(paths)
+    if target in listed:
         raise ValueError("compaction needs a new target path")
-    live = read_online(spark, view, paths, as_of).drop("batch_id")
+    upto = last_batch(spark, listed[-1])
+    live = read_online(spark, view, listed, as_of, folded_up_to)
+    live = live.where(F.col("batch_id") <= upto).drop("batch_id") if len(listed) == 1 else live.drop("batch_id")
     writer = live.repartitionByRange(*view.entity).sortWithinPartitions(*view.entity).write.mode("errorifexists")
     for name in view.entity:
         writer = writer.option(f"parquet.bloom.filter.enabled#{name}", "true")
     writer.parquet(f"{target.rstrip('/')}/batch_id=0")
+    return upto
+
+
+def expired_batches(
+    spark: SparkSession, path: str, as_of=None, folded_up_to: int | None = None
+) -> DataFrame:
+    """Batches of a running table that no read needs any more: (batch_id, folder, reason). Those up to
+    ``folded_up_to`` are in the compacted table; of the others, those all of whose values have expired. Removing the
+    folders is left to whoever owns the storage.
+    """
+    at = F.current_timestamp() if as_of is None else _moment(as_of)
+    batches = _read_batches(spark, path).groupBy("batch_id").agg(F.max("expires_at").alias("_until"))
+    folded = F.lit(False) if folded_up_to is None else F.col("batch_id") <= folded_up_to
+    return batches.withColumn("reason", F.when(folded, "folded").when(F.col("_until") <= at, "expired")).where(
+        "reason is not null").select(
+        "batch_id", F.concat(F.lit(f"{path.rstrip('/')}/batch_id="), F.col("batch_id").cast("string")).alias("folder"),
+        "reason")
 
 
 def push_features(
@@ -112,9 +148,15 @@ def push_features(
     write_online(df, view, online_path, batch_id, written_at, slide, files)
 
 
-def read_offline(spark: SparkSession, view: FeatureView, paths) -> DataFrame:
-    """The history with one row per (entity, event_timestamp): the version of the latest batch."""
+def read_offline(spark: SparkSession, view: FeatureView, paths, start=None, end=None) -> DataFrame:
+    """The history with one row per (entity, event_timestamp): the version of the latest batch. ``start`` and ``end``
+    (both inclusive) keep the read to the dates, and then the rows, of a range.
+    """
     rows = _read_batches(spark, paths)
+    if start is not None:
+        rows = rows.where((F.col("event_date") >= F.to_date(_moment(start))) & (F.col("event_timestamp") >= _moment(start)))
+    if end is not None:
+        rows = rows.where((F.col("event_date") <= F.to_date(_moment(end))) & (F.col("event_timestamp") <= _moment(end)))
     keys = (*view.entity, "event_timestamp")
     return latest_by_key(rows, keys, ("_table", "batch_id")).drop("_table", "batch_id")
 
@@ -122,30 +164,25 @@ def read_offline(spark: SparkSession, view: FeatureView, paths) -> DataFrame:
 def get_online_features(
     requests: DataFrame,
     lookups: list[tuple[FeatureView, DataFrame, tuple[str, ...] | None]],
-    request_key: tuple[str, ...] = (),
-    hot_rows: int | None = HOT_ROWS,
+    spread: int = 1,
 ) -> DataFrame:
     """C4: add named features to each request row; null where an entity is unknown or expired.
 
     Each lookup is (view, live rows, columns or None for all). Live rows are unique per entity, so requests are
-    never multiplied; entities with very many requests are spread. ``request_key`` names the unique columns of the
-    requests: an entity that holds them cannot be hot.
+    never multiplied. ``spread`` is for streams, see :func:`cardpulse.operators.skew.lookup_join`.
     """
     out = requests
     for view, live, columns in lookups:
-        unique = bool(request_key) and set(request_key) <= set(view.entity)
         facts = live.select(*view.entity, *(columns or view.names))
-        out = lookup_join(out, facts, list(view.entity), None if unique else hot_rows)
+        out = lookup_join(out, facts, list(view.entity), spread)
     return out
 
 
-def multi_get(
-    live: DataFrame, view: FeatureView, entities: DataFrame, hot_rows: int | None = HOT_ROWS
-) -> DataFrame:
+def multi_get(live: DataFrame, view: FeatureView, entities: DataFrame, spread: int = 1) -> DataFrame:
     """The JSON value of each listed entity under its key, null where there is none; one row per listed one."""
     (entity,) = view.entity
     values = live.select(entity, feature_json(*view.names).alias("value"))
-    return lookup_join(entities, values, [entity], hot_rows).select(
+    return lookup_join(entities, values, [entity], spread).select(
         *entities.columns, feature_key(view.name, entity).alias("key"), "value")
 
 
@@ -163,10 +200,37 @@ def from_json_value(df: DataFrame, view: FeatureView, value: str = "value") -> D
 
 
 def key_values(df: DataFrame, view: FeatureView) -> DataFrame:
-    """The current values as (key, value, ttl_seconds), for any external key-value writer."""
+    """The current values as (key, value, ttl_seconds, known_at), for any external key-value writer; ``known_at`` is the
+    time of the value as text.
+    """
     (entity,) = view.entity
+    at = next(c for c in ("window_end", "event_timestamp", "event_time") if c in df.columns)
     return latest_by_key(df, view.entity, view.recency).select(
         feature_key(view.name, entity).alias("key"),
         feature_json(*view.names).alias("value"),
-        F.lit(view.ttl_seconds).alias("ttl_seconds"),
+        ttl_of(F.lit(view.name)).alias("ttl_seconds"),
+        time_text(at).alias("known_at"),
     )
+
+
+# Names of the online values in a user's wide row.
+_WIDE_NAMES = {
+    "tx_5min": {"total_tx": "tx_last_5min_total", "approved_tx": "tx_last_5min_approved",
+                "failed_tx": "tx_last_5min_failed"},
+    "avg_amount_24h": {"avg_amount": "avg_amount_24h", "stddev_amount": "stddev_amount_24h"},
+    "velocity": {"velocity_score": "velocity_score"},
+    "device_change": {"distinct_devices": "distinct_devices_24h", "device_change_flag": "device_change_flag"},
+    "failed_attempts": {"failed_count": "failed_attempts_30min", "hard_block": "hard_block"},
+}
+
+
+def online_user_features(spark: SparkSession, paths: dict[str, str], as_of=None) -> DataFrame:
+    """K1 online: one wide row per user from the five online tables (view name to path), each value live by its own
+    TTL, null where it is not. Every user with a live value has a row; one shuffle serves all five.
+    """
+    out = None
+    for name, renamed in _WIDE_NAMES.items():
+        live = read_online(spark, ONLINE_VIEWS[name], paths[name], as_of).select(
+            "user_id", *[F.col(old).alias(new) for old, new in renamed.items()])
+        out = live if out is None else out.unionByName(live, allowMissingColumns=True)
+    return out.groupBy("user_id").agg(*[F.max(c).alias(c) for c in USER_FEATURES.names])

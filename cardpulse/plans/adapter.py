@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cardpulse.sources.transactions import read_transactions
+
 EPOCH_US = 1704067200000000
 SPEEDUP = 360
 
@@ -34,13 +36,13 @@ _TX = {
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_transactions(spark, "parquet", f"{sf_dir}/{name}.parquet", streaming=False)
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Written as a pattern because a stream takes a single file only that way.
     layout = table(spark, sf_dir, "events").schema
-    return spark.readStream.schema(layout).parquet(f"{sf_dir}/event[s].parquet")
+    return read_transactions(spark, "parquet", f"{sf_dir}/event[s].parquet", layout)
 
 
 def _numbered(events: DataFrame) -> DataFrame:
@@ -64,8 +66,12 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def flawed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records of which some miss a required field, have an unknown status, or leave defaults to be filled."""
+    return flawed(records(spark, sf_dir))
+
+
+def flawed(rows: DataFrame) -> DataFrame:
     return (
-        records(spark, sf_dir)
+        rows
         .withColumn("merchant_id", F.expr("case when k <> 13 then merchant_id end"))
         .withColumn("status", F.expr("case when k = 29 then 'REVERSED' else status end"))
         .withColumn("amount", F.expr("case when k <> 41 then amount end"))
@@ -93,6 +99,10 @@ def writer_schemas() -> dict:
 
 def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Framed messages (event_id, value), some of them broken."""
+    return frames_of(records(spark, sf_dir))
+
+
+def frames_of(rows: DataFrame) -> DataFrame:
     wire = [f.name for f in writer_schemas()[CURRENT_SCHEMA_ID].fields]
     body = F.to_json(F.struct(*wire)).cast("binary")
     older = F.to_json(F.struct(*[c for c in wire if c not in ("currency", "metadata")])).cast("binary")
@@ -107,14 +117,29 @@ def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(k % 2 == 0, F.concat(head[OLDER_SCHEMA_ID], older))
         .otherwise(F.concat(head[CURRENT_SCHEMA_ID], body))
     )
-    return records(spark, sf_dir).select("event_id", value.alias("value"))
+    return rows.select("event_id", value.alias("value"))
+
+
+def timestamp_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Framed messages of a writer whose event time is a logical timestamp."""
+    rows = transactions(spark, sf_dir)
+    body = F.to_json(F.struct(*[f.name for f in timestamp_schema().fields])).cast("binary")
+    return rows.select("event_id", F.concat(F.lit(b"\x00" + CURRENT_SCHEMA_ID.to_bytes(4, "big")), body).alias("value"))
+
+
+def timestamp_schema():
+    from pyspark.sql.types import StructField, StructType, TimestampType
+
+    return StructType([
+        StructField(f.name, TimestampType()) if f.name == "event_time" else f
+        for f in writer_schemas()[CURRENT_SCHEMA_ID].fields])
 
 
 def profile_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers in debt have no profile, so that some users go without."""
-    return table(spark, sf_dir, "customer").where("c_acctbal >= 0").selectExpr(
+    """Every customer; the country of those in debt is not known."""
+    return table(spark, sf_dir, "customer").selectExpr(
         "'user-' || c_custkey as user_id",
-        "element_at(array('FR', 'US', 'GB', 'DE', 'NG'), 1 + c_nationkey % 5) as country",
+        "case when c_acctbal >= 0 then element_at(array('FR', 'US', 'GB', 'DE', 'NG'), 1 + c_nationkey % 5) end as country",
     )
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,9 +46,9 @@ def _profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return user_profiles(adapter.profile_table(spark, sf_dir))
 
 
-def _user_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _user_features(spark: SparkSession, sf_dir: str, current_only: bool = False) -> DataFrame:
     tx = transactions(spark, sf_dir)
-    return tables.backfill_user_features(tx, _amounts(tx), features.device_change(tx))
+    return tables.backfill_user_features(tx, _amounts(tx), features.device_change(tx), current_only)
 
 
 def _tx_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -163,7 +165,7 @@ def online_lookup(spark, sf_dir):
     requests = transactions(spark, sf_dir).select("transaction_id", "user_id")
     return scored.scoring_features(
         requests,
-        _live(_user_features(spark, sf_dir), USER_FEATURES, "1 minute"),
+        _live(_user_features(spark, sf_dir, current_only=True), USER_FEATURES, "1 minute"),
         _live(_tx_features(spark, sf_dir), TRANSACTION_FEATURES),
     )
 
@@ -206,19 +208,27 @@ def feature_vector(spark, sf_dir):
     return scoring.numeric_features(online_lookup(spark, sf_dir).drop("hard_block", "country_mismatch_flag"))
 
 
-def _stand_in_score(df: DataFrame) -> DataFrame:
-    """A linear score of whole ten-thousandths, in place of a fitted model."""
+def _formula_model() -> PipelineModel:
+    """A model of fixed formula stages, a linear score of whole ten-thousandths, that SQL can restate."""
     points = (
         "400 * coalesce(tx_last_5min_total, 0) + 900 * coalesce(tx_last_5min_failed, 0) "
         "+ 500 * coalesce(failed_attempts_30min, 0) + 1500 * cast(coalesce(device_change_flag, false) as int) "
         "+ cast(round(coalesce(velocity_score, 0.0D) * 10000) as bigint) "
         "+ cast(round(coalesce(country_risk_score, 0.0D) * 5000) as bigint)"
     )
-    return df.withColumn("score", F.round(F.expr(f"least(10000, {points}) / 10000.0D"), 4))
+    scored = f"least(10000, {points}) / 10000.0D"
+    return PipelineModel([
+        SQLTransformer(statement=f"SELECT *, 1.0D - {scored} AS _p0, {scored} AS _p1 FROM __THIS__"),
+        VectorAssembler(inputCols=["_p0", "_p1"], outputCol="probability"),
+    ])
+
+
+def model_scores(spark, sf_dir):
+    return scoring.score(online_lookup(spark, sf_dir), _formula_model()).select("transaction_id", "user_id", "score")
 
 
 def decisions(spark, sf_dir):
-    return scoring.decide(_stand_in_score(online_lookup(spark, sf_dir))).select(
+    return scoring.decide(scoring.score(online_lookup(spark, sf_dir), _formula_model())).select(
         "transaction_id", "user_id", "hard_block", "score", "decision")
 
 
@@ -272,6 +282,123 @@ def stream_velocity_online(spark, sf_dir):
     return in_micros(live.select("user_id", "window_end", *view.names, "last_event_time"))
 
 
+def tx_decoded_timestamps(spark, sf_dir):
+    """Messages whose writer has a timestamp for the event time; it arrives as epoch milliseconds."""
+    decoded = decode_transactions(
+        split_wire_frame(adapter.timestamp_frames(spark, sf_dir)),
+        {adapter.CURRENT_SCHEMA_ID: adapter.timestamp_schema()})
+    return decoded.select("transaction_id", "amount", "event_time", "decode_error")
+
+
+def stream_rejects(spark, sf_dir):
+    """Every message of a stream ends in one of two tables; the reason is null for valid ones."""
+    events = adapter.from_events(adapter.event_stream(spark, sf_dir))
+    frames = adapter.frames_of(adapter.flawed(events.withColumn("event_time", F.expr("event_us div 1000"))))
+    path = streams.shared_folder(spark, "stream-rejects")
+    streams.start_ingest(
+        frames, adapter.writer_schemas(), f"{path}/good", f"{path}/rejected", f"{path}/checkpoint",
+        trigger={"availableNow": True}).awaitTermination()
+    good = spark.read.parquet(f"{path}/good").select("event_id", F.lit(None).cast("string").alias("reject_reason"))
+    return good.unionByName(spark.read.parquet(f"{path}/rejected").select("event_id", "reject_reason"))
+
+
+def online_user_row(spark, sf_dir):
+    """The five user features as streams into their online tables, then one live row per user."""
+    tx = conform.with_watermark(adapter.from_events(adapter.event_stream(spark, sf_dir)))
+    path = streams.shared_folder(spark, "online-user")
+    paths = {}
+    for name in ("f01", "f02", "f04", "f05", "f06"):
+        # Sums of whole cents are exact in any order.
+        rows = tx.withColumn("amount", F.col("amount_cents").cast("double")) if name == "f02" else tx
+        view = streams.FEATURE_QUERIES[name].view.name
+        paths[view] = f"{path}/{view}"
+        streams.start_feature(name, rows, paths[view], f"{path}/checkpoints", trigger={"availableNow": True},
+                              written_at=AS_OF).awaitTermination()
+    row = store.online_user_features(spark, paths, "2024-01-01 02:04:59")
+    return row.withColumn("avg_amount_24h", F.col("avg_amount_24h") / 100).withColumn(
+        "stddev_amount_24h", F.round(F.col("stddev_amount_24h") / 100, 4))
+
+
+def training_from_store(spark, sf_dir):
+    """Both feature tables pushed to the store, and the training set read back from its history."""
+    start, end = "2024-01-01 00:30:00", "2024-01-01 01:45:00"
+    path = streams.shared_folder(spark, "offline")
+    user, tx = f"{path}/user", f"{path}/transaction"
+    store.push_features(_user_features(spark, sf_dir), USER_FEATURES, f"{user}/on", f"{user}/off", 0, AS_OF, "1 minute")
+    store.push_features(_tx_features(spark, sf_dir), TRANSACTION_FEATURES, f"{tx}/on", f"{tx}/off", 0, AS_OF)
+    return in_micros(tables.training_dataset(
+        adapter.label_table(spark, sf_dir),
+        store.read_offline(spark, USER_FEATURES, f"{user}/off", "2023-12-31 00:30:00", end),
+        store.read_offline(spark, TRANSACTION_FEATURES, f"{tx}/off", "2024-01-01 00:20:00", end),
+        start, end))
+
+
+def online_compacted(spark, sf_dir):
+    """Four batches of which three are folded; the read takes the folded table and the fourth batch."""
+    view = ONLINE_VIEWS["tx_5min"]
+    counts = features.tx_counts(transactions(spark, sf_dir))
+    path = streams.shared_folder(spark, "compacted")
+    minute = F.expr("(unix_micros(window_end) - 1704067200000000) div 60000000")
+    for batch in range(4):
+        part = counts.where(F.least(F.lit(3), minute.cast("bigint") / 30).cast("int") == batch)
+        store.write_online(part, view, f"{path}/running", batch, F.col("window_end"), "1 minute")
+        if batch == 2:
+            folded = store.compact_online(spark, view, f"{path}/running", f"{path}/folded", "2024-01-01 01:30:00")
+    live = store.read_online(
+        spark, view, [f"{path}/folded", f"{path}/running"], "2024-01-01 01:59:00", folded)
+    return in_micros(live.select("user_id", "window_end", *view.names, "last_event_time", "expires_at"))
+
+
+def _appended(df: DataFrame, path: str, spark: SparkSession) -> DataFrame:
+    df.writeStream.outputMode("append").format("parquet").option("checkpointLocation", f"{path}/checkpoint").trigger(
+        availableNow=True).start(f"{path}/rows").awaitTermination()
+    return spark.read.parquet(f"{path}/rows")
+
+
+def stream_tumbling(spark, sf_dir):
+    """F07 as a stream: the windows that the 10-second watermark has closed, by the writer of the debugging sink."""
+    tx = adapter.from_events(adapter.event_stream(spark, sf_dir)).select(
+        "user_id", "transaction_id", "amount_cents", "status", "device_id", "event_time")
+    path = streams.shared_folder(spark, "stream-tumbling")
+    streams.start_tumbling_velocity(
+        streams.tumbling_input(tx), f"{path}/checkpoint", "parquet", {"availableNow": True}, path=f"{path}/rows",
+    ).awaitTermination()
+    return in_micros(spark.read.parquet(f"{path}/rows"))
+
+
+def stream_country_risk(spark, sf_dir):
+    """F03 as a stream in append mode, one row per transaction."""
+    tx = adapter.from_events(adapter.event_stream(spark, sf_dir))
+    risk = features.country_mismatch(tx, _profiles(spark, sf_dir))
+    return in_micros(_appended(risk, streams.shared_folder(spark, "stream-risk"), spark))
+
+
+def stream_dedup(spark, sf_dir):
+    """All transactions delivered twice, in two micro-batches; each counts once in the users' newest F01 window."""
+    path = streams.shared_folder(spark, "stream-dedup")
+    tx = transactions(spark, sf_dir).select("transaction_id", "user_id", "status", "event_time").coalesce(1)
+    for _ in range(2):
+        tx.write.mode("append").parquet(f"{path}/delivered")
+    delivered = spark.readStream.schema(tx.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/delivered")
+    streams.start_feature(
+        "f01", conform.dedupe_transactions(conform.with_watermark(delivered)), f"{path}/online", f"{path}/checkpoints",
+        trigger={"availableNow": True}, written_at=AS_OF).awaitTermination()
+    view = ONLINE_VIEWS["tx_5min"]
+    live = store.read_online(spark, view, f"{path}/online", "2024-01-01 02:04:59")
+    return in_micros(live.select("user_id", "window_end", *view.names, "last_event_time"))
+
+
+def created_at(spark, sf_dir):
+    return in_micros(quality.with_created_at(_tx_features(spark, sf_dir), AS_OF))
+
+
+def key_values(spark, sf_dir):
+    """Every user's velocity as key and value, with its TTL and its time as text."""
+    view = ONLINE_VIEWS["velocity"]
+    rows = store.key_values(features.velocity(transactions(spark, sf_dir)), view)
+    return store.from_json_value(rows, view).drop("value").withColumn("ttl_seconds", F.col("ttl_seconds").cast("bigint"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -282,5 +409,7 @@ QUERIES = {
         user_features_wide, user_features_joined, transaction_features, labels_in_range, training_dataset,
         feature_vector, decisions, routed_alerts, pk_violations, constraint_violations,
         stream_tx_counts, stream_velocity_online,
+        tx_decoded_timestamps, stream_rejects, online_user_row, training_from_store, online_compacted, model_scores,
+        stream_tumbling, stream_country_risk, stream_dedup, created_at, key_values,
     )
 }

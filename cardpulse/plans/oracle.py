@@ -88,8 +88,9 @@ f06 as (
 
 _F03 = """
 profiles as (
-  select 'user-' || c_custkey as user_id, (['FR', 'US', 'GB', 'DE', 'NG'])[1 + c_nationkey % 5] as home_country
-  from customer where c_acctbal >= 0),
+  select 'user-' || c_custkey as user_id,
+         case when c_acctbal >= 0 then (['FR', 'US', 'GB', 'DE', 'NG'])[1 + c_nationkey % 5] end as home_country
+  from customer),
 f03_risk as (
   select transaction_id, tx.user_id, event_us as event_time, merchant_country, home_country,
          case when home_country is null then 0.0::double
@@ -299,4 +300,55 @@ ORACLE = {
         """select user_id, window_end, velocity_score, cnt_1m, cnt_5m, cnt_1h, last_event_time from f04
            qualify row_number() over (partition by user_id order by last_event_time desc, window_end) = 1""",
         _F04),
+    "tx_decoded_timestamps": _query(
+        """select transaction_id, amount, event_us // 1000 as event_time, null::varchar as decode_error from tx"""),
+    "stream_rejects": _query(
+        """select event_id, coalesce(frame_error, case k when 11 then 'unknown schema id' when 17 then 'unreadable body'
+                    when 57 then 'missing user_id' when 41 then 'missing amount' when 13 then 'missing merchant_id'
+                    when 29 then 'unknown status' end) as reject_reason
+           from frames""",
+        _FRAMES),
+    "online_user_row": _query(
+        " full join ".join(
+            ("select user_id, tx_last_5min_total, tx_last_5min_approved, tx_last_5min_failed, avg_amount_24h, "
+             "stddev_amount_24h, velocity_score, distinct_devices_24h, device_change_flag, failed_attempts_30min, "
+             "hard_block from " if i == 0 else "")
+            + f"""(select user_id, {columns} from {name} qualify row_number() over (
+                     partition by user_id order by last_event_time desc, window_end) = 1) as {name}_now
+            """ + (" using (user_id)" if i else "")
+            for i, (name, columns) in enumerate((
+                ("f01", "total_tx as tx_last_5min_total, approved_tx as tx_last_5min_approved, "
+                        "failed_tx as tx_last_5min_failed"),
+                ("f02", "avg_amount as avg_amount_24h, stddev_amount as stddev_amount_24h"),
+                ("f04", "velocity_score"),
+                ("f05", "distinct_devices as distinct_devices_24h, device_change_flag"),
+                ("f06", "failed_count as failed_attempts_30min, hard_block")))),
+        _F01, _f02(), _F04, _F05, _F06),
+    "online_compacted": _query(
+        f"""select user_id, window_end, total_tx, approved_tx, failed_tx, last_event_time,
+                   window_end + {10 * MINUTE}::bigint as expires_at
+            from (select * from f01
+                  qualify row_number() over (partition by user_id order by last_event_time desc, window_end) = 1)
+            where {AS_OF_US - MINUTE} < window_end + {10 * MINUTE}::bigint""",
+        _F01),
+    "model_scores": _query("select transaction_id, user_id, linear as score from points",
+                           *_ALL_FEATURES, _F03, _K2, _LOOKUP, _DECIDED),
+    "stream_country_risk": _query("select * from f03", _F03),
+    "stream_dedup": _query(
+        """select user_id, window_end, total_tx, approved_tx, failed_tx, last_event_time from f01
+           qualify row_number() over (partition by user_id order by last_event_time desc, window_end) = 1""",
+        _F01),
+    "created_at": _query(f"select *, {AS_OF_US} as created_at from k2", _F03, _K2),
+    "key_values": _query(
+        f"""select 'feature:velocity:' || user_id as key, velocity_score, cnt_1m, cnt_5m, cnt_1h,
+                   300::bigint as ttl_seconds,
+                   strftime(make_timestamp(window_end), '%Y-%m-%d %H:%M:%S') as known_at
+            from f04 qualify row_number() over (
+              partition by user_id order by last_event_time desc, window_end) = 1""",
+        _F04),
 }
+ORACLE["training_from_store"] = ORACLE["training_dataset"]
+ORACLE["stream_tumbling"] = (
+    "select * from (" + ORACLE["f07_tumbling_velocity"] + ") where window_end <= "
+    f"(select (max(event_time) // 1000) * 1000 from ({ORACLE['tx_dedup'].replace('event_us from tx', 'event_us as event_time from tx')}))"
+    " - 10000000")

@@ -20,7 +20,7 @@ def scoring_features(requests: DataFrame, live_users: DataFrame, live_tx: DataFr
     return get_online_features(requests, [
         (USER_FEATURES, live_users, SCORING_USER_FEATURES),
         (TRANSACTION_FEATURES, live_tx, SCORING_TX_FEATURES),
-    ], request_key=("transaction_id",))
+    ])
 
 
 def decide_requests(

@@ -9,8 +9,7 @@ from pyspark.sql.window import Window
 from cardpulse.functions.scalars import amount_ratio, velocity
 from cardpulse.functions.times import micros
 from cardpulse.operators import features
-from cardpulse.operators.pointintime import Lookup, point_in_time_join
-from cardpulse.operators.skew import HOT_ROWS
+from cardpulse.operators.pointintime import SPREAD, Lookup, point_in_time_join
 from cardpulse.operators.windows import Tally, sliding_tallies
 from cardpulse.schema import (
     ONLINE_VIEWS,
@@ -62,19 +61,24 @@ def build_user_features(
         F.col("failed_tx").alias("tx_last_5min_failed"),
         "last_event_time",
     )
-    # Every side has at most one row per user and slide step, so no slot can be hot and none has to be counted.
+    # Every side has at most one row per user and slide step, so no slot can be hot.
     wide = point_in_time_join(spine, [
         _amount_lookup(amounts),
         _wide(speed, "velocity", velocity_score="velocity_score"),
         _device_lookup(devices),
         _wide(failures, "failed_attempts", failed_count="failed_attempts_30min", hard_block="hard_block"),
-    ], hot_rows=None)
+    ], spread=1)
     return wide.select("user_id", "event_timestamp", *USER_FEATURES.names, "last_event_time")
 
 
-def backfill_user_features(tx: DataFrame, amounts: DataFrame, devices: DataFrame) -> DataFrame:
+def backfill_user_features(
+    tx: DataFrame, amounts: DataFrame, devices: DataFrame, current_only: bool = False
+) -> DataFrame:
     """K1 straight from transactions, with F02 and F05 given: the same rows as :func:`build_user_features`.
 
+    ``current_only`` leaves out rows that can't be their user's current one, before anything is looked up for them:
+    windows whose newest event lies more than one slide back.
+
     F01, F04 and F06 are counts on one minute grid, so one scan and one pane shuffle serve all three. F04 ends where
     F01 ends and needs no lookup; the newest live F06 row is carried along the same sorted rows.
     """
@@ -109,7 +113,10 @@ def backfill_user_features(tx: DataFrame, amounts: DataFrame, devices: DataFrame
             "last_event_time",
         )
     )
-    wide = point_in_time_join(spine, [_amount_lookup(amounts), _device_lookup(devices)], hot_rows=None)
+    if current_only:
+        spine = spine.where(
+            F.unix_micros("event_timestamp") - F.unix_micros("last_event_time") <= micros("1 minute"))
+    wide = point_in_time_join(spine, [_amount_lookup(amounts), _device_lookup(devices)], spread=1)
     return wide.select("user_id", "event_timestamp", *USER_FEATURES.names, "last_event_time")
 
 
@@ -132,22 +139,28 @@ def training_dataset(
     end,
     user_columns: tuple[str, ...] = TRAINING_USER_FEATURES,
     tx_columns: tuple[str, ...] = TRAINING_TX_FEATURES,
-    hot_rows: int | None = HOT_ROWS,
+    spread: int = SPREAD,
 ) -> DataFrame:
-    """K3: labels of a closed time range with the feature values known at each label's time."""
+    """K3: labels of a closed time range with the feature values known at each label's time. Of the features, only
+    those from one TTL before ``start`` to ``end`` are read.
+    """
+    def usable(rows, view):
+        first = F.lit(start).cast("timestamp") - F.make_dt_interval(secs=F.lit(view.ttl_seconds))
+        return rows.where(F.col("event_timestamp").between(first, F.lit(end).cast("timestamp")))
+
     return point_in_time_join(
         labels_between(labels, start, end),
         [
-            Lookup(user_features, USER_FEATURES, user_columns),
-            Lookup(tx_features, TRANSACTION_FEATURES, tx_columns),
+            Lookup(usable(user_features, USER_FEATURES), USER_FEATURES, user_columns),
+            Lookup(usable(tx_features, TRANSACTION_FEATURES), TRANSACTION_FEATURES, tx_columns),
         ],
         spine_key=("transaction_id",),
-        hot_rows=hot_rows,
+        spread=spread,
     )
 
 
-def with_amount_ratio(tx: DataFrame, amounts: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+def with_amount_ratio(tx: DataFrame, amounts: DataFrame, spread: int = SPREAD) -> DataFrame:
     """H5: each transaction's amount relative to the user's newest known 24-hour average."""
     average = Lookup(_known_at_end(amounts), ONLINE_VIEWS["avg_amount_24h"], ("avg_amount",))
-    joined = point_in_time_join(tx, [average], ts="event_time", spine_key=("transaction_id",), hot_rows=hot_rows)
+    joined = point_in_time_join(tx, [average], ts="event_time", spine_key=("transaction_id",), spread=spread)
     return joined.withColumn("amount_ratio", amount_ratio("avg_amount", "amount"))

@@ -22,6 +22,8 @@ def create_session(
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # A hot key is split even where that takes another shuffle.
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         # Call-site capture costs a round trip to the JVM per column expression.
         "spark.python.sql.dataFrameDebugging.enabled": "false",
     }

@@ -62,12 +62,22 @@ def split_wire_frame(df: DataFrame, value: str = "value") -> DataFrame:
     )
 
 
-def _record_fields(record: str, writer_fields: list[str]) -> Column:
-    """The record projected on the target layout; fields the writer did not know are null."""
-    return F.struct(*[
-        (F.col(f"{record}.{f.name}") if f.name in writer_fields else F.lit(None)).cast(f.dataType).alias(f.name)
-        for f in _PAYLOAD_FIELDS
-    ])
+def _record_fields(record: str, writer: T.StructType) -> Column:
+    """The record projected on the target layout; fields the writer did not know are null. A logical timestamp becomes
+    the epoch milliseconds that the layout has (a cast to a number would give seconds).
+    """
+    kinds = {f.name: f.dataType for f in writer.fields}
+
+    def value(field: T.StructField) -> Column:
+        if field.name not in kinds:
+            return F.lit(None)
+        column = F.col(f"{record}.{field.name}")
+        if isinstance(kinds[field.name], (T.TimestampType, T.TimestampNTZType)) and isinstance(
+                field.dataType, T.LongType):
+            return F.unix_millis(column.cast("timestamp"))
+        return column
+
+    return F.struct(*[value(f).cast(f.dataType).alias(f.name) for f in _PAYLOAD_FIELDS])
 
 
 def _parse(payload: Column, schema, fmt: str) -> Column:
@@ -94,23 +104,25 @@ def decode_transactions(df: DataFrame, schemas: dict, fmt: str = "json") -> Data
         name = f"_record_{schema_id}"
         mine = F.col("schema_id") == schema_id
         parsed = parsed.withColumn(name, F.when(mine, _parse(F.col("payload"), schema, fmt)))
-        fields = parsed.schema[name].dataType.fieldNames()
-        here = F.when(mine & F.col(name).isNotNull(), _record_fields(name, fields))
+        here = F.when(mine & F.col(name).isNotNull(), _record_fields(name, parsed.schema[name].dataType))
         record = here if record is None else F.coalesce(record, here)
     # The record leaves through a generator: a filter on its fields, such as the one on a missing id, stays above
     # it instead of being pushed down together with a second copy of the parsing.
     frame_error = F.col("frame_error") if "frame_error" in df.columns else F.lit(None).cast("string")
     fields = [f.name for f in _PAYLOAD_FIELDS]
+    # A body without any field of the record counts as unreadable, as does one that is no record.
+    anything = F.coalesce(*[F.col(f"_record.{f.name}").cast("string") for f in _PAYLOAD_FIELDS if f.name != "metadata"])
     opened = parsed.select(
         *kept, "schema_id", frame_error.alias("_frame_error"), record.alias("_record"),
     ).select(
-        *kept, "schema_id", "_frame_error",
+        *kept, "schema_id", "_frame_error", anything.isNotNull().alias("_read"),
         F.inline_outer(F.when(F.col("_record").isNotNull(), F.array("_record"))),
     )
     known = F.col("schema_id").isin([int(i) for i in schemas])
     error = (
         F.when(F.col("_frame_error").isNotNull(), F.col("_frame_error"))
         .when(~known, "unknown schema id")
+        .when(F.col("transaction_id").isNull() & F.col("_read"), "missing transaction_id")
         .when(F.col("transaction_id").isNull(), "unreadable body")
     )
     return opened.select(

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from cardpulse.operators import features
@@ -56,23 +55,45 @@ FEATURE_QUERIES = {
 }
 
 
-@functools.cache
-def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="cardpulse-")
-
-
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh path under the cluster's ``spark.checkpoint.dir``; a temporary folder only for a local master."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all nodes share")
-        root = _local_root()
+    """A fresh path under the first of these that is set: ``spark.checkpoint.dir``, the session's default place of
+    streaming checkpoints, the warehouse. All nodes of a cluster share them.
+    """
+    root = (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or spark.conf.get("spark.sql.streaming.checkpointLocation", None)
+        or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
+    )
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def start_ingest(
+    frames: DataFrame, schemas: dict, good_path: str, reject_path: str, checkpoint: str, fmt: str = "json",
+    trigger: dict | None = None,
+):
+    """Framed messages into two tables, ``<path>/batch_id=N``: valid transactions with their event time, and all other
+    messages with the reason (of the frame, the decoding or the validation). The source is read once; a batch that is
+    repeated replaces itself.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        decoded = decode_transactions(split_wire_frame(batch), schemas, fmt).persist()
+        try:
+            good, rejected = conform_transactions(keep_decoded(decoded))
+            unread = decoded.where(F.col("transaction_id").isNull()).withColumn("reject_reason", F.col("decode_error"))
+            with_event_time(good).drop("value", "decode_error").write.mode("overwrite").parquet(
+                f"{good_path.rstrip('/')}/batch_id={batch_id}")
+            rejected.unionByName(unread).drop("decode_error").write.mode("overwrite").parquet(
+                f"{reject_path.rstrip('/')}/batch_id={batch_id}")
+        finally:
+            decoded.unpersist()
+
+    return _writer(frames, "append", checkpoint, trigger).foreachBatch(write).start()
+
+
 def ingest(frames: DataFrame, schemas: dict, fmt: str = "json", delay: str = WATERMARK) -> DataFrame:
-    """Framed messages to valid transactions with event time and watermark."""
+    """Framed messages to valid transactions with event time and watermark, without the others: run
+    :func:`start_ingest` on the same source to keep those, or read its table of valid transactions instead.
+    """
     good, _ = conform_transactions(keep_decoded(decode_transactions(split_wire_frame(frames), schemas, fmt)))
     return with_watermark(with_event_time(good), delay)
 

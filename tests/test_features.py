@@ -1,4 +1,4 @@
-"""The reference figures of each feature, and every threshold from both sides."""
+"""Figures of each feature, and every threshold from both sides."""
 
 import pytest
 from pyspark.sql import functions as F
@@ -18,20 +18,21 @@ def row(i, user, amount, status, reason=None, device="d1", second=0.0, country="
 
 def test_counts(spark):
     tx = tx_rows(spark, [
-        row(1, "u1", 10.0, "APPROVED"), row(2, "u1", 5.0, "FAILED", "CARD_BLOCKED"), row(3, "u1", 20.0, "APPROVED")])
-    got = trailing(features.tx_counts(tx), "u1")
-    assert (got.total_tx, got.approved_tx, got.failed_tx) == (3, 2, 1)
+        row(1, "ann", 7.5, "FAILED", "WRONG_PIN"), row(2, "ann", 7.5, "FAILED", "WRONG_PIN", second=20),
+        row(3, "ann", 7.5, "APPROVED", second=40), row(4, "ann", 7.5, "PENDING", second=50), row(5, "bob", 1.0, "APPROVED")])
+    got = trailing(features.tx_counts(tx), "ann")
+    assert (got.total_tx, got.approved_tx, got.failed_tx) == (4, 1, 2)
 
 
 def test_amounts_of_approved_only(spark):
     tx = tx_rows(spark, [
-        row(1, "u2", 100.0, "APPROVED"), row(2, "u2", 200.0, "APPROVED"), row(3, "u2", 50.0, "FAILED"),
-        row(4, "u9", 50.0, "FAILED")])
+        row(1, "cy", 12.0, "APPROVED"), row(2, "cy", 18.0, "APPROVED", second=5), row(3, "cy", 33.0, "APPROVED", second=6),
+        row(4, "cy", 900.0, "DECLINED", second=7), row(5, "dee", 4.0, "PENDING")])
     stats = features.amount_stats(tx)
-    got = trailing(stats, "u2")
-    assert (got.avg_amount, got.max_amount, got.min_amount, got.sum_amount) == (150.0, 200.0, 100.0, 300.0)
-    assert got.stddev_amount == pytest.approx(70.710678118, rel=1e-9)
-    assert stats.where("user_id = 'u9'").isEmpty()
+    got = trailing(stats, "cy")
+    assert (got.avg_amount, got.max_amount, got.min_amount, got.sum_amount) == (21.0, 33.0, 12.0, 63.0)
+    assert got.stddev_amount == pytest.approx(117 ** 0.5, rel=1e-9)
+    assert stats.where("user_id = 'dee'").isEmpty()
 
 
 def test_deviation_of_one_amount_is_null(spark):

@@ -38,8 +38,8 @@ def brute(spine, facts, view):
     return out
 
 
-@pytest.mark.parametrize("hot_rows", [None, 2_000_000, 5])
-def test_against_brute_force(spark, hot_rows):
+@pytest.mark.parametrize("spread", [1, 8, 50])
+def test_against_brute_force(spark, spread):
     rng = random.Random(3)
     users = ["hot"] * 4 + [f"u{i}" for i in range(6)] + [None]
     spine = [(rng.choice(users), f"t{i}", at(rng.uniform(-200_000, 200_000)) if i % 40 else None) for i in range(400)]
@@ -59,7 +59,7 @@ def test_against_brute_force(spark, hot_rows):
         spark.createDataFrame(spine, SPINE),
         [Lookup(features(spark, FAST, fast), FAST), Lookup(features(spark, SLOW, slow), SLOW, ("c", "b")),
          Lookup(features(spark, OWN, own), OWN)],
-        spine_key=("transaction_id",), hot_rows=hot_rows)
+        spine_key=("transaction_id",), spread=spread)
     assert got.columns == ["user_id", "transaction_id", "event_timestamp", "a", "c", "b", "d"]
     rows = {r.transaction_id: r for r in got.collect()}
     assert len(rows) == got.count() == 400
@@ -91,16 +91,16 @@ def test_no_features_at_all(spark):
 
 
 def test_a_hot_slot_is_split_and_stays_whole(spark):
-    """A third of the spine belongs to one user and one slot; with a low limit it spreads over many tasks."""
+    """A third of the spine belongs to one user and one slot; with shares it spreads over many tasks."""
     spine = spark.range(60_000).selectExpr(
         "case when id % 3 = 0 then 'hot' else 'u' || id % 500 end as user_id", "'t' || id as transaction_id",
         "timestamp_seconds(1700000000 + id % 1000) as event_timestamp")
     facts = spark.range(0, 1000, 50).selectExpr("timestamp_seconds(1700000000 + id) as event_timestamp", "id as a") \
         .crossJoin(spark.sql("select 'hot' as user_id union all select 'u1'"))
-    joined = {n: point_in_time_join(spine, [Lookup(facts, FAST)], hot_rows=n) for n in (None, 1000)}
-    assert joined[1000].count() == 60_000
-    assert joined[None].exceptAll(joined[1000]).isEmpty()
-    busiest = joined[1000].where("user_id = 'hot'").groupBy(F.spark_partition_id()).count().count()
+    joined = {n: point_in_time_join(spine, [Lookup(facts, FAST)], spread=n) for n in (1, 20)}
+    assert joined[20].count() == 60_000
+    assert joined[1].exceptAll(joined[20]).isEmpty()
+    busiest = joined[20].where("user_id = 'hot'").groupBy(F.spark_partition_id()).count().count()
     assert busiest > 1
 
 

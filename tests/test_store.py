@@ -72,8 +72,14 @@ def test_compaction_keeps_the_values_and_newer_batches_follow(spark, tmp_path):
         store.write_online(counts(spark, [("u", 60 * batch, batch, 60 * batch - 1), (f"v{batch}", 60, 1, 59)]),
                            VIEW, path, batch, at(0))
     before = online(spark, path)
-    store.compact_online(spark, VIEW, path, base, at(30))
-    assert online(spark, base) == before
+    folded = store.compact_online(spark, VIEW, path, base, at(30))
+    assert folded == 3 and online(spark, base) == before
+    store.write_online(counts(spark, [("u", 150, 7, 149)]), VIEW, path, 4, at(0))
+    store.write_online(counts(spark, [("u", 240, 8, 239)]), VIEW, path, 5, at(-700))
+    later = store.read_online(spark, VIEW, [base, path], at(30), folded)
+    assert {r.user_id for r in later.collect()} == {"v0", "v1", "v2", "v3"}  # u's newest value has expired
+    assert [(r.batch_id, r.reason) for r in store.expired_batches(spark, path, at(30), folded).orderBy("batch_id").collect()
+            ] == [(0, "folded"), (1, "folded"), (2, "folded"), (3, "folded"), (5, "expired")]
     assert spark.read.parquet(base).count() == len(before) == 5
     store.write_online(counts(spark, [("u", 180, 9, 179)]), VIEW, newer, 0, at(20))
     assert online(spark, [base, newer]) == {**before, "u": 9}
@@ -138,7 +144,7 @@ def test_gets_and_json(spark):
     assert tuple(store.get_one(live, VIEW, "u").first()) == ("u", 3, 3, 0)
     assert store.get_one(live, VIEW, "ghost").isEmpty()
     pairs = store.key_values(counts(spark, [("u", 60, 3, 59), ("u", 120, 9, 59)]), VIEW).collect()
-    assert [tuple(p) for p in pairs] == [("feature:tx_5min:u", '{"total_tx":3,"approved_tx":3,"failed_tx":0}', 600)]
+    assert [tuple(p) for p in pairs] == [("feature:tx_5min:u", '{"total_tx":3,"approved_tx":3,"failed_tx":0}', 600, "2024-05-01 12:01:00")]
 
 
 def test_a_point_lookup_reaches_the_scan(spark, tmp_path):
