@@ -217,7 +217,7 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     """``page_id``, ``url``, ``text`` and ``n_chars`` of every page, from its whole html.
 
     Null html is empty and gives an empty text. Rows with one id stay separate rows and share a neighbour; a null id
-    is an id like others; a null url counts as a host of its own. Other columns are ignored; an empty table gives an
+    has no neighbour and is none; urls without host are one host. Other columns are ignored; an empty table gives an
     empty result.
     """
     base = pages.select(
@@ -225,7 +225,7 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     lines = base.select("html", "page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     kind = base.schema["page_id"].dataType.simpleString()
     lines = lines.mapInArrow(_lines, f"lines array<bigint>, page_id {kind}, host string, path string")
-    lines = written(lines.groupBy("page_id").agg(F.min(F.struct("host", "path", "lines")).alias("p")).select(
+    lines = written(lines.where("page_id is not null").groupBy("page_id").agg(F.min(F.struct("host", "path", "lines")).alias("p")).select(
         "page_id", "p.*"), "html-lines")
     near = nearest_pages(lines).join(
         lines.select(F.col("page_id").alias("_other"), F.col("lines").alias("near_lines")),

@@ -243,8 +243,9 @@ def _score(names: list[str], weights: list[float], bias: float):
     return run
 
 
-def score_toxicity(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text") -> DataFrame:
-    """The columns ``keep`` and ``score`` (0 to 1) of every document, from its whole text alone.
+def score_toxicity(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text",
+                   name: str = "score") -> DataFrame:
+    """The columns ``keep`` and the score ``name`` (0 to 1) of every document, from its whole text alone.
 
     A null text is empty; its score is that of a text without features. Rows are neither dropped nor merged.
     """
@@ -253,4 +254,4 @@ def score_toxicity(docs: DataFrame, model: Model, keep: list[str], text_col: str
     scored = docs.select(
         F.col(text_col).alias("_text"), *[F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)]
     ).mapInArrow(_score(names, [model.weights[n] for n in names], model.bias), shape)
-    return scored.select(*[F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)], F.col("_score").alias("score"))
+    return scored.select(*[F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)], F.col("_score").alias(name))

@@ -17,8 +17,8 @@ from cardpulse.llm.shared import table, written
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a toxicity score below 0.5, learnt from the labelled ones among them."""
     model = toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels"))
-    scored = toxicity.score_toxicity(docs, model, docs.columns)
-    return scored.where(F.col("score") < 0.5).select(*docs.columns)
+    scored = toxicity.score_toxicity(docs, model, docs.columns, name="_toxicity")
+    return scored.where(F.col("_toxicity") < 0.5).select(*docs.columns)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
