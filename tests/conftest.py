@@ -11,9 +11,9 @@ from cardpulse.session import create_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = create_session("cardpulse-tests", "local[8]", 8, **{
-        "spark.ui.enabled": "false", "spark.driver.memory": "8g", "spark.sql.maxMetadataStringLength": "2000"})
+        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")), "spark.ui.enabled": "false", "spark.driver.memory": "8g", "spark.sql.maxMetadataStringLength": "2000"})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
