@@ -394,11 +394,11 @@ def repeated_spans(docs: DataFrame, length: int = 400, core: int = 100, most_in_
     """
     core = max(core, length - 511)  # a place has room for 512 starts
     ddl = "core bigint, body bigint"
-    keys = (
+    # Written, so that the join below shuffles both sides itself and a core that very many anchors share can be split.
+    keys = written(
         docs.mapInArrow(_anchor_rows(length, core, False), ddl).groupBy("core")
         .agg(F.count(F.lit(1)).alias("_n"), F.min("body").alias("_a"), F.max("body").alias("_b"))
-        .where("_n > 1").select("core", (F.col("_a") != F.col("_b")).alias("mixed"))
-    )
+        .where("_n > 1").select("core", (F.col("_a") != F.col("_b")).alias("mixed")), "suffix-cores")
     rows = written(
         docs.mapInArrow(_anchor_rows(length, core, True), ddl + ", doc_id bigint, place bigint").join(keys, "core"),
         "suffix-anchors")
