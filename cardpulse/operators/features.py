@@ -29,13 +29,13 @@ def hard_block(failed_count: str = "failed_count", small_amount_fails: str = "sm
     return (F.col(failed_count) > FAILED_LIMIT) | (F.col(small_amount_fails) > SMALL_FAILED_LIMIT)
 
 
+def count_tallies(window: str = "5 minutes") -> list[Tally]:
+    return [Tally("total_tx", window), Tally("approved_tx", window, APPROVED), Tally("failed_tx", window, FAILED)]
+
+
 def tx_counts(tx: DataFrame, window: str = "5 minutes", slide: str = "1 minute") -> DataFrame:
     """all, approved and failed transactions of a user."""
-    return sliding_tallies(tx, [
-        Tally("total_tx", window),
-        Tally("approved_tx", window, APPROVED),
-        Tally("failed_tx", window, FAILED),
-    ], slide)
+    return sliding_tallies(tx, count_tallies(window), slide)
 
 
 def amount_stats(
@@ -71,8 +71,14 @@ def velocity(
     slide: str = "1 minute",
 ) -> DataFrame:
     """burst score from three counts that all end at ``window_end``."""
-    counts = sliding_tallies(
-        tx, [Tally("cnt_1m", short), Tally("cnt_5m", middle), Tally("cnt_1h", window)], slide)
+    return velocity_of(sliding_tallies(tx, velocity_tallies(short, middle, window), slide))
+
+
+def velocity_tallies(short: str = "1 minute", middle: str = "5 minutes", window: str = "1 hour") -> list[Tally]:
+    return [Tally("cnt_1m", short), Tally("cnt_5m", middle), Tally("cnt_1h", window)]
+
+
+def velocity_of(counts: DataFrame) -> DataFrame:
     return counts.select(
         *_BOUNDS, "cnt_1m", "cnt_5m", "cnt_1h",
         scalars.velocity("cnt_1m", "cnt_5m", "cnt_1h").alias("velocity_score"),
@@ -118,13 +124,20 @@ def device_change(
 
 def failed_attempts(tx: DataFrame, window: str = "30 minutes", slide: str = "5 minutes") -> DataFrame:
     """failure counts of a user and the flags for credential stuffing and card testing."""
-    counts = sliding_tallies(tx, [
+    return failures_of(sliding_tallies(tx, failure_tallies(window), slide))
+
+
+def failure_tallies(window: str = "30 minutes") -> list[Tally]:
+    return [
         Tally("failed_count", window, FAILED),
         Tally("declined_count", window, "status = 'DECLINED'"),
         Tally("insufficient_funds", window, "failure_reason = 'INSUFFICIENT_FUNDS'"),
         Tally("card_blocked", window, "failure_reason = 'CARD_BLOCKED'"),
         Tally("small_amount_fails", window, SMALL_FAILED),
-    ], slide)
+    ]
+
+
+def failures_of(counts: DataFrame) -> DataFrame:
     return counts.select(
         *_BOUNDS, "failed_count", "declined_count", "insufficient_funds", "card_blocked", "small_amount_fails",
         (F.col("failed_count") > FAILED_LIMIT).alias("credential_stuffing"),

@@ -97,14 +97,23 @@ def _tallies_by_window(tx, tallies, slide, key, time):
 
 
 def _tallies_by_pane(tx, tallies, slide, key, time):
+    return tallies_of_panes(fold_panes(tx, tallies, slide, key, time), tallies, slide, key)
+
+
+def _grid(tallies: list[Tally], slide: str) -> tuple[int, int, int, list[str | None]]:
+    """Longest length, slide and pane in microseconds, and the distinct predicates, first that of all rows."""
     lengths = [micros(t.length) for t in tallies]
     longest, slide_us = max(lengths), micros(slide)
     _check(longest, slide_us)
-    pane_us = gcd(slide_us, *lengths)
+    return longest, slide_us, gcd(slide_us, *lengths), list(dict.fromkeys([None, *[t.where for t in tallies]]))
 
-    # One count per distinct predicate and pane; the row count decides which windows exist.
-    predicates = list(dict.fromkeys([None, *[t.where for t in tallies]]))
-    panes = (
+
+def fold_panes(
+    tx: DataFrame, tallies: list[Tally], slide: str, key: str = "user_id", time: str = "event_time"
+) -> DataFrame:
+    """(key, _pane, _n0, _n1, ..., _last): one count per distinct predicate and pane, and the pane's newest event."""
+    _, _, pane_us, predicates = _grid(tallies, slide)
+    return (
         tx.where(F.col(time).isNotNull())
         .groupBy(key, slot_of(F.unix_micros(time), pane_us).alias("_pane"))
         .agg(
@@ -113,6 +122,24 @@ def _tallies_by_pane(tx, tallies, slide, key, time):
         )
     )
 
+
+def merge_panes(panes: DataFrame, tallies: list[Tally], slide: str, key: str = "user_id") -> DataFrame:
+    """Panes folded from several batches as one row per key and pane."""
+    counts = [f"_n{i}" for i in range(len(_grid(tallies, slide)[3]))]
+    return panes.groupBy(key, "_pane").agg(*[F.sum(c).alias(c) for c in counts], F.max("_last").alias("_last"))
+
+
+def pane_reach(tallies: list[Tally], slide: str) -> int:
+    """How many panes the longest window spans."""
+    longest, _, pane_us, _ = _grid(tallies, slide)
+    return longest // pane_us
+
+
+def tallies_of_panes(panes: DataFrame, tallies: list[Tally], slide: str, key: str = "user_id") -> DataFrame:
+    """The windows of :func:`sliding_tallies` from panes, one row per key and pane."""
+    longest, slide_us, pane_us, predicates = _grid(tallies, slide)
+    lengths = [micros(t.length) for t in tallies]
+
     # A pane enters the running count at the first window end after it and leaves ``length`` later, so two
     # changes per count describe all windows it belongs to.
     counts = [(t.name, t.where, micros(t.length)) for t in tallies] + [(_ROWS, None, longest)]

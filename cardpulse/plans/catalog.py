@@ -349,6 +349,18 @@ def online_compacted(spark, sf_dir):
     return in_micros(live.select("user_id", "window_end", *view.names, "last_event_time", "expires_at"))
 
 
+def stream_velocity_panes(spark, sf_dir):
+    """F04 as a stream of panes: 60 window copies of an event less than ``stream_velocity_online``, the same scores."""
+    tx = adapter.from_events(adapter.event_stream(spark, sf_dir))
+    path = streams.shared_folder(spark, "stream-panes")
+    streams.start_pane_feature(
+        "f04", tx, f"{path}/panes", f"{path}/online", f"{path}/checkpoints", trigger={"availableNow": True},
+        written_at=AS_OF).awaitTermination()
+    view = ONLINE_VIEWS["velocity"]
+    live = store.read_online(spark, view, f"{path}/online", "2024-01-01 02:04:59")
+    return in_micros(live.select("user_id", "window_end", *view.names, "last_event_time"))
+
+
 def _appended(df: DataFrame, path: str, spark: SparkSession) -> DataFrame:
     df.writeStream.outputMode("append").format("parquet").option("checkpointLocation", f"{path}/checkpoint").trigger(
         availableNow=True).start(f"{path}/rows").awaitTermination()
@@ -410,6 +422,6 @@ QUERIES = {
         feature_vector, decisions, routed_alerts, pk_violations, constraint_violations,
         stream_tx_counts, stream_velocity_online,
         tx_decoded_timestamps, stream_rejects, online_user_row, training_from_store, online_compacted, model_scores,
-        stream_tumbling, stream_country_risk, stream_dedup, created_at, key_values,
+        stream_tumbling, stream_country_risk, stream_dedup, created_at, key_values, stream_velocity_panes,
     )
 }

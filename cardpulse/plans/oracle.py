@@ -348,6 +348,7 @@ ORACLE = {
         _F04),
 }
 ORACLE["training_from_store"] = ORACLE["training_dataset"]
+ORACLE["stream_velocity_panes"] = ORACLE["stream_velocity_online"]
 ORACLE["stream_tumbling"] = (
     "select * from (" + ORACLE["f07_tumbling_velocity"] + ") where window_end <= "
     f"(select (max(event_time) // 1000) * 1000 from ({ORACLE['tx_dedup'].replace('event_us from tx', 'event_us as event_time from tx')}))"

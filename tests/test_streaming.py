@@ -122,6 +122,24 @@ def test_online_table_of_a_stream_equals_the_batch(spark, tx, source, tmp_path,
     assert diff(live, store.online_rows(batch, query.view, at(0)).select(exact)) == (0, 0)
 
 
+@pytest.mark.parametrize("name", sorted(streams.PANE_FEATURES))
+def test_panes_of_a_stream_equal_the_batch(spark, tx, tmp_path, name):
+    """Four micro-batches, the last of them with late rows of all times."""
+    folder, online, panes = str(tmp_path / "tx"), str(tmp_path / "online"), str(tmp_path / "panes")
+    late = F.col("k") % 7 == 3
+    for order, minutes in enumerate(((-1, 50), (50, 90), (90, 200))):
+        low, high = (adapter.EPOCH_US + m * 60_000_000 for m in minutes)
+        add_file(tx.where(~late & F.col("event_us").between(low, high - 1)), folder, order)
+    add_file(tx.where(late), folder, 3)
+    streams.start_pane_feature(
+        name, file_stream(spark, folder, tx.schema), panes, online, str(tmp_path / "cp"), ONCE, at(0)).awaitTermination()
+    query = streams.FEATURE_QUERIES[name]
+    names = [*query.view.entity, "window_end", *query.view.names]
+    live = store.read_online(spark, query.view, online, at(1)).select(names)
+    assert live.count() > 0
+    assert diff(live, store.online_rows(query.run(tx), query.view, at(0)).select(names)) == (0, 0)
+
+
 def one(second, i, user="u"):
     return (f"t{i}", user, 1.0, "APPROVED", None, "FR", "d", second)
 
