@@ -243,6 +243,40 @@ def test_similar_texts_are_found(spark):
     assert all(got[2000 + i] == 2000 + i and got[i] == i for i in range(60))
 
 
+def pairs_of_similarity(common, own, count, seed):
+    """``count`` pairs of texts with ``common`` shingles of five words in common and ``own`` of its own each."""
+    rnd = random.Random(seed)
+
+    def words(n):
+        return [f"{rnd.getrandbits(60):x}" for _ in range(n)]
+
+    base = [words(common + 4) for _ in range(count)]
+    return [(" ".join(b + words(own)), " ".join(b + words(own))) for b in base]
+
+
+def test_shingle_sets_decide_on_similar_texts(spark):
+    kinds = {0.6: (120, 40), 0.7: (140, 30), 0.799: (159, 20), 0.8: (160, 20), 0.85: (170, 15), 0.9: (180, 10)}
+    docs = []
+    for k, (common, own) in enumerate(kinds.values()):
+        for i, (one, two) in enumerate(pairs_of_similarity(common, own, 40, k)):
+            docs += [(1000 * k + 2 * i, one), (1000 * k + 2 * i + 1, two)]
+    got = {r.doc_id: r.component_id for r in simhash.similar_documents(
+        spark.createDataFrame(docs, "doc_id bigint, text string"), 5).collect()}
+    linked = [sum(got[1000 * k + 2 * i] == got[1000 * k + 2 * i + 1] for i in range(40)) for k in range(len(kinds))]
+    assert linked[:3] == [0, 0, 0] and linked[3] >= 39 and linked[4:] == [40, 40]
+
+
+def test_similar_texts_in_blocks_are_those_of_one_block(spark, monkeypatch):
+    docs = spark.createDataFrame(
+        [(10 * i + k, text) for i, pair in enumerate(pairs_of_similarity(170, 15, 3, 9)) for k in range(2)
+         for text in [pair[k]]] + [(100 + i, " ".join(f"w{j}" for j in range(200)) + f" end{i}") for i in range(30)],
+        "doc_id bigint, text string")
+    whole = sorted(simhash.similar_documents(docs, 5).collect())
+    monkeypatch.setattr(simhash, "VERIFY_ROWS", 4)
+    assert sorted(simhash.similar_documents(docs, 5).collect()) == whole
+    assert {r.component_id for r in whole} == {0, 10, 20, 100}
+
+
 def test_components_of_a_long_chain_and_a_star(spark):
     pairs = [(i, i + 1) for i in range(200)] + [(1000, 1000 + i) for i in range(1, 300)] + [(5, 5)]
     rnd = random.Random(2)
