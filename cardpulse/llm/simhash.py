@@ -377,8 +377,10 @@ def shingle_hashes(words: list[bytes], size: int):
 
 
 def wide_fingerprint(words: list[bytes], size: int):
-    """Of 256 bits drawn from each shingle's hash, how far each is from being set in half of the shingles."""
-    return _margins(shingle_hashes(words, size))
+    """Of 256 bits drawn from each distinct shingle's hash, how far each is from being set in half of the shingles."""
+    import numpy as np
+
+    return _margins(np.unique(shingle_hashes(words, size)))
 
 
 def _margins(hashes):
@@ -435,9 +437,8 @@ def _wide(size: int):
         for batch in batches:
             ids = batch.column(0)
             for at in range(0, batch.num_rows, 256):
-                texts = [t.as_py() for t in batch.column(1)[at:at + 256]]
-                sets = [_shingle_set(t, size) for t in texts]
-                margins = np.stack([wide_fingerprint(words_of(t), size) for t in texts])
+                sets = [_shingle_set(t.as_py(), size) for t in batch.column(1)[at:at + 256]]
+                margins = np.stack([_margins(f) for f, _ in sets])
                 codes = soft_codewords(margins)
                 keys = [s << 24 | codes[:, s, i] << 12 | codes[:, (s + 1) % WIDE_SEGMENTS, j]
                         for s in range(WIDE_SEGMENTS) for i in range(WIDE_CODES) for j in range(WIDE_CODES)]

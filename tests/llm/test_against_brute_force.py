@@ -266,6 +266,20 @@ def test_shingle_sets_decide_on_similar_texts(spark):
     assert linked[:3] == [0, 0, 0] and linked[3] >= 39 and linked[4:] == [40, 40]
 
 
+def test_repeated_lines_count_once_in_similar_texts(spark):
+    line = " ".join(f"menu{i}" for i in range(12)) + " "
+    docs = []
+    for i, (one, two) in enumerate(pairs_of_similarity(0, 100, 20, 3)):  # two articles below one much-repeated line
+        docs += [(2 * i, line * 40 + one), (2 * i + 1, line * 40 + two)]
+    for i, (one, two) in enumerate(pairs_of_similarity(180, 12, 20, 4)):  # one article with few or many such lines
+        docs += [(1000 + 2 * i, line * 2 + one), (1001 + 2 * i, line * 40 + two)]
+    for i, (one, _) in enumerate(pairs_of_similarity(100, 20, 20, 5)):  # equal sets
+        docs += [(2000 + 2 * i, line * 2 + one), (2001 + 2 * i, line * 40 + one)]
+    got = {r.doc_id: r.component_id for r in simhash.similar_documents(
+        spark.createDataFrame(docs, "doc_id bigint, text string"), 5).collect()}
+    assert got == {i: i if i < 1000 else i - i % 2 for i, _ in docs}
+
+
 def test_similar_texts_in_blocks_are_those_of_one_block(spark, monkeypatch):
     docs = spark.createDataFrame(
         [(10 * i + k, text) for i, pair in enumerate(pairs_of_similarity(170, 15, 3, 9)) for k in range(2)
