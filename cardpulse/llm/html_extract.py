@@ -23,6 +23,24 @@ BLOCKS = frozenset(
     "blockquote pre figure figcaption hr address details summary fieldset center".split())
 RAW = frozenset("script style textarea title".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+# Block elements outside an article; what ends at the start of which element, unless one of the last ones was opened
+# since; elements that hide what is open around them; and what stands in a head (fixed values of HTML).
+OUTSIDE_BLOCKS = frozenset("nav header footer aside form menu dialog".split())
+HIDING = ("table", "td", "th", "caption", "template", "object")
+SECTIONS = ("tbody", "thead", "tfoot")
+ENDED_BY_START = [
+    (BLOCKS | OUTSIDE_BLOCKS, ("head",), ("noscript", "template")),
+    (BLOCKS | OUTSIDE_BLOCKS, ("p",), ("button", *HIDING)),
+    (frozenset(["li"]), ("li",), ("ul", "ol", "menu", *HIDING)),
+    (frozenset(["dt", "dd"]), ("dt", "dd"), ("dl", *HIDING)),
+    (frozenset(["td", "th", "tr", *SECTIONS]), ("td", "th"), ("tr", "table")),
+    (frozenset(["tr", *SECTIONS]), ("tr",), (*SECTIONS, "table")),
+    (frozenset(SECTIONS), SECTIONS, ("table",)),
+    (frozenset(["option", "optgroup"]), ("option",), ("select",)),
+    (frozenset(["optgroup"]), ("optgroup",), ("select",)),
+]
+ENDING_STARTS = frozenset().union(*(starts for starts, _, _ in ENDED_BY_START))
+IN_TABLES = frozenset(["table", "caption", "tr", "td", "th", *SECTIONS])
 # Words of class, id and role attributes that mark what surrounds an article (fixed values).
 MARKED_OUTSIDE = frozenset(
     "ad ads advert adverts advertisement advertising sponsored sponsor promo promotion banner cookie cookies consent gdpr "
@@ -40,13 +58,60 @@ def _is_marked(attributes: str) -> bool:
         word in MARKED_OUTSIDE for found in _MARK.findall(attributes) for word in "".join(found).lower().split())
 
 
+class OpenElements:
+    """The stack of open elements of a page. Every step is constant or ends elements, so the work is linear."""
+
+    def __init__(self):
+        self.names: list[str] = []
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+
+    def last(self, *names: str) -> int:
+        """The depth of the innermost open element of these names, or -1."""
+        return max((self.places[n][-1] for n in names if self.places.get(n)), default=-1)
+
+    def cut(self, depth: int):
+        while len(self.names) > depth:
+            name = self.names.pop()
+            self.places[name].pop()
+            if name in BLOCKS or name in OUTSIDE:
+                self.blocks.pop()
+
+    def start(self, name: str):
+        """End what the start of ``name`` ends."""
+        if name in ENDING_STARTS:
+            for starts, ended, unless in ENDED_BY_START:
+                if name in starts and (at := self.last(*ended)) > self.last(*unless):
+                    self.cut(at)
+
+    def push(self, name: str):
+        self.places.setdefault(name, []).append(len(self.names))
+        if name in BLOCKS or name in OUTSIDE:
+            self.blocks.append(len(self.names))
+        self.names.append(name)
+
+    def end(self, name: str):
+        """End the innermost ``name`` and all within it; an end without a start, or of an inline element around a block,
+        ends nothing.
+        """
+        at = self.last(name)
+        if name in BLOCKS or name in OUTSIDE:
+            hidden = at < self.last(*(("table",) if name in IN_TABLES else HIDING)) and name not in ("body", "html")
+        else:
+            hidden = bool(self.blocks) and at < self.blocks[-1]
+        if at >= 0 and not hidden:
+            self.cut(at)
+
+
 def page_blocks(html: str) -> list[tuple[str, bool]]:
     """(text, inside) of the blocks of a page in order, without those of elements outside an article. ``inside`` tells
-    whether an article or main element holds the block. Unclosed elements and cut-off pages are taken as they come.
+    whether an article or main element holds the block. Unclosed elements end where HTML ends them: at the start of a
+    sibling or block, or with the element around them; cut-off pages are taken as they come.
     """
     blocks: list[tuple[str, bool]] = []
     held: list[str] = []
-    skipping, depth, articles, at, length = "", 0, 0, 0, len(html)
+    opened = OpenElements()
+    skipped, at, length = -1, 0, len(html)  # the depth of the element that is skipped
     inside = False
 
     def end_block():
@@ -57,8 +122,8 @@ def page_blocks(html: str) -> list[tuple[str, bool]]:
 
     while at < length:
         found = _TAG.search(html, at)
-        if not skipping:
-            inside = articles > 0
+        if skipped < 0:
+            inside = opened.last("article", "main") >= 0
             text = html[at:found.start() if found else length]
             if text:
                 held.append(text)
@@ -73,30 +138,30 @@ def page_blocks(html: str) -> list[tuple[str, bool]]:
             end = re.compile(rf"</{name}\b[^>]*>", re.I).search(html, at)
             at = end.end() if end else length
             continue
-        if skipping:
-            if name == skipping and not found[3].endswith("/"):
-                depth += -1 if closing else 1
-                if depth == 0:
-                    skipping = ""
-            continue
-        if name == "br":
+        if skipped < 0 and name == "br":
             held.append(" ")
             continue
-        if name in BLOCKS or name in OUTSIDE:
+        if skipped < 0 and (name in BLOCKS or name in OUTSIDE):
             end_block()
         if closing:
-            if name in ("article", "main"):
-                articles = max(0, articles - 1)
-        elif name not in VOID:
-            if name == "header" and articles or name in ("body", "html", "article", "main"):
+            opened.end(name)
+        else:
+            opened.start(name)
+        if len(opened.names) <= skipped:
+            skipped = -1
+        if closing or name in VOID:
+            continue
+        closed = found[3].endswith("/")
+        if skipped < 0:
+            if name == "header" and opened.last("article", "main") >= 0 or name in ("body", "html", "article", "main"):
                 outside = False
             else:
                 outside = name in OUTSIDE or bool(found[3]) and _is_marked(found[3])
-            if outside and not found[3].endswith("/"):
+            if outside and not closed:
                 end_block()
-                skipping, depth = name, 1
-            elif name in ("article", "main"):
-                articles += 1
+                skipped = len(opened.names)
+        if not closed or name in ("article", "main"):
+            opened.push(name)
     end_block()
     return blocks
 

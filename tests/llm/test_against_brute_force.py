@@ -370,6 +370,23 @@ def test_page_structure():
         "Head&line\n\nOne two three\n\nFour <b> é\n\nitem")
 
 
+def test_unclosed_elements_outside_an_article_end():
+    def texts(html):
+        return [text for text, _ in html_extract.page_blocks(html)]
+
+    assert texts("<p class=notice>x<p>a</p><p>b</p><article><p>main</article>") == ["a", "b", "main"]
+    assert texts("<ul><li class=ad>x<li>a</ul><p>b") == ["a", "b"]
+    assert texts("<table><tr><td class=ad>x<td>a<tr class=promo><td>q<tr><td>z</table>end") == ["a", "z", "end"]
+    assert texts("<div><div class=ad>x<p>y</div></div><p>a") == ["a"]
+    assert texts("<section><form>x<p>y</section><p>a") == ["a"]
+    assert texts("<div><aside>side<p>x</div><article>main</article>") == ["main"]
+    assert texts("<select><option>x<option>y</select>a") == ["a"]
+    assert texts("<head><title>t</title><meta name=x><body><p>a") == ["a"]
+    assert texts("<div class=ad><p>x<div>y</div>z</div>a") == ["a"]
+    assert texts("<div><span class=ad>x<b>y</span>a</div>") == ["a"]
+    assert texts("<p>a<table><tr><td class=ad>x</p>y</table>b") == ["a", "b"]
+
+
 def test_pages_lose_what_they_share(spark):
     top, end = "<div>Our shop</div>", "<div>Imprint</div>"
     pages = spark.createDataFrame([
