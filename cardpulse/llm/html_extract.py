@@ -197,14 +197,11 @@ def shared_lines(own: list[int], other: list[int]) -> set[int]:
 def main_text(blocks: list[tuple[str, bool]], lines: list[int], neighbour: list[int]) -> str:
     """A page's blocks without the lines it shares with its neighbour, joined by blank lines.
 
-    Where the page marks its article, the article's blocks are the text and shared lines are deleted outside only,
-    which leaves nothing there: an article that appears under two urls must not vanish. A page without such a mark
-    that would lose everything (its neighbour is a copy) keeps all its blocks.
+    Blocks inside an article or main element always stay, since an article that appears under two urls must not vanish;
+    differencing decides the others. A page that would lose everything (its neighbour is a copy) keeps all its blocks.
     """
-    if any(inside for _, inside in blocks):
-        return "\n\n".join(text for text, inside in blocks if inside)
     shared = shared_lines(lines, neighbour)
-    left = [text for at, (text, _) in enumerate(blocks) if at not in shared]
+    left = [text for at, (text, inside) in enumerate(blocks) if inside or at not in shared]
     return "\n\n".join(left or [text for text, _ in blocks])
 
 

@@ -396,6 +396,14 @@ def test_pages_lose_what_they_share(spark):
     assert got == {**{i: f"Story {i}" for i in range(8)}, 8: "Story 4", 9: "Our shop\n\nStory 4\n\nImprint"}
 
 
+def test_differencing_decides_what_is_outside_of_an_article(spark):
+    pages = spark.createDataFrame([
+        (i, f"http://h.org/p/{i}", f"<div>Our shop</div><p>Lead {i}</p><article><p>Card</p></article><p>Body {i}</p><div>Imprint</div>")
+        for i in range(4)], "page_id bigint, url string, html string")
+    got = {r.page_id: r.text for r in html_extract.extract_pages(pages).collect()}
+    assert got == {i: f"Lead {i}\n\nCard\n\nBody {i}" for i in range(4)}
+
+
 def test_shared_lines_are_a_longest_common_subsequence():
     rnd = random.Random(6)
     for _ in range(200):
