@@ -10,7 +10,7 @@ from html import unescape
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardpulse.llm.shared import written
+from cardpulse.llm.shared import running_last, written
 from cardpulse.llm.url_filter import host_of, path_of
 
 # Elements whose text is never part of an article, elements that end a block, and elements whose content is no markup
@@ -41,6 +41,8 @@ ENDED_BY_START = [
 ]
 ENDING_STARTS = frozenset().union(*(starts for starts, _, _ in ENDED_BY_START))
 IN_TABLES = frozenset(["table", "caption", "tr", "td", "th", *SECTIONS])
+# A page that shares this part of its text with another, or the other with it, is a copy: numerator and denominator.
+COPIED = (4, 5)
 # Words of class, id and role attributes that mark what surrounds an article (fixed values).
 MARKED_OUTSIDE = frozenset(
     "ad ads advert adverts advertisement advertising sponsored sponsor promo promotion banner cookie cookies consent gdpr "
@@ -198,11 +200,19 @@ def main_text(blocks: list[tuple[str, bool]], lines: list[int], neighbour: list[
     """A page's blocks without the lines it shares with its neighbour, joined by blank lines.
 
     Blocks inside an article or main element always stay, since an article that appears under two urls must not vanish;
-    differencing decides the others. A page that would lose everything (its neighbour is a copy) keeps all its blocks.
+    differencing decides the others. A page without such an element of which nearly everything would go (its neighbour is
+    a copy) keeps all its blocks.
     """
     shared = shared_lines(lines, neighbour)
     left = [text for at, (text, inside) in enumerate(blocks) if inside or at not in shared]
-    return "\n\n".join(left or [text for text, _ in blocks])
+    if not any(inside for _, inside in blocks) and is_copied([len(text) for text, _ in blocks], shared):
+        left = [text for text, _ in blocks]
+    return "\n\n".join(left)
+
+
+def is_copied(sizes: list[int], shared: set[int]) -> bool:
+    """Whether the lines at ``shared`` are ``COPIED`` or more of the text of a page whose lines have these sizes."""
+    return COPIED[1] * sum(sizes[at] for at in shared) >= COPIED[0] * sum(sizes) > 0
 
 
 def _line_hashes(blocks):
@@ -215,9 +225,29 @@ def _lines(batches: Iterator) -> Iterator:
     import pyarrow as pa
 
     for batch in batches:
-        found = [_line_hashes(page_blocks(h.as_py() or "")) for h in batch.column(0)]
+        pages = [page_blocks(h.as_py() or "") for h in batch.column(0)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([_line_hashes(p) for p in pages], pa.list_(pa.int64())),
+             pa.array([[len(text) for text, _ in p] for p in pages], pa.list_(pa.int32())), *batch.columns[1:]],
+            names=["lines", "sizes", *batch.schema.names[1:]])
+
+
+def _compared(batches: Iterator) -> Iterator:
+    """From rows (lines, sizes, near_lines, near_sizes, others): whether one of both pages is a copy of the other, and
+    whether the first has no line of its own.
+    """
+    import pyarrow as pa
+
+    for batch in batches:
+        copies, whole = [], []
+        for row in zip(*batch.columns[:4]):
+            own, sizes, near, near_sizes = (v.as_py() or [] for v in row)
+            shared = shared_lines(own, near)
+            copies.append(is_copied(sizes, shared) or is_copied(near_sizes, shared_lines(near, own)))
+            whole.append(len(shared) == len(own))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(found, pa.list_(pa.int64())), *batch.columns[1:]], names=["lines", *batch.schema.names[1:]])
+            [pa.array(copies, pa.bool_()), pa.array(whole, pa.bool_()), *batch.columns[4:]],
+            names=["copy", "whole", *batch.schema.names[4:]])
 
 
 def _packed(batches: Iterator) -> Iterator:
@@ -275,6 +305,37 @@ def nearest_pages(pages: DataFrame) -> DataFrame:
         F.col("_lead.host") == F.col("host"), F.col("_lead.page_id")).alias("near_id"))
 
 
+def differing_pages(lines: DataFrame) -> DataFrame:
+    """(page_id, near_id) for pages (page_id, host, path, lines, sizes, one row each): the nearest page of the host in
+    the order of paths that is not a copy; null where there is none.
+
+    Neighbours that copy each other are a run, whatever its length. The page before the run is taken, or the one after
+    it for the first run of a host. A page without a line of its own keeps its neighbour.
+    """
+    kind = lines.schema["page_id"].dataType.simpleString()
+    order = ["host", "path", "page_id"]
+    other = lines.select(F.col("page_id").alias("_other"), F.col("path").alias("_path"), F.col("lines").alias("near_lines"),
+                         F.col("sizes").alias("near_sizes"))
+    pairs = lines.join(nearest_pages(lines), "page_id").join(other, F.col("near_id") == F.col("_other"), "left").select(
+        "lines", "sizes", "near_lines", "near_sizes", *order, "near_id",
+        F.coalesce(F.struct("_path", "_other") > F.struct("path", "page_id"), F.lit(False)).alias("after"))
+    pairs = written(pairs.mapInArrow(
+        _compared, f"copy boolean, whole boolean, host string, path string, page_id {kind}, near_id {kind}, after boolean"),
+        "html-copies")
+    before = F.when(~F.col("after"), F.col("near_id"))  # null for the first page of a host
+    first = before.isNull()
+    runs = running_last(
+        pairs.withColumn("_start", F.when(first | ~F.col("copy"), F.struct(before.alias("id")))), "_start", order, "_run", "html-runs")
+    own = ~F.col("copy") | F.col("whole")
+    runs = runs.select("page_id", "host", F.when(own, F.col("near_id")).otherwise(F.col("_run.id")).alias("near_id"),
+                       (~own & F.col("_run.id").isNull()).alias("_later"))
+    second = pairs.where(~first & ~F.col("copy")).groupBy(F.col("host").alias("_host")).agg(
+        F.min(F.struct("path", "page_id")).alias("_second"))
+    later = runs.where("_later").join(second, F.col("host") == F.col("_host"), "left").select(
+        "page_id", F.col("_second.page_id").alias("near_id"))
+    return runs.where("not _later").select("page_id", "near_id").union(later)
+
+
 def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``page_id``, ``url``, ``text`` and ``n_chars`` of every page, from its whole html.
 
@@ -286,10 +347,10 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
         F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
     lines = base.select("html", "page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     kind = base.schema["page_id"].dataType.simpleString()
-    lines = lines.mapInArrow(_lines, f"lines array<bigint>, page_id {kind}, host string, path string")
-    lines = written(lines.where("page_id is not null").groupBy("page_id").agg(F.min(F.struct("host", "path", "lines")).alias("p")).select(
+    lines = lines.mapInArrow(_lines, f"lines array<bigint>, sizes array<int>, page_id {kind}, host string, path string")
+    lines = written(lines.where("page_id is not null").groupBy("page_id").agg(F.min(F.struct("host", "path", "lines", "sizes")).alias("p")).select(
         "page_id", "p.*"), "html-lines")
-    near = nearest_pages(lines).join(
+    near = differing_pages(lines).join(
         lines.select(F.col("page_id").alias("_other"), F.col("lines").alias("near_lines")),
         F.col("near_id").eqNullSafe(F.col("_other")) & F.col("near_id").isNotNull(), "left").select(
         F.col("page_id").alias("_id"), "near_lines")

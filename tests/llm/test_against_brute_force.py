@@ -396,6 +396,22 @@ def test_pages_lose_what_they_share(spark):
     assert got == {**{i: f"Story {i}" for i in range(8)}, 8: "Story 4", 9: "Our shop\n\nStory 4\n\nImprint"}
 
 
+def test_near_copies_of_a_page_keep_its_article(spark):
+    top, end = "<div>Our shop</div>", "<div>Imprint</div>"
+    article = "".join(f"<p>Sentence {i} of a longer article</p>" for i in range(20))
+    want = "\n\n".join(f"Sentence {i} of a longer article" for i in range(20))
+    rows = [(i, f"http://{host}.org/{i}", f"{top}{article}<p>Views: {i}</p>{end}")  # copies before, between, after, alone
+            for host, ids in (("a", range(10, 16)), ("b", range(25, 28)), ("c", range(30, 32))) for i in ids]
+    rows += [(i, f"http://{host}.org/{i}", f"{top}<p>Quite another story {i}</p>{end}")
+             for host, i in (("a", 16), ("a", 17), ("b", 24), ("b", 28))]
+    got = {r.page_id: r.text for r in html_extract.extract_pages(
+        spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert got == {
+        **{i: f"{want}\n\nViews: {i}" for i in (*range(10, 16), *range(25, 28))},
+        **{i: f"Our shop\n\n{want}\n\nViews: {i}\n\nImprint" for i in (30, 31)},
+        **{i: f"Quite another story {i}" for i in (16, 17, 24, 28)}}
+
+
 def test_differencing_decides_what_is_outside_of_an_article(spark):
     pages = spark.createDataFrame([
         (i, f"http://h.org/p/{i}", f"<div>Our shop</div><p>Lead {i}</p><article><p>Card</p></article><p>Body {i}</p><div>Imprint</div>")
