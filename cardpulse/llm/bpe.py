@@ -68,7 +68,7 @@ def _tools(path: str, pattern: str):
         return tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
     newline = encode("\n")[0]
-    encoder = ChunkEncoder(lambda chunks: [ids.tobytes() for ids in ids_by_chunk(chunks, encode, newline)])
+    encoder = ChunkEncoder(lambda chunks: ids_by_chunk(chunks, encode, newline))
     pieces = [b""] * (max(ranks.values()) + 1)
     for token, rank in ranks.items():
         pieces[rank] = token

@@ -12,16 +12,17 @@ import re
 # White space as the split pattern takes it (fixed values); Python's own class has four control characters more.
 _SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 # What is no white space stays in one chunk, except that a word of letters before a full stop, a comma or white space
-# is a chunk of its own. Chunk borders are borders of the pattern.
+# is a chunk of its own, and a Latin word before any ASCII sign or digit. Chunk borders are borders of the pattern.
 _CHUNK = re.compile(
-    f" ?[^\\W\\d_]+(?![^{_SPACE}.,])| ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
+    f" ?[^\\W\\d_]++(?![^{_SPACE}.,])| ?[A-Za-zÀ-ÖØ-öø-ɏ]++(?=[!-@\\[-`{{-~])| ?[^{_SPACE}]+|"
+    f"[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
 _BLANK = re.compile(f"[{_SPACE}]+")
 
 
-def ids_by_chunk(chunks: list[str], encode, newline: int) -> list:
-    """The ids of each chunk as a slice of one array. Chunks with something other than white space go to ``encode``
-    (text to ids) as the lines of one text: a line feed between them is always a token of its own, with the id
-    ``newline``, and no such chunk holds one.
+def ids_by_chunk(chunks: list[str], encode, newline: int) -> list[bytes]:
+    """The ids of each chunk as little-endian unsigned 32-bit numbers. Chunks with something other than white space go
+    to ``encode`` (text to ids) as the lines of one text: a line feed between them is always a token of its own, with
+    the id ``newline``, and no such chunk holds one.
     """
     import numpy as np
 
@@ -29,18 +30,18 @@ def ids_by_chunk(chunks: list[str], encode, newline: int) -> list:
     lines = []
     for i, chunk in enumerate(chunks):
         if _BLANK.fullmatch(chunk):
-            out[i] = np.asarray(encode(chunk), dtype="<u4")
+            out[i] = np.asarray(encode(chunk), dtype="<u4").tobytes()
         else:
             lines.append(i)
     if lines:
         ids = np.asarray(encode("\n".join([chunks[i] for i in lines])), dtype="<u4")
-        ends = np.append(np.flatnonzero(ids == newline), len(ids)).tolist()
+        ends = np.append(np.flatnonzero(ids == newline), len(ids))
         if len(ends) != len(lines):
             raise ValueError("the vocabulary does not keep line feeds apart")
-        begin = 0
-        for i, end in zip(lines, ends):
-            out[i] = ids[begin:end]
-            begin = end + 1
+        raw = ids.tobytes()
+        begins = [0, *(4 * ends[:-1] + 4).tolist()]
+        for i, begin, end in zip(lines, begins, (4 * ends).tolist()):
+            out[i] = raw[begin:end]
     return out
 
 
@@ -55,23 +56,24 @@ class ChunkEncoder:
         self.make, self.limit, self.known = make, limit, {}
 
     def encode(self, texts: list[str]) -> list[list]:
-        known = self.known
+        get = self.known.get
         split = [_CHUNK.findall(t) for t in texts]
-        new = {c for chunks in split for c in chunks if c not in known}
-        extra = {}
-        if new:
-            new = list(new)
-            for start in range(0, len(new), 10_000):
-                part = new[start:start + 10_000]
-                for chunk, value in zip(part, self.make(part)):
-                    if len(known) < self.limit and len(chunk) <= 64:
-                        known[chunk] = value
-                    else:
-                        extra[chunk] = value
-        if extra:
-            return [[extra[c] if c in extra else known[c] for c in chunks] for chunks in split]
-        get = known.__getitem__
-        return [list(map(get, chunks)) for chunks in split]
+        found = [list(map(get, chunks)) for chunks in split]
+        missed = {}  # chunk to the places (text, position) that lack its value
+        for i, values in enumerate(found):
+            at = -1
+            for _ in range(values.count(None)):
+                at = values.index(None, at + 1)
+                missed.setdefault(split[i][at], []).append((i, at))
+        new = list(missed)
+        for start in range(0, len(new), 10_000):
+            part = new[start:start + 10_000]
+            for chunk, value in zip(part, self.make(part)):
+                for i, at in missed[chunk]:
+                    found[i][at] = value
+                if len(self.known) < self.limit and len(chunk) <= 64:
+                    self.known[chunk] = value
+        return found
 
 
 def text_groups(column, size: int = 4_000_000):

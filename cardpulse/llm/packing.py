@@ -63,9 +63,9 @@ def _encoder(path: str):
     newline = encode("\n")[0]
 
     def make(chunks):
-        return [ids.tobytes() for ids in ids_by_chunk(chunks, encode, newline)]
+        return ids_by_chunk(chunks, encode, newline)
 
-    return ChunkEncoder(make)
+    return ChunkEncoder(make, limit=1_000_000)
 
 
 def _cut(path: str, capacity: int, end_id: int):

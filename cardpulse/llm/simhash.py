@@ -61,9 +61,11 @@ def segment_keys(prints):
     at least one of them is the stored side.
 
     By the pigeonhole, of three segments with 4 differing bits in all, either one is equal and another differs in 2
-    bits or less, or two differ in 1 bit each. The first case: key = an equal segment with any shared codeword of
-    another; both sides are stored. The second: a word 1 bit off has the nearest codeword of the other among its own
-    six, so one side is stored under its nearest codewords and the other looks under all its pairs.
+    bits or less, or one differs in 2 bits or less and the two others in 1 bit each. The first case: key = an equal
+    segment with any shared codeword of another (33 bits or more); both sides are stored. The second: key = codewords
+    of all three (36 bits). A word 1 bit off has the nearest codeword of the other among its own six, so the side whose
+    word is even in a named segment, where one bit differs, is stored under its nearest codewords of those two segments
+    with any of the third, and the odd side looks under all its triples.
     """
     import numpy as np
 
@@ -71,7 +73,10 @@ def segment_keys(prints):
     n = len(prints)
     segments = [(prints >> np.uint64(at)).astype(np.int64) & ((1 << width) - 1) for at, width in SEGMENTS]
     codes = [codeword_indices(s) for s in segments]
-    row = np.arange(n)
+    fresh = [np.ones((n, 6), bool) for _ in range(3)]  # a codeword that repeats the nearest makes no key again
+    for f, c in zip(fresh, codes):
+        f[:, 1:] = c[:, 1:] != c[:, :1]
+    odd = [np.bitwise_count(s) % 2 == 1 for s in segments]
     rows, keys, stored = [], [], []
 
     def add(which, key, is_stored):
@@ -79,27 +84,23 @@ def segment_keys(prints):
         keys.append(key)
         stored.append(is_stored)
 
-    kind = 0
-    for a in range(3):
-        for b in range(3):
-            if a != b:
-                for j in range(6):
-                    fresh = row if j == 0 else np.flatnonzero(codes[b][:, j] != codes[b][:, 0])
-                    add(fresh, kind << 40 | segments[a][fresh] << 12 | codes[b][fresh, j], np.ones(len(fresh), bool))
-                kind += 1
-    for a in range(3):
-        for b in range(a + 1, 3):
-            for i in range(6):
-                for j in range(6):
-                    keep = np.ones(n, bool)
-                    if i:
-                        keep &= codes[a][:, i] != codes[a][:, 0]
-                    if j:
-                        keep &= codes[b][:, j] != codes[b][:, 0]
-                    fresh = np.flatnonzero(keep)
-                    add(fresh, kind << 40 | codes[a][fresh, i] << 12 | codes[b][fresh, j],
-                        np.full(len(fresh), i == 0 and j == 0))
-            kind += 1
+    for kind, (a, b) in enumerate((a, b) for a in range(3) for b in range(3) if a != b):
+        for j in range(6):
+            which = np.flatnonzero(fresh[b][:, j])
+            add(which, (kind + 1) << 36 | segments[a][which] << 12 | codes[b][which, j], np.ones(len(which), bool))
+    # The segment with two differing bits, and the one of the others whose parity tells the sides apart.
+    roles = ((0, 1), (1, 2), (2, 1))
+    for i in range(6):
+        for j in range(6):
+            for k in range(6):
+                at = (i, j, k)
+                store, look = np.zeros(n, bool), np.zeros(n, bool)
+                for third, named in roles:
+                    look |= odd[named]
+                    if all(at[s] == 0 for s in range(3) if s != third):
+                        store |= ~odd[named]
+                which = np.flatnonzero(fresh[0][:, i] & fresh[1][:, j] & fresh[2][:, k] & (store | look))
+                add(which, codes[0][which, i] << 24 | codes[1][which, j] << 12 | codes[2][which, k], store[which])
     return np.concatenate(rows), np.concatenate(keys), np.concatenate(stored)
 
 
@@ -153,24 +154,18 @@ def _keyed(batches: Iterator) -> Iterator:
     for batch in batches:
         prints = batch.column(0).to_numpy()
         for at in range(0, len(prints), 5_000):
-            part = prints[at:at + 5_000]
+            part = np.ascontiguousarray(prints[at:at + 5_000])
             rows, keys, stored = segment_keys(part.view(np.uint64))
-            raw = [p.tobytes() for p in part]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys), pa.array(part[rows]), pa.array([raw[r] for r in rows.tolist()], pa.binary()),
-                 pa.array(stored)], names=["key", "id", "print", "stored"])
-
-
-def _differing(one, two):
-    """Differing bits of fingerprints given as rows of 64-bit words."""
-    import numpy as np
-
-    return np.bitwise_count(one ^ two).sum(axis=-1, dtype=np.int64)
+                [pa.array(keys), pa.array(part[rows]), pa.array(stored)], names=["key", "print", "stored"])
 
 
 def forest(prints, stored, most: int):
-    """Links that join what is at most ``most`` bits apart, one fewer than the members of each component. Pairs of
-    which neither side is stored are left to another key.
+    """(i, j), i < j: links that join what is at most ``most`` bits apart, one fewer than the members of each component.
+    Pairs of which neither side is stored are left to another key.
+
+    Of ``prints`` in ascending order, links are taken by their lesser and then their greater end. That order is the same
+    in every key, so keys that hold the same texts give the same links, and these fold into one.
     """
     import numpy as np
 
@@ -184,75 +179,63 @@ def forest(prints, stored, most: int):
             i = root[i]
         return i
 
-    holders = np.flatnonzero(stored)
-    for at in range(0, len(holders), 256):
-        block = holders[at:at + 256]
-        left, right = np.nonzero(_differing(prints[block, None], prints[None, :]) <= most)
-        left = block[left]
+    for at in range(0, n, 256):
+        end = min(n, at + 256)
+        near = np.bitwise_count(prints[at:end, None] ^ prints[None, at:]) <= most
+        near &= stored[at:end, None] | stored[None, at:]
+        near &= np.arange(at, end)[:, None] < np.arange(at, n)[None, :]
+        left, right = np.nonzero(near)
+        left, right = left + at, right + at
         open_ = root[left] != root[right]
         for i, j in zip(left[open_].tolist(), right[open_].tolist()):
             a, b = find(i), find(j)
             if a != b:
                 root[max(a, b)] = min(a, b)
                 out.append((i, j))
-        root = root[root]
+        while (root != root[root]).any():
+            root = root[root]
     return out
 
 
 def _links(most: int, limit: int | None):
-    """From rows (key, id, print, stored) sorted by key: links (key null) within each key, and the rows of a key that
-    has more than ``limit``.
+    """From rows (key, print, stored) sorted by key and print: links (key null) within each key, and the rows of a key
+    that has more than ``limit``.
     """
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
-        def emit(key, a, b, prints, stored):
-            raw = pa.nulls(len(a), pa.binary()) if prints is None else pa.array([r.tobytes() for r in prints], pa.binary())
+        def emit(key, a, b, stored):
             return pa.RecordBatch.from_arrays(
-                [pa.array([key] * len(a), pa.int64()), pa.array(a), pa.array(b), raw, pa.array(stored)],
-                names=["key", "a", "b", "print", "stored"])
-
-        def links(a, b):
-            return emit(None, a, b, None, np.ones(len(a), bool))
+                [pa.array([key] * len(a), pa.int64()), pa.array(a), pa.array(b), pa.array(stored)],
+                names=["key", "a", "b", "stored"])
 
-        def within(keys, ids, prints, stored):
+        def within(keys, prints, stored):
             """Links of whole groups."""
             edge = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
             sizes = np.diff(np.r_[edge, len(keys)])
-            for begin, size in zip(edge[sizes > 32].tolist(), sizes[sizes > 32].tolist()):
+            pairs = edge[sizes == 2]
+            bits = prints.view(np.uint64)
+            hit = pairs[(stored[pairs] | stored[pairs + 1]) & (np.bitwise_count(bits[pairs] ^ bits[pairs + 1]) <= most)]
+            yield emit(None, prints[hit], prints[hit + 1], np.ones(len(hit), bool))
+            for begin, size in zip(edge[sizes > 2].tolist(), sizes[sizes > 2].tolist()):
                 here = slice(begin, begin + size)
                 if limit and size > limit:
-                    yield emit(int(keys[begin]), ids[here], ids[here], prints[here], stored[here])
-                elif found := forest(prints[here], stored[here], most):
+                    yield emit(int(keys[begin]), prints[here], prints[here], stored[here])
+                elif stored[here].any() and (found := forest(bits[here], stored[here], most)):
                     i, j = np.array(found).T + begin
-                    yield links(ids[i], ids[j])
-            small = np.repeat((sizes > 1) & (sizes <= 32), sizes)
-            keys, ids, prints, stored = keys[small], ids[small], prints[small], stored[small]
-            at = np.arange(len(keys))
-            for step in range(1, 32):
-                at = at[at + step < len(keys)]
-                at = at[keys[at] == keys[at + step]]
-                if not len(at):
-                    break
-                hit = at[(stored[at] | stored[at + step]) & (_differing(prints[at], prints[at + step]) <= most)]
-                if len(hit):
-                    yield links(ids[hit], ids[hit + step])
+                    yield emit(None, prints[i], prints[j], np.ones(len(i), bool))
 
         held: list = []  # the rows of the last key so far
         passed = None  # a key that is being passed on
         for batch in batches:
-            n = batch.num_rows
-            if not n:
+            if not batch.num_rows:
                 continue
-            raw = batch.column(2)
-            rows = (batch.column(0).to_numpy(), batch.column(1).to_numpy(),
-                    np.frombuffer(b"".join(raw.to_pylist()), np.uint64).reshape(n, -1),
-                    batch.column(3).to_numpy(zero_copy_only=False))
+            rows = (batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_numpy(zero_copy_only=False))
             if passed is not None and rows[0][0] == passed:
                 n = int(np.searchsorted(rows[0], passed, "right"))
-                yield emit(passed, rows[1][:n], rows[1][:n], rows[2][:n], rows[3][:n])
+                yield emit(passed, rows[1][:n], rows[1][:n], rows[2][:n])
                 rows = tuple(c[n:] for c in rows)
             if not len(rows[0]):
                 continue
@@ -265,7 +248,7 @@ def _links(most: int, limit: int | None):
             if limit and sum(len(h[0]) for h in held) > limit:
                 group = [np.concatenate(c) for c in zip(*held)]
                 passed, held = int(group[0][0]), []
-                yield emit(passed, group[1], group[1], group[2], group[3])
+                yield emit(passed, group[1], group[1], group[2])
         if held:
             yield from within(*[np.concatenate(c) for c in zip(*held)])
 
@@ -277,39 +260,29 @@ def _in_blocks(rows: DataFrame) -> DataFrame:
     for each pair of blocks. Memory is then two blocks a task, whatever a key's size.
     """
     sizes = rows.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / (BLOCK // 2)).cast("int").alias("_blocks"))
-    own = F.pmod(F.xxhash64("id"), F.col("_blocks")).cast("int")
+    own = F.pmod(F.xxhash64("print"), F.col("_blocks")).cast("int")
     return (
         rows.join(sizes, "key").withColumn("_own", own)
         .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-        .select(F.xxhash64("key", F.least("_own", "_other"), F.greatest("_own", "_other")).alias("key"),
-                "id", "print", "stored")
+        .select(F.xxhash64("key", F.least("_own", "_other"), F.greatest("_own", "_other")).alias("key"), "print", "stored")
     )
 
 
-_LINK_DDL = "key bigint, a bigint, b bigint, print binary, stored boolean"
-_KEY_DDL = "key bigint, id bigint, print binary, stored boolean"
-
-
-def _meet(keyed: DataFrame, most: int) -> DataFrame:
-    """(a, b): links that connect all ids whose prints share a key and are at most ``most`` bits apart, directly or
-    through others; no group is expanded into all its pairs.
+def near_links(prints: DataFrame) -> DataFrame:
+    """(a, b): links that connect all distinct fingerprints (column print) at most ``MOST_BITS`` apart, directly or
+    through others; no group is expanded into all its pairs. A link that several keys find is repeated.
     """
     def linked(rows, limit):
-        return rows.repartition("key").sortWithinPartitions("key").mapInArrow(_links(most, limit), _LINK_DDL)
+        return rows.repartition("key").sortWithinPartitions("key", "print").mapInArrow(
+            _links(MOST_BITS, limit), "key bigint, a bigint, b bigint, stored boolean")
 
+    # Few small rows that will become many. They may come grouped by print: another key makes this a shuffle of its own.
+    tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = prints.select("print").repartition(tasks, F.xxhash64("print")).mapInArrow(
+        _keyed, "key bigint, print bigint, stored boolean")
     first = written(linked(keyed, BLOCK), "simhash-links")
-    large = first.where("key is not null").select("key", F.col("a").alias("id"), "print", "stored")
-    return first.where("key is null").union(linked(_in_blocks(large), None)).select("a", "b").distinct()
-
-
-def _spread(df: DataFrame, column: str) -> DataFrame:
-    """Few small rows that will become many: dealt out over all shuffle partitions."""
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), column)
-
-
-def near_links(prints: DataFrame) -> DataFrame:
-    """Links among distinct fingerprints (column print) at most ``MOST_BITS`` apart."""
-    return _meet(_spread(prints.select("print"), "print").mapInArrow(_keyed, _KEY_DDL), MOST_BITS)
+    large = first.where("key is not null").select("key", F.col("a").alias("print"), "stored")
+    return first.where("key is null").union(linked(_in_blocks(large), None)).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -333,267 +306,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, id_col: str = "doc_id", t
         "doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-# Similar texts: wide fingerprints. 64 bits tell copies with hardly a changed word; for a similarity of 0.8 a
-# fingerprint has more bits, and its segments are decoded softly: by the counts behind the bits, so that the bits that
-# would flip first weigh least. Fingerprints only find candidates; the shingle sets decide.
-WIDE_WORDS = 4
-WIDE_SEGMENTS = 64 * WIDE_WORDS // 23
-# Shingle sets of Jaccard similarity 0.8 have a cosine of 8 / 9 and differ in acos(8 / 9) / pi of the bits, 39 of 256
-# with a standard deviation of 5.7; candidates differ in up to 58, three standard deviations more.
-WIDE_MOST = 58
-# Codewords of each segment that make keys.
-WIDE_CODES = 3
-# Texts are similar from this Jaccard similarity of their shingle sets on: numerator and denominator.
-SIMILAR = (4, 5)
-# A group of candidates with more texts or more bytes of shingle hashes is compared in blocks over many tasks.
-VERIFY_ROWS = 2_000
-VERIFY_BYTES = 64_000_000
-
-
-@lru_cache(maxsize=1)
-def _codewords():
-    """All 4,096 codewords as rows of +1 and -1, by index."""
-    import numpy as np
-
-    data = np.arange(1 << 12) << 11
-    words = data | syndrome(data)
-    return np.where(words[:, None] >> np.arange(23) & 1, 1, -1).astype(np.float32)
-
-
-def shingle_hashes(words: list[bytes], size: int):
-    """The 64-bit hashes of all sequences of ``size`` words in order; of a shorter text, the one of all its words."""
-    import numpy as np
-    from xxhash import xxh64_intdigest
-
-    if not words:
-        return np.zeros(0, dtype=np.uint64)
-    joined = b" ".join(words)
-    ends = np.cumsum([len(w) + 1 for w in words]) - 1
-    begins = np.concatenate([[0], ends[:-1] + 1])
-    count = max(1, len(words) - size + 1)
-    last = ends[min(size, len(words)) - 1:].tolist()
-    return np.array(
-        [xxh64_intdigest(joined[b:e], 42) for b, e in zip(begins[:count].tolist(), last)], dtype=np.uint64)
-
-
-def wide_fingerprint(words: list[bytes], size: int):
-    """Of 256 bits drawn from each distinct shingle's hash, how far each is from being set in half of the shingles."""
-    import numpy as np
-
-    return _margins(np.unique(shingle_hashes(words, size)))
-
-
-def _margins(hashes):
-    import numpy as np
-
-    count = len(hashes)
-    if not count:
-        return np.zeros(64 * WIDE_WORDS, dtype=np.float32)
-    ones = np.zeros(64 * WIDE_WORDS, dtype=np.int64)
-    for at in range(0, count, 16_384):
-        part = hashes[at:at + 16_384]
-        mixed = np.empty((len(part), WIDE_WORDS), dtype=np.uint64)
-        for k in range(WIDE_WORDS):  # the finaliser of splitmix64 (fixed values) draws further words
-            x = part + np.uint64((k + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
-            x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
-            x = (x ^ x >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
-            mixed[:, k] = x ^ x >> np.uint64(31)
-        ones += np.unpackbits(mixed.view(np.uint8), axis=1).sum(axis=0, dtype=np.int64)
-    return ((2 * ones - count) / np.sqrt(count)).astype(np.float32)
-
-
-def soft_codewords(margins):
-    """For each row of margins and each segment, the ``WIDE_CODES`` codewords with the largest correlation."""
-    import numpy as np
-
-    best = np.empty((len(margins), WIDE_SEGMENTS, WIDE_CODES), dtype=np.int64)
-    row = np.arange(len(margins))
-    for s in range(WIDE_SEGMENTS):
-        fit = margins[:, 23 * s:23 * s + 23] @ _codewords().T
-        for k in range(WIDE_CODES):
-            best[:, s, k] = fit.argmax(axis=1)
-            fit[row, best[:, s, k]] = -np.inf
-    return best
-
-
-def _shingle_set(text: str | None, size: int):
-    """The distinct shingle hashes of a text, sorted, and their digest."""
-    import numpy as np
-    from xxhash import xxh3_128_digest
-
-    found = np.unique(shingle_hashes(words_of(text), size))
-    return found, xxh3_128_digest(found.tobytes())
-
-
-def _wide(size: int):
-    """(id, digest, shingles, print, keys) of every text: the digest and number of its distinct shingles, and 99 keys,
-    each of one codeword of two neighbouring segments.
-    """
-
-    def run(batches: Iterator) -> Iterator:
-        import numpy as np
-        import pyarrow as pa
-
-        for batch in batches:
-            ids = batch.column(0)
-            for at in range(0, batch.num_rows, 256):
-                sets = [_shingle_set(t.as_py(), size) for t in batch.column(1)[at:at + 256]]
-                margins = np.stack([_margins(f) for f, _ in sets])
-                codes = soft_codewords(margins)
-                keys = [s << 24 | codes[:, s, i] << 12 | codes[:, (s + 1) % WIDE_SEGMENTS, j]
-                        for s in range(WIDE_SEGMENTS) for i in range(WIDE_CODES) for j in range(WIDE_CODES)]
-                prints = np.packbits(margins > 0, axis=1)
-                keys = np.stack(keys, axis=1).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [ids[at:at + 256], pa.array([d for _, d in sets], pa.binary()),
-                     pa.array([len(f) for f, _ in sets], pa.int64()),
-                     pa.array([p.tobytes() for p in prints], pa.binary()),
-                     pa.FixedSizeListArray.from_arrays(pa.array(keys.ravel()), keys.shape[1]).cast(pa.list_(pa.int32()))],
-                    names=["id", "digest", "shingles", "print", "keys"])
-
-    return run
-
-
-def _sets(size: int):
-    """From rows (text, digest, others): the text's shingle set in place of the text where it has that digest."""
-
-    def run(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
-        for batch in batches:
-            found = [_shingle_set(t.as_py(), size) for t in batch.column(0)]
-            raw = pa.array([f.tobytes() for f, _ in found], pa.binary())
-            same = pa.array([d == w.as_py() for (_, d), w in zip(found, batch.column(1))], pa.bool_())
-            yield pa.RecordBatch.from_arrays([raw, *batch.columns[1:]], names=["hashes", *batch.schema.names[1:]]).filter(same)
-
-    return run
-
-
-def similar_forest(prints, sides, sets):
-    """Links that join the texts whose sets have a Jaccard similarity of ``SIMILAR`` or more, one fewer than the members
-    of each component. Pairs more than ``WIDE_MOST`` bits apart, or of one and the same side other than 0, are left out.
-    """
-    import numpy as np
-
-    n = len(prints)
-    at_all = np.arange(n)
-    root = np.arange(n)
-    sizes = np.array([len(s) for s in sets])
-    out = []
-
-    def find(i):
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
-
-    for at in range(0, n, 256):
-        block = at_all[at:at + 256]
-        one, two = sizes[block, None], sizes[None, :]
-        near = (block[:, None] < at_all[None, :]) & ((sides[block, None] == 0) | (sides[block, None] != sides[None, :]))
-        near &= SIMILAR[1] * np.minimum(one, two) >= SIMILAR[0] * np.maximum(one, two)
-        near &= _differing(prints[block, None], prints[None, :]) <= WIDE_MOST
-        left, right = np.nonzero(near)
-        left = block[left]
-        open_ = root[left] != root[right]
-        for i, j in zip(left[open_].tolist(), right[open_].tolist()):
-            a, b = find(i), find(j)
-            if a != b:
-                common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-                if SIMILAR[1] * common >= SIMILAR[0] * (len(sets[i]) + len(sets[j]) - common):
-                    root[max(a, b)] = min(a, b)
-                    out.append((i, j))
-        while (root != root[root]).any():
-            root = root[root]
-    return out
-
-
-def _verified(batches: Iterator) -> Iterator:
-    """From rows (key, id, digest, print, side, hashes) sorted by the first three: links of similar texts of one key."""
-    import numpy as np
-    import pyarrow as pa
-
-    def links(rows):
-        if len(rows) < 2:
-            return []
-        _, ids, _, prints, sides, sets = zip(*rows)
-        prints = np.frombuffer(b"".join(prints), np.uint64).reshape(len(rows), -1)
-        sets = [np.frombuffer(s, np.uint64) for s in sets]
-        return [(ids[i], ids[j]) for i, j in similar_forest(prints, np.array(sides), sets)]
-
-    def emit(found):
-        return pa.RecordBatch.from_arrays(
-            [pa.array([x for x, _ in found], pa.int64()), pa.array([x for _, x in found], pa.int64())], names=["a", "b"])
-
-    held: list = []
-    found: list = []
-    for batch in batches:
-        for row in zip(*batch.columns):
-            row = tuple(v.as_py() for v in row)
-            if held and held[-1][:3] == row[:3]:
-                continue
-            if held and held[-1][0] != row[0]:
-                found += links(held)
-                held = []
-            held.append(row)
-        if found:
-            yield emit(found)
-            found = []
-    if found := links(held):
-        yield emit(found)
-
-
-def _similar_links(docs: DataFrame, members: DataFrame, shingle: int) -> DataFrame:
-    """(a, b): links that join similar texts. ``docs`` has id and text; ``members`` (id, digest, shingles, print, root)
-    are the texts to compare, each with those of its root.
-
-    The shingle sets of a group move once, unless the group is large: then its texts are dealt out in blocks, and a task
-    compares two of them.
-    """
-    blocks = F.greatest(F.count(F.lit(1)) / VERIFY_ROWS, F.sum("shingles") * 8 / VERIFY_BYTES)
-    sizes = members.groupBy("root").agg(F.greatest(F.ceil(blocks), F.lit(1)).cast("int").alias("_blocks"))
-    sets = docs.join(members.join(sizes, "root"), "id").select("text", "digest", "id", "print", "root", "_blocks").mapInArrow(
-        _sets(shingle), "hashes binary, digest binary, id bigint, print binary, root bigint, _blocks int")
-    dealt = sets.withColumn("_own", F.pmod(F.xxhash64("id", "digest"), F.col("_blocks")).cast("int")).withColumn(
-        "_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))).select(
-        F.xxhash64("root", F.least("_own", "_other"), F.greatest("_own", "_other")).alias("key"), "id", "digest", "print",
-        F.signum(F.col("_own") - F.col("_other")).cast("int").alias("side"), "hashes")
-    return dealt.repartition("key").sortWithinPartitions("key", "id", "digest").mapInArrow(_verified, "a bigint, b bigint")
-
-
-def similar_documents(docs: DataFrame, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, component_id) of every document with an id. Texts link if 0.8 or more of their distinct
-    ``shingle``-word sequences are the same (Jaccard, of the sets of their 64-bit hashes); a component's id is the least
-    doc_id in it. Texts without words are copies of each other; repeated rows give repeated results.
-
-    Candidates meet where two neighbouring segments of their 256-bit fingerprints decode to a common pair of the three
-    nearest Golay codewords, and differ in at most ``WIDE_MOST`` bits; of random pairs of 180 shingles each with a
-    similarity of exactly 0.8, keys missed 0.7 % and bits 0.1 % of 1,500. Whatever candidates join directly or through
-    others is then compared by shingle sets. Texts with equal sets are one node.
-    """
-    base = docs.where(F.col(id_col).isNotNull()).select(
-        F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    rows = written(base.mapInArrow(
-        _wide(shingle), "id bigint, digest binary, shingles bigint, print binary, keys array<int>"), "similar-prints")
-    nodes = rows.groupBy("digest").agg(F.min(F.struct("id", "shingles", "print", "keys")).alias("n")).select("digest", "n.*")
-    spread = _spread(nodes.select("print", "id", "keys"), "id")
-    keyed = spread.select(
-        F.explode(F.col("keys").cast("array<bigint>")).alias("key"), "id", "print", F.lit(True).alias("stored"))
-    groups = component_roots(_meet(keyed, WIDE_MOST), "similar-candidates")
-    groups = groups.union(groups.select(F.col("root").alias("node"), "root").distinct()).withColumnRenamed("node", "id")
-    members = written(nodes.drop("keys").join(groups, "id"), "similar-members")
-    roots = component_roots(_similar_links(base, members, shingle), "similar-component")
-    named = nodes.select("digest", F.col("id").alias("node")).join(roots, "node", "left").withColumn(
-        "component_id", F.coalesce("root", "node"))
-    return rows.select(F.col("id").alias("doc_id"), "digest").join(
-        named.select("digest", "component_id"), "digest").select("doc_id", "component_id")
-
-
-def keep_one_of_similar(docs: DataFrame, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` without near copies: of each component of ``similar_documents`` the document with the least
-    id stays, with all its columns. Rows with a null id stay; of rows with one id all stay if one of them does.
+def keep_one(docs: DataFrame, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` without near copies: of each component of ``near_duplicates`` the document with the least id
+    stays, with all its columns. Rows with a null id stay; of rows with one id all stay if one of them does.
     """
-    gone = similar_documents(docs, shingle, id_col, text_col).groupBy("doc_id").agg(
+    gone = near_duplicates(docs, shingle, id_col, text_col).groupBy("doc_id").agg(
         F.bool_and(F.col("doc_id") != F.col("component_id")).alias("_gone")).where("_gone").select(
         F.col("doc_id").alias("_id"))
     return docs.join(gone, docs[id_col] == gone["_id"], "left_anti")

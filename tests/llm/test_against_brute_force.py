@@ -225,70 +225,39 @@ def test_words_within_two_bits_share_a_codeword():
             assert (own[:, :, None] == other[:, None, :]).any((1, 2)).all()
 
 
-def test_similar_texts_are_found(spark):
-    rnd = random.Random(5)
-    words = ["".join(rnd.choice("abcdefghij") for _ in range(5)) for _ in range(3_000)]
-    base = [[rnd.choice(words) for _ in range(300)] for _ in range(60)]
-    docs = []
-    for i, text in enumerate(base):
-        docs.append((i, " ".join(text)))
-        changed = list(text)
-        for at in rnd.sample(range(300), 3):  # at most 15 of 296 shingles on each side
-            changed[at] = "new"
-        docs.append((1000 + i, " ".join(changed)))
-        docs.append((2000 + i, " ".join(text[:80] + [rnd.choice(words) for _ in range(220)])))
-    got = {r.doc_id: r.component_id for r in simhash.similar_documents(
-        spark.createDataFrame(docs, "doc_id bigint, text string"), 5).collect()}
-    assert sum(got[1000 + i] == i for i in range(60)) >= 59
-    assert all(got[2000 + i] == 2000 + i and got[i] == i for i in range(60))
-
-
-def pairs_of_similarity(common, own, count, seed):
-    """``count`` pairs of texts with ``common`` shingles of five words in common and ``own`` of its own each."""
-    rnd = random.Random(seed)
-
-    def words(n):
-        return [f"{rnd.getrandbits(60):x}" for _ in range(n)]
-
-    base = [words(common + 4) for _ in range(count)]
-    return [(" ".join(b + words(own)), " ".join(b + words(own))) for b in base]
-
-
-def test_shingle_sets_decide_on_similar_texts(spark):
-    kinds = {0.6: (120, 40), 0.7: (140, 30), 0.799: (159, 20), 0.8: (160, 20), 0.85: (170, 15), 0.9: (180, 10)}
-    docs = []
-    for k, (common, own) in enumerate(kinds.values()):
-        for i, (one, two) in enumerate(pairs_of_similarity(common, own, 40, k)):
-            docs += [(1000 * k + 2 * i, one), (1000 * k + 2 * i + 1, two)]
-    got = {r.doc_id: r.component_id for r in simhash.similar_documents(
-        spark.createDataFrame(docs, "doc_id bigint, text string"), 5).collect()}
-    linked = [sum(got[1000 * k + 2 * i] == got[1000 * k + 2 * i + 1] for i in range(40)) for k in range(len(kinds))]
-    assert linked[:3] == [0, 0, 0] and linked[3] >= 39 and linked[4:] == [40, 40]
-
-
-def test_repeated_lines_count_once_in_similar_texts(spark):
-    line = " ".join(f"menu{i}" for i in range(12)) + " "
-    docs = []
-    for i, (one, two) in enumerate(pairs_of_similarity(0, 100, 20, 3)):  # two articles below one much-repeated line
-        docs += [(2 * i, line * 40 + one), (2 * i + 1, line * 40 + two)]
-    for i, (one, two) in enumerate(pairs_of_similarity(180, 12, 20, 4)):  # one article with few or many such lines
-        docs += [(1000 + 2 * i, line * 2 + one), (1001 + 2 * i, line * 40 + two)]
-    for i, (one, _) in enumerate(pairs_of_similarity(100, 20, 20, 5)):  # equal sets
-        docs += [(2000 + 2 * i, line * 2 + one), (2001 + 2 * i, line * 40 + one)]
-    got = {r.doc_id: r.component_id for r in simhash.similar_documents(
-        spark.createDataFrame(docs, "doc_id bigint, text string"), 5).collect()}
-    assert got == {i: i if i < 1000 else i - i % 2 for i, _ in docs}
-
-
-def test_similar_texts_in_blocks_are_those_of_one_block(spark, monkeypatch):
-    docs = spark.createDataFrame(
-        [(10 * i + k, text) for i, pair in enumerate(pairs_of_similarity(170, 15, 3, 9)) for k in range(2)
-         for text in [pair[k]]] + [(100 + i, " ".join(f"w{j}" for j in range(200)) + f" end{i}") for i in range(30)],
-        "doc_id bigint, text string")
-    whole = sorted(simhash.similar_documents(docs, 5).collect())
-    monkeypatch.setattr(simhash, "VERIFY_ROWS", 4)
-    assert sorted(simhash.similar_documents(docs, 5).collect()) == whole
-    assert {r.component_id for r in whole} == {0, 10, 20, 100}
+def test_any_two_fingerprints_within_four_bits_share_a_stored_key():
+    rng = np.random.default_rng(7)
+    one = rng.integers(0, 2 ** 63, 3_000, dtype=np.uint64)
+    two = one.copy()
+    for i, changes in enumerate(rng.integers(1, 5, len(one))):
+        for bit in rng.choice(64, changes, replace=False):
+            two[i] ^= np.uint64(1) << np.uint64(bit)
+    rows, keys, stored = simhash.segment_keys(np.concatenate([one, two]))
+    at = {}
+    for r, k, s in zip(rows.tolist(), keys.tolist(), stored.tolist()):
+        at.setdefault(r, {})[k] = at.get(r, {}).get(k, False) or s
+    n = len(one)
+    assert all(any(s or at[i + n][k] for k, s in at[i].items() if k in at[i + n]) for i in range(n))
+    assert len(rows) < 170 * 2 * n
+
+
+def test_links_are_the_same_in_every_key():
+    """Forests of the same fingerprints with others beside them agree wherever the others join nothing."""
+    rng = np.random.default_rng(3)
+    core = np.sort(np.uint64(1) << rng.choice(20, 12, replace=False).astype(np.uint64))
+    far = np.uint64(0xFFFFFFFF00000000)
+    held = np.ones(13, bool)
+    links = simhash.forest(core, held[:12], 4)
+    assert len(links) == 11 and links == simhash.forest(np.append(core, far), held, 4)
+    assert all(i == 0 for i, _ in links)  # all of them lie 2 bits apart
+
+
+def test_few_fingerprints_are_dealt_out_before_they_multiply(spark):
+    prints = spark.range(500).select(F.xxhash64("id").alias("print")).groupBy("print").agg(F.count(F.lit(1)).alias("n"))
+    plan = simhash.near_links(prints)
+    tasks = plan.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    dealt = prints.select("print").repartition(int(tasks), F.xxhash64("print"))
+    assert dealt.rdd.getNumPartitions() == int(tasks) and plan.count() == 0
 
 
 def test_components_of_a_long_chain_and_a_star(spark):

@@ -42,7 +42,6 @@ DOC_OPERATORS = {
     "encode": lambda d: bpe.decode_documents(bpe.encode_documents(d, RANKS, public_tokenizers.PATTERN), RANKS,
                                              public_tokenizers.PATTERN),
     "simhash": lambda d: simhash.near_duplicates(d, 4),
-    "similar": lambda d: simhash.similar_documents(d, 5),
     "exact": exact_dedup.duplicate_groups,
     "pii": lambda d: pii.pseudonymise(d, "key"),
     "toxicity": lambda d: toxicity.score_toxicity(d, toxicity.fit_toxicity(d, labels(d.sparkSession)), ["doc_id"]),
@@ -58,9 +57,6 @@ def test_edge_documents(spark, name):
             r.length for r in rows if r.doc_id in (8, None))
         assert sum(r.doc_id == 8 and r.start == 0 for r in rows) == 2
         assert {(r.doc_id, r.doc_tokens) for r in rows if r.doc_id in (3, 4)} == {(3, 1), (4, 1)}
-    elif name == "similar":
-        of = {r.doc_id: r.component_id for r in rows}
-        assert len(rows) == 10 and of[2] == of[8] == 1 and of[4] == of[5] == 3 and of[7] == 6
     else:
         assert len(rows) == len(ROWS)
     if name == "exact":
