@@ -27,8 +27,10 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of similar texts (five-word sequences, 0.8 or more), the one with the least id."""
-    return simhash.keep_one_of_similar(docs, shingle=5)
+    """One document of each group of near copies (fingerprints of four words, 4 bits or fewer apart), the one with the
+    least id.
+    """
+    return simhash.keep_one(docs, shingle=4)
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
