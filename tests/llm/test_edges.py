@@ -5,7 +5,7 @@ import pytest
 
 import corpus_pipeline
 from cardpulse.llm import (
-    bpe, exact_dedup, html_extract, neighbours, packing, pii, simhash, suffix_dedup, toxicity, url_filter)
+    bpe, exact_dedup, html_extract, neighbours, packing, periodic_runs, pii, simhash, suffix_dedup, toxicity, url_filter)
 from pyspark.sql import functions as F
 
 # Columns named like those that operators add or use inside.
@@ -43,6 +43,7 @@ DOC_OPERATORS = {
                                              public_tokenizers.PATTERN),
     "simhash": lambda d: simhash.near_duplicates(d, 4),
     "exact": exact_dedup.duplicate_groups,
+    "runs": periodic_runs.periodic_runs,
     "pii": lambda d: pii.pseudonymise(d, "key"),
     "toxicity": lambda d: toxicity.score_toxicity(d, toxicity.fit_toxicity(d, labels(d.sparkSession)), ["doc_id"]),
 }
@@ -71,6 +72,10 @@ def test_edge_documents(spark, name):
             5: " \n\t ", 7: LONG, 9: ROWS[-1][1]}
     if name == "suffix":
         assert {r.doc_id: r.n_removed for r in rows if r.doc_id in (3, 4, 6)} == {3: 0, 4: 0, 6: len(LONG)}
+    if name == "runs":
+        of = {r.doc_id: r for r in rows}
+        assert of[3].runs == of[4].runs == [] and of[3].collapsed == "" and of[None].n_words in (0, 2)
+        assert [tuple(r) for r in of[6].runs] == [(0, 60_000, 1)] and of[6].collapsed == "word " + "x" * 50_000
     if name == "toxicity":
         assert all(0 <= r.score <= 1 for r in rows)
     if name == "pii":
