@@ -112,6 +112,11 @@ def device_change(
         )
     else:
         counted = sliding_distinct(used, "device_id", window, slide, "distinct_devices")
+    return devices_of(counted, known_devices)
+
+
+def devices_of(counted: DataFrame, known_devices: bool = False) -> DataFrame:
+    """F05's columns from the number of devices."""
     return counted.select(
         *_BOUNDS,
         *(["known_devices"] if known_devices else []),

@@ -216,8 +216,17 @@ def sliding_amounts(
             "avg_amount", "stddev_amount", "max_amount", "min_amount", "sum_amount", "last_event_time",
         )
 
-    pane_us = gcd(length_us, slide_us)
-    panes = (
+    return amounts_of_panes(fold_amounts(tx, length, slide, amount, key, time), length, slide, key)
+
+
+def fold_amounts(
+    tx: DataFrame, length: str, slide: str, amount: str = "amount", key: str = "user_id", time: str = "event_time"
+) -> DataFrame:
+    """(key, _pane, _n, _sum, _spread, _max, _min, _last): a pane's amounts, with the sum of squared distances from the
+    pane's own mean.
+    """
+    pane_us = gcd(micros(length), micros(slide))
+    return (
         tx.where(F.col(time).isNotNull())
         .groupBy(key, slot_of(F.unix_micros(time), pane_us).alias("_pane"))
         .agg(*map(F.expr, (
@@ -229,6 +238,32 @@ def sliding_amounts(
             f"max({time}) as _last",
         )))
     )
+
+
+def _spread_around(mean: str, parts: str) -> str:
+    """The sum of squared distances from ``mean`` over ``parts``: each part's inner spread plus the distance of its mean.
+    Taking the mean first keeps the sum free of cancellation.
+    """
+    return (
+        f"aggregate(filter({parts}, p -> p._n > 0), 0D, (total, p) -> total + p._spread "
+        f"+ p._n * (p._sum / p._n - {mean}) * (p._sum / p._n - {mean}))"
+    )
+
+
+def merge_amounts(panes: DataFrame, key: str = "user_id") -> DataFrame:
+    """Panes folded from several batches as one row per key and pane."""
+    merged = panes.groupBy(key, "_pane").agg(*map(F.expr, (
+        "sum(_n) as _n", "sum(_sum) as _sum", "collect_list(struct(_n, _sum, _spread)) as _parts",
+        "max(_max) as _max", "min(_min) as _min", "max(_last) as _last")))
+    return merged.withColumn("_mean", F.expr("_sum / nullif(_n, 0)")).selectExpr(
+        f"`{key}`", "_pane", "_n", "_sum", f"if(_n > 0, {_spread_around('_mean', '_parts')}, null) as _spread",
+        "_max", "_min", "_last")
+
+
+def amounts_of_panes(panes: DataFrame, length: str, slide: str, key: str = "user_id") -> DataFrame:
+    """The windows of :func:`sliding_amounts` from panes, one row per key and pane."""
+    length_us, slide_us = micros(length), micros(slide)
+    pane_us = gcd(length_us, slide_us)
     # Statistics are taken where a pane enters or leaves, twice per pane, over the few panes of that window; the
     # windows in between repeat them. A leaving pane brings no values, it only marks the change.
     panes_per_window = length_us // pane_us
@@ -251,14 +286,9 @@ def sliding_amounts(
         f"max(_p._last) over {inside} as last_event_time",
         f"collect_list(_p) over {inside} as _panes",
     ).where("last_event_time is not null")
-    # Spread around the window's own mean: the panes' inner spread plus the distance of their means from it.
-    # Taking the mean first keeps the sum free of cancellation.
-    spread = (
-        "aggregate(filter(_panes, p -> p._n > 0), 0D, (total, p) -> total + p._spread "
-        "+ p._n * (p._sum / p._n - avg_amount) * (p._sum / p._n - avg_amount))"
-    )
     stats = runs.withColumn("avg_amount", F.expr("sum_amount / nullif(_n, 0)")).withColumn(
-        "stddev_amount", F.expr(f"case when _n > 1 then sqrt({spread} / (_n - 1)) end"))
+        "stddev_amount", F.expr(
+            f"case when _n > 1 then sqrt({_spread_around('avg_amount', '_panes')} / (_n - 1)) end"))
     ends = _write_out(
         stats, key, "avg_amount", "stddev_amount", "max_amount", "min_amount", "sum_amount", "last_event_time")
     return with_bounds(_aligned(ends, pane_us, length_us, slide_us), "_tick", pane_us, length_us, key)
@@ -279,7 +309,7 @@ def sliding_members(
     """
     length_us, slide_us = micros(length), micros(slide)
     pane_us = gcd(length_us, slide_us)
-    spans = _member_spans(tx, member, length_us, slide_us, pane_us, key, time)
+    spans = _member_spans(fold_members(tx, member, length, slide, key, time), member, length_us, pane_us, key)
     ticks = spans.select(
         key, member,
         F.explode(F.sequence("_from", "_to")).alias("_tick"),
@@ -288,14 +318,25 @@ def sliding_members(
     return with_bounds(_aligned(ticks, pane_us, length_us, slide_us), "_tick", pane_us, length_us, key)
 
 
-def _member_spans(tx, member, length_us, slide_us, pane_us, key, time):
-    """Window ends [_from, _to] in which a member's newest pane is the given one; spans of a member are disjoint."""
-    _check(length_us, slide_us)
-    panes = (
+def fold_members(
+    tx: DataFrame, member: str, length: str, slide: str, key: str = "user_id", time: str = "event_time"
+) -> DataFrame:
+    """(key, member, _pane, _last): the panes in which a key meets a member."""
+    _check(micros(length), micros(slide))
+    return (
         tx.where(F.col(time).isNotNull() & F.col(member).isNotNull())
-        .groupBy(key, member, slot_of(F.unix_micros(time), pane_us).alias("_pane"))
+        .groupBy(key, member, slot_of(F.unix_micros(time), gcd(micros(length), micros(slide))).alias("_pane"))
         .agg(F.max(time).alias("_last"))
     )
+
+
+def merge_members(panes: DataFrame, member: str, key: str = "user_id") -> DataFrame:
+    """Panes folded from several batches as one row per key, member and pane."""
+    return panes.groupBy(key, member, "_pane").agg(F.max("_last").alias("_last"))
+
+
+def _member_spans(panes, member, length_us, pane_us, key):
+    """Window ends [_from, _to] in which a member's newest pane is the given one; spans of a member are disjoint."""
     order = Window.partitionBy(key, member).orderBy("_pane")
     last_end = F.col("_pane") + length_us // pane_us
     return panes.select(
@@ -316,9 +357,16 @@ def sliding_distinct(
     time: str = "event_time",
 ) -> DataFrame:
     """Exact number of distinct ``member`` values per key and window, without ever holding the set. Batch only."""
+    return distinct_of_panes(fold_members(tx, member, length, slide, key, time), member, length, slide, count_name, key)
+
+
+def distinct_of_panes(
+    panes: DataFrame, member: str, length: str, slide: str, count_name: str, key: str = "user_id"
+) -> DataFrame:
+    """The windows of :func:`sliding_distinct` from panes, one row per key, member and pane."""
     length_us, slide_us = micros(length), micros(slide)
     pane_us = gcd(length_us, slide_us)
-    spans = _member_spans(tx, member, length_us, slide_us, pane_us, key, time)
+    spans = _member_spans(panes, member, length_us, pane_us, key)
     # +1 where a member's span begins, -1 behind its end; partial sums make this at most one row per key and
     # window end, whatever the number of members.
     edges = spans.select(key, F.explode(F.array(

@@ -13,6 +13,7 @@ from cardpulse.plans.adapter import transactions
 from cardpulse.schema import ONLINE_VIEWS, TRANSACTION_FEATURES, USER_FEATURES
 from cardpulse.sources.tables import labels_between, user_profiles
 from cardpulse.sources.transactions import decode_transactions, publish_transactions, split_wire_frame
+from cardpulse.streaming import panes, scorer
 from cardpulse.streaming import queries as streams
 
 AS_OF = "2024-01-01 02:00:00"
@@ -303,18 +304,17 @@ def stream_rejects(spark, sf_dir):
 
 
 def online_user_row(spark, sf_dir):
-    """The five user features as streams into their online tables, then one live row per user."""
-    tx = conform.with_watermark(adapter.from_events(adapter.event_stream(spark, sf_dir)))
+    """The five user features as one stream of panes into their online tables, then one live row per user."""
+    # Sums of whole cents are exact in any order.
+    tx = adapter.from_events(adapter.event_stream(spark, sf_dir)).withColumn("cents", F.col("amount_cents").cast("double"))
     path = streams.shared_folder(spark, "online-user")
-    paths = {}
-    for name in ("f01", "f02", "f04", "f05", "f06"):
-        # Sums of whole cents are exact in any order.
-        rows = tx.withColumn("amount", F.col("amount_cents").cast("double")) if name == "f02" else tx
-        view = streams.FEATURE_QUERIES[name].view.name
-        paths[view] = f"{path}/{view}"
-        streams.start_feature(name, rows, paths[view], f"{path}/checkpoints", trigger={"availableNow": True},
-                              written_at=AS_OF).awaitTermination()
-    row = store.online_user_features(spark, paths, "2024-01-01 02:04:59")
+    chosen = panes.PANE_FEATURES | {"f02": panes.amounts_feature("cents")}
+    online = {name: f"{path}/online/{name}" for name in chosen}
+    panes.start_pane_features(
+        tx, chosen, f"{path}/panes", online, f"{path}/checkpoint", trigger={"availableNow": True}, written_at=AS_OF,
+    ).awaitTermination()
+    row = store.online_user_features(
+        spark, {feature.view.name: online[name] for name, feature in chosen.items()}, "2024-01-01 02:04:59")
     return row.withColumn("avg_amount_24h", F.col("avg_amount_24h") / 100).withColumn(
         "stddev_amount_24h", F.round(F.col("stddev_amount_24h") / 100, 4))
 
@@ -353,7 +353,7 @@ def stream_velocity_panes(spark, sf_dir):
     """F04 as a stream of panes: 60 window copies of an event less than ``stream_velocity_online``, the same scores."""
     tx = adapter.from_events(adapter.event_stream(spark, sf_dir))
     path = streams.shared_folder(spark, "stream-panes")
-    streams.start_pane_feature(
+    panes.start_pane_feature(
         "f04", tx, f"{path}/panes", f"{path}/online", f"{path}/checkpoints", trigger={"availableNow": True},
         written_at=AS_OF).awaitTermination()
     view = ONLINE_VIEWS["velocity"]
@@ -385,21 +385,91 @@ def stream_country_risk(spark, sf_dir):
     return in_micros(_appended(risk, streams.shared_folder(spark, "stream-risk"), spark))
 
 
+def _deliveries(tx: DataFrame, parts: list, path: str):
+    """Deliver parts (conditions) of ``tx`` one after the other to a folder; yields the folder's stream each time, whose
+    next micro-batch is the whole delivery, in as many files as it has.
+    """
+    for part in parts:
+        tx.where(part).write.mode("append").parquet(path)
+        yield tx.sparkSession.readStream.schema(tx.schema).parquet(path)
+
+
 def stream_dedup(spark, sf_dir):
     """All transactions delivered twice, in two micro-batches; each counts once in the users' newest F01 window."""
     path = streams.shared_folder(spark, "stream-dedup")
-    tx = transactions(spark, sf_dir).select("transaction_id", "user_id", "status", "event_time").coalesce(1)
-    for _ in range(2):
-        tx.write.mode("append").parquet(f"{path}/delivered")
-    delivered = spark.readStream.schema(tx.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/delivered")
-    streams.start_feature(
-        "f01", conform.dedupe_transactions(conform.with_watermark(delivered)), f"{path}/online", f"{path}/checkpoints",
-        trigger={"availableNow": True}, written_at=AS_OF).awaitTermination()
+    tx = transactions(spark, sf_dir).select("transaction_id", "user_id", "status", "event_time")
+    for delivered in _deliveries(tx, [F.lit(True)] * 2, f"{path}/delivered"):
+        streams.start_feature(
+            "f01", conform.dedupe_transactions(conform.with_watermark(delivered)), f"{path}/online", f"{path}/checkpoints",
+            trigger={"availableNow": True}, written_at=AS_OF).awaitTermination()
     view = ONLINE_VIEWS["tx_5min"]
     live = store.read_online(spark, view, f"{path}/online", "2024-01-01 02:04:59")
     return in_micros(live.select("user_id", "window_end", *view.names, "last_event_time"))
 
 
+def _shares(count: int) -> list:
+    """Conditions that deal transactions out at random: each delivery holds rows older than those before it."""
+    return [F.pmod(F.xxhash64("transaction_id"), F.lit(count)) == i for i in range(count)]
+
+
+def stream_amount_panes(spark, sf_dir):
+    """F02 as a stream of panes over four deliveries, each with late rows; the current value of every user."""
+    tx = transactions(spark, sf_dir).select(
+        "transaction_id", "user_id", "status", F.col("amount_cents").cast("double").alias("amount"), "event_time")
+    path = streams.shared_folder(spark, "stream-amounts")
+    for delivered in _deliveries(tx, _shares(4), f"{path}/delivered"):
+        panes.start_pane_feature(
+            "f02", delivered, f"{path}/panes", f"{path}/online", f"{path}/checkpoints", {"availableNow": True}, AS_OF,
+        ).awaitTermination()
+    view = ONLINE_VIEWS["avg_amount_24h"]
+    live = store.read_online(spark, view, f"{path}/online", "2024-01-01 02:04:59")
+    return in_micros(_cents(live.select("user_id", "window_end", *view.names, "last_event_time")))
+
+
+def _device_stream(spark, sf_dir):
+    tx = transactions(spark, sf_dir).select("transaction_id", "user_id", "device_id", "event_time")
+    path = streams.shared_folder(spark, "stream-devices")
+    for delivered in _deliveries(tx, _shares(4), f"{path}/delivered"):
+        panes.start_pane_feature(
+            "f05", delivered, f"{path}/panes", f"{path}/online", f"{path}/checkpoints", {"availableNow": True}, AS_OF,
+            members_path=f"{path}/devices").awaitTermination()
+    return store.read_online(spark, ONLINE_VIEWS["device_change"], f"{path}/online", "2024-01-01 02:04:59"), f"{path}/devices"
+
+
+def stream_device_panes(spark, sf_dir):
+    """F05 as a stream of panes over four deliveries, without a set of devices; the current value of every user."""
+    live, _ = _device_stream(spark, sf_dir)
+    return in_micros(live.select("user_id", "window_end", *ONLINE_VIEWS["device_change"].names, "last_event_time"))
+
+
+def stream_known_devices(spark, sf_dir):
+    """The devices of every user's current F05 window on a stream, one row each."""
+    return in_micros(panes.read_members(*_device_stream(spark, sf_dir)))
+
+
+def stream_scoring(spark, sf_dir):
+    """Requests in two deliveries to one running scorer; the features after one o'clock are written in between, and count
+    for the second.
+    """
+    path = streams.shared_folder(spark, "stream-scoring")
+    requests = transactions(spark, sf_dir).select("transaction_id", "user_id", "event_time")
+    users, tx = f"{path}/users", f"{path}/transactions"
+    user_rows, tx_rows = _user_features(spark, sf_dir), _tx_features(spark, sf_dir)
+    earlier = "event_timestamp <= timestamp'2024-01-01 01:00:00'"
+    query = None
+    for batch, part in enumerate((earlier, f"not {earlier}")):
+        store.write_online(user_rows.where(part), USER_FEATURES, users, batch, F.col("event_timestamp"), "1 minute")
+        store.write_online(tx_rows.where(part), TRANSACTION_FEATURES, tx, batch, F.col("event_timestamp"))
+        requests.where(part.replace("event_timestamp", "event_time")).write.mode("append").parquet(f"{path}/requests")
+        if query is None:
+            delivered = spark.readStream.schema(requests.schema).parquet(f"{path}/requests")
+            query = scorer.start_scorer(
+                delivered, scorer.stored_features(users, tx), f"{path}/decisions", f"{path}/checkpoint", _formula_model())
+        query.processAllAvailable()
+    query.stop()
+    return spark.read.parquet(f"{path}/decisions").select("transaction_id", "user_id", "hard_block", "score", "decision")
+
+
 def created_at(spark, sf_dir):
     return in_micros(quality.with_created_at(_tx_features(spark, sf_dir), AS_OF))
 
@@ -423,5 +493,6 @@ QUERIES = {
         stream_tx_counts, stream_velocity_online,
         tx_decoded_timestamps, stream_rejects, online_user_row, training_from_store, online_compacted, model_scores,
         stream_tumbling, stream_country_risk, stream_dedup, created_at, key_values, stream_velocity_panes,
+        stream_scoring, stream_amount_panes, stream_device_panes, stream_known_devices,
     )
 }

@@ -353,3 +353,32 @@ ORACLE["stream_tumbling"] = (
     "select * from (" + ORACLE["f07_tumbling_velocity"] + ") where window_end <= "
     f"(select (max(event_time) // 1000) * 1000 from ({ORACLE['tx_dedup'].replace('event_us from tx', 'event_us as event_time from tx')}))"
     " - 10000000")
+
+_NOW = "qualify row_number() over (partition by user_id order by last_event_time desc, window_end) = 1"
+ORACLE["stream_amount_panes"] = _query(f"select * exclude (window_start) from f02 {_NOW}", _f02())
+ORACLE["stream_device_panes"] = _query(f"select * exclude (window_start, known_devices) from f05 {_NOW}", _F05)
+ORACLE["stream_known_devices"] = _query(
+    f"""select tx.user_id, device_id, max(event_us) as last_event_time
+        from tx join (select * from f05 {_NOW}) now
+          on tx.user_id = now.user_id and event_us >= window_start and event_us < window_end
+        where device_id is not null group by all""",
+    _F05)
+_AT_ONE = EPOCH_US + HOUR
+ORACLE["stream_scoring"] = _query(
+    "select * from decided", *_ALL_FEATURES, _F03, _K2,
+    f"""
+deliveries as (
+  select (event_us > {_AT_ONE})::int as delivery, max(event_us) as as_of from tx group by delivery),
+live_users as (
+  select k1.*, delivery from k1, deliveries
+  where (delivery = 1 or event_timestamp <= {_AT_ONE}) and as_of < event_timestamp + {24 * HOUR}::bigint
+  qualify row_number() over (partition by delivery, user_id order by last_event_time desc, event_timestamp) = 1),
+live_tx as (
+  select k2.*, delivery from k2, deliveries
+  where (delivery = 1 or event_timestamp <= {_AT_ONE}) and as_of < event_timestamp + {10 * MINUTE}::bigint),
+looked_up as (
+  select tx.transaction_id, tx.user_id, tx_last_5min_total, tx_last_5min_failed, avg_amount_24h, velocity_score,
+         device_change_flag, failed_attempts_30min, hard_block, country_mismatch_flag, country_risk_score
+  from tx left join live_users on tx.user_id = live_users.user_id and (event_us > {_AT_ONE})::int = live_users.delivery
+       left join live_tx on tx.transaction_id = live_tx.transaction_id and (event_us > {_AT_ONE})::int = live_tx.delivery)""",
+    _DECIDED)

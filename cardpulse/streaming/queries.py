@@ -9,7 +9,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
-from pyspark.sql.types import LongType, StructField, StructType
 
 from cardpulse.operators import features
 from cardpulse.operators.conform import (
@@ -20,7 +19,6 @@ from cardpulse.operators.conform import (
     with_watermark,
 )
 from cardpulse.operators.store import push_features, write_online
-from cardpulse.operators.windows import Tally, fold_panes, merge_panes, pane_reach, tallies_of_panes
 from cardpulse.plans.tables import build_transaction_features
 from cardpulse.schema import (
     ONLINE_VIEWS,
@@ -133,55 +131,6 @@ def start_feature(
     return _writer(query.run(tx, profiles), query.mode, f"{checkpoint_root.rstrip('/')}/{name}", trigger).foreachBatch(write).start()
 
 
-@dataclass(frozen=True)
-class PaneFeature:
-    """A feature that panes suffice for: its counts, and its columns from them."""
-
-    view: FeatureView
-    tallies: list[Tally]
-    slide: str
-    columns: Callable[[DataFrame], DataFrame]
-
-
-PANE_FEATURES = {
-    "f01": PaneFeature(ONLINE_VIEWS["tx_5min"], features.count_tallies(), "1 minute", lambda counts: counts),
-    "f04": PaneFeature(ONLINE_VIEWS["velocity"], features.velocity_tallies(), "1 minute", features.velocity_of),
-    "f06": PaneFeature(ONLINE_VIEWS["failed_attempts"], features.failure_tallies(), "5 minutes", features.failures_of),
-}
-
-
-def start_pane_feature(
-    name: str, tx: DataFrame, panes_path: str, online_path: str, checkpoint_root: str, trigger: dict | None = None,
-    written_at=None, files: int | None = None,
-):
-    """A feature of :data:`PANE_FEATURES` into its online table, without a copy of each event for each window and
-    without state in the engine.
-
-    Each micro-batch is folded to panes, one row per user and slide step, and written whole under its number. The
-    windows of the users it touched are then built from their panes of all batches by the code of the batch form, as
-    far back as the longest window reaches from the oldest pane that came in. Counts add up over batches, so late
-    rows correct the windows they belong to, and a repeated batch replaces itself. Delete panes of batches older than
-    the longest window and delay as the offline history allows.
-    """
-    feature = PANE_FEATURES[name]
-    root = panes_path.rstrip("/")
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        fold_panes(batch, feature.tallies, feature.slide).write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
-        new = spark.read.parquet(f"{root}/batch_id={batch_id}")
-        touched = new.groupBy("user_id").agg(
-            (F.min("_pane") - pane_reach(feature.tallies, feature.slide)).alias("_from"))
-        # A replayed batch must not see later ones.
-        known = spark.read.schema(StructType([*new.schema.fields, StructField("batch_id", LongType())])).parquet(root).where(F.col("batch_id") <= batch_id)
-        panes = known.drop("batch_id").join(touched, "user_id").where("_pane >= _from").drop("_from")
-        windows = tallies_of_panes(
-            merge_panes(panes, feature.tallies, feature.slide), feature.tallies, feature.slide)
-        write_online(feature.columns(windows), feature.view, online_path, batch_id, written_at, feature.slide, files)
-
-    return _writer(tx, "append", f"{checkpoint_root.rstrip('/')}/{name}-panes", trigger).foreachBatch(write).start()
-
-
 def start_push(
     result: DataFrame,
     view: FeatureView,

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from cardpulse.operators import conform, features, store
 from cardpulse.plans import adapter
 from cardpulse.plans.scored import alert_messages, decide_requests
-from cardpulse.schema import ONLINE_VIEWS, TRANSACTION_FEATURES
+from cardpulse.schema import ONLINE_VIEWS, TRANSACTION_FEATURES, USER_FEATURES
+from cardpulse.streaming import panes, scorer
 from cardpulse.streaming import queries as streams
 from conftest import TX_DDL, at, tx_rows
 
@@ -122,22 +123,101 @@ def test_online_table_of_a_stream_equals_the_batch(spark, tx, source, tmp_path,
     assert diff(live, store.online_rows(batch, query.view, at(0)).select(exact)) == (0, 0)
 
 
-@pytest.mark.parametrize("name", sorted(streams.PANE_FEATURES))
+@pytest.mark.parametrize("name", sorted(panes.PANE_FEATURES))
 def test_panes_of_a_stream_equal_the_batch(spark, tx, tmp_path, name):
-    """Four micro-batches, the last of them with late rows of all times."""
-    folder, online, panes = str(tmp_path / "tx"), str(tmp_path / "online"), str(tmp_path / "panes")
+    """Four micro-batches, the last of them with late rows of all times; amounts far from zero."""
+    tx = tx.withColumn("amount", F.col("amount") + 1e7)
+    folder, online, kept = str(tmp_path / "tx"), str(tmp_path / "online"), str(tmp_path / "panes")
     late = F.col("k") % 7 == 3
     for order, minutes in enumerate(((-1, 50), (50, 90), (90, 200))):
         low, high = (adapter.EPOCH_US + m * 60_000_000 for m in minutes)
         add_file(tx.where(~late & F.col("event_us").between(low, high - 1)), folder, order)
     add_file(tx.where(late), folder, 3)
-    streams.start_pane_feature(
-        name, file_stream(spark, folder, tx.schema), panes, online, str(tmp_path / "cp"), ONCE, at(0)).awaitTermination()
-    query = streams.FEATURE_QUERIES[name]
-    names = [*query.view.entity, "window_end", *query.view.names]
-    live = store.read_online(spark, query.view, online, at(1)).select(names)
+    query = panes.start_pane_feature(
+        name, file_stream(spark, folder, tx.schema), kept, online, str(tmp_path / "cp"), ONCE, at(0))
+    query.awaitTermination()
+    assert len(query.recentProgress) >= 4 and not any(p["stateOperators"] for p in query.recentProgress)
+    batch = streams.FEATURE_QUERIES[name]
+    names = [*batch.view.entity, "window_end", *batch.view.names]
+    exact = [F.round(c, 4).alias(c) if "amount" in c else F.col(c) for c in names]
+    live = store.read_online(spark, batch.view, online, at(1)).select(exact)
     assert live.count() > 0
-    assert diff(live, store.online_rows(query.run(tx), query.view, at(0)).select(names)) == (0, 0)
+    assert diff(live, store.online_rows(batch.run(tx), batch.view, at(0)).select(exact)) == (0, 0)
+
+
+def test_a_repeated_batch_of_panes_changes_nothing(spark, tmp_path):
+    rows = tx_rows(spark, [("a", "u", 5.0, "APPROVED", None, "FR", "d1", 0), ("b", "u", 7.0, "APPROVED", None, "FR", "d2", 60)])
+    later = tx_rows(spark, [("c", "u", 9.0, "APPROVED", None, "FR", "d3", 120)])
+    for name, feature in (("f02", panes.amounts_feature()), ("f05", panes.devices_feature())):
+        where = [str(tmp_path / name / part) for part in ("panes", "online", "devices")]
+        for batch_id, batch in ((0, rows), (1, later), (1, later), (0, rows), (2, later.limit(0))):
+            panes.update_feature(batch, batch_id, feature, *where, at(0))
+        live = store.read_online(spark, feature.view, where[1], at(1))
+        assert live.count() == 1
+        row = live.first()
+        if name == "f02":
+            assert (row.avg_amount, row.min_amount, row.max_amount, row.stddev_amount) == (7.0, 5.0, 9.0, 2.0)
+        else:
+            assert row.distinct_devices == 3
+            assert {r.device_id for r in panes.read_members(live, where[2]).collect()} == {"d1", "d2", "d3"}
+
+
+def test_blocks_hold_every_batch_once():
+    kept = panes.PaneStore("/nowhere", panes.devices_feature(), every=3, levels=2)
+    for batch_id in range(60):
+        blocks = kept.blocks(batch_id)
+        held = [n for level, block in blocks for n in range(block * 3 ** level, (block + 1) * 3 ** level)]
+        assert held == list(range(batch_id + 1))
+        assert sum(level < 2 for level, _ in blocks) <= 4
+
+
+def test_files_read_do_not_grow_with_the_number_of_batches(spark, tmp_path):
+    feature = panes.devices_feature()
+    kept = panes.PaneStore(str(tmp_path / "panes"), feature, every=2, levels=2)
+    read = []
+    for day in range(16):  # one batch a day; windows reach back one day
+        batch = tx_rows(spark, [(f"t{day}", "u", 1.0, "APPROVED", None, "FR", f"d{day}", 86_400 * day)])
+        new = kept.add(feature.fold(batch.coalesce(1)), day)
+        oldest = new.first()["_pane"] - feature.reach
+        rows = kept.since(spark, new.schema, day, oldest)
+        assert {r.device_id for r in rows.collect()} == {f"d{d}" for d in range(max(0, day - 1), day + 1)}
+        scan = rows._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+        read.append(int(scan.metrics().apply("numFiles").value()))
+    assert 1 <= max(read) <= 3
+
+
+def test_a_running_scorer_sees_features_written_after_its_start(spark, tmp_path):
+    path = str(tmp_path)
+    users = f"user_id string, event_timestamp timestamp, {', '.join(f'{n} {t}' for n, t in USER_FEATURES.columns)}, last_event_time timestamp"
+    facts = f"transaction_id string, event_timestamp timestamp, {', '.join(f'{n} {t}' for n, t in TRANSACTION_FEATURES.columns)}"
+
+    def user_row(user, blocked, second):
+        return (user, at(second), 1, 1, 0, 5.0, 0.0, 0.1, 1, False, 0, blocked, at(second))
+
+    def request(order, rows):
+        add_file(spark.createDataFrame([(t, u, at(s)) for t, u, s in rows], "transaction_id string, user_id string, event_time timestamp"),
+                 f"{path}/requests", order)
+
+    store.write_online(spark.createDataFrame([user_row("u", False, 0)], users), USER_FEATURES, f"{path}/users", 0, at(0))
+    store.write_online(spark.createDataFrame([], facts), TRANSACTION_FEATURES, f"{path}/tx", 0, at(0))
+    request(0, [("t1", "u", 10), ("t2", "nobody", 11), ("t3", None, 12)])
+    published = []
+    query = scorer.start_scorer(
+        file_stream(spark, f"{path}/requests", "transaction_id string, user_id string, event_time timestamp"),
+        scorer.stored_features(f"{path}/users", f"{path}/tx"), f"{path}/decisions", f"{path}/cp",
+        publish=lambda messages, batch_id: published.append((batch_id, sorted((r.topic, bytes(r.key).decode()) for r in messages.collect()))))
+    try:
+        query.processAllAvailable()
+        store.write_online(spark.createDataFrame([user_row("u", True, 20)], users), USER_FEATURES, f"{path}/users", 1, at(20))
+        request(1, [("t4", "u", 30)])
+        query.processAllAvailable()
+        request(2, [("t5", "u", 90_000)])  # a day later the value has expired
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    got = {r.transaction_id: (r.decision, r.score) for r in spark.read.parquet(f"{path}/decisions").collect()}
+    assert got == {"t1": ("CLEARED", 0.0), "t2": ("CLEARED", 0.0), "t3": ("CLEARED", 0.0), "t4": ("BLOCKED", 1.0), "t5": ("CLEARED", 0.0)}
+    assert published[1] == (1, [("fraud-alerts", "t4")]) and [n for n, _ in published] == [0, 1, 2]
 
 
 def one(second, i, user="u"):
