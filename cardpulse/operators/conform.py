@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from cardpulse.schema import DEFAULT_CURRENCY, REQUIRED_FIELDS, STATUSES, WATERMARK
@@ -20,6 +20,35 @@ def with_reject_reason(df: DataFrame) -> DataFrame:
     return df.withColumn("reject_reason", F.coalesce(*checks))
 
 
+def violation_rules() -> dict[str, Column]:
+    """Every rule of a transaction by its name; true where a row violates it."""
+    rules = {f"missing {name}": F.col(name).isNull() for name in REQUIRED_FIELDS}
+    return rules | {"unknown status": F.coalesce(~F.col("status").isin(*STATUSES), F.lit(False))}
+
+
+def with_violations(df: DataFrame) -> DataFrame:
+    """A4: add ``violations``, the names of all rules that a row violates, in their order; empty for a good row."""
+    named = [F.when(broken, name) for name, broken in violation_rules().items()]
+    return df.withColumn("violations", F.array_compact(F.array(*named)))
+
+
+def count_violations(df: DataFrame, name: str = "violations") -> tuple[DataFrame, Observation]:
+    """K8 in the pass that writes the rows: ``df`` with an observation of ``rows`` and of how many violate each rule. The
+    numbers are there once an action on ``df`` has ended. A stream takes ``name`` instead, see :func:`observed_stream`.
+    """
+    seen = Observation(name)
+    return df.observe(seen, *_totals()), seen
+
+
+def observed_stream(df: DataFrame, name: str = "violations") -> DataFrame:
+    """The same on a stream: every micro-batch's progress holds its numbers under ``observedMetrics[name]``."""
+    return df.observe(name, *_totals())
+
+
+def _totals() -> list[Column]:
+    return [F.count(F.lit(1)).alias("rows"), *[F.count_if(broken).alias(rule) for rule, broken in violation_rules().items()]]
+
+
 def conform_transactions(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """A4: (good, rejected). Good rows get the default currency and metadata; rejected rows keep what they had.
 

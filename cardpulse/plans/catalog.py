@@ -470,6 +470,51 @@ def stream_scoring(spark, sf_dir):
     return spark.read.parquet(f"{path}/decisions").select("transaction_id", "user_id", "hard_block", "score", "decision")
 
 
+def stream_dedup_history(spark, sf_dir):
+    """Half of the transactions, then all, then all again: each once, with the number of the delivery that counts."""
+    path = streams.shared_folder(spark, "stream-history")
+    tx = transactions(spark, sf_dir).select("transaction_id", "user_id", "k", "event_time")
+    for delivered in _deliveries(tx, [F.col("k") % 2 == 0, F.lit(True), F.lit(True)], f"{path}/delivered"):
+        streams.start_history_dedup(
+            delivered, f"{path}/rows", f"{path}/checkpoint", trigger={"availableNow": True}).awaitTermination()
+    rows = spark.read.parquet(f"{path}/rows")
+    return rows.select("transaction_id", "user_id", F.col("batch_id").cast("bigint").alias("batch_id"))
+
+
+def stream_late_rows(spark, sf_dir):
+    """All transactions in four deliveries of all times: which are on time, and how late the others are."""
+    path = streams.shared_folder(spark, "stream-late")
+    tx = transactions(spark, sf_dir).select("transaction_id", "k", "event_time")
+    for delivered in _deliveries(tx, [F.col("k") % 4 == i for i in range(4)], f"{path}/delivered"):
+        streams.start_late_split(
+            delivered, f"{path}/good", f"{path}/late", f"{path}/seen", f"{path}/checkpoint", trigger={"availableNow": True},
+        ).awaitTermination()
+    good = spark.read.parquet(f"{path}/good").withColumn("lateness_us", F.lit(None).cast("bigint"))
+    return good.unionByName(spark.read.parquet(f"{path}/late")).select("transaction_id", "lateness_us")
+
+
+def _much_flawed(spark, sf_dir):
+    """Records of which some violate several rules at once."""
+    return adapter.flawed_records(spark, sf_dir).withColumn(
+        "merchant_country", F.expr("case when k <> 41 then merchant_country end")).withColumn(
+        "amount", F.expr("case when k <> 29 then amount end"))
+
+
+def tx_violations(spark, sf_dir):
+    """All rules that a record violates."""
+    judged = conform.with_violations(_much_flawed(spark, sf_dir)).where("size(violations) > 0")
+    return judged.select("event_id", F.array_join("violations", ",").alias("violations"))
+
+
+def violation_counts(spark, sf_dir):
+    """How many records violate each rule, counted in the pass that writes them."""
+    path = streams.shared_folder(spark, "violations")
+    judged, seen = conform.count_violations(conform.with_violations(_much_flawed(spark, sf_dir)).select(
+        *conform.REQUIRED_FIELDS, "violations"))
+    judged.write.parquet(path)
+    return spark.createDataFrame(list(seen.get.items()), "rule string, violations bigint")
+
+
 def created_at(spark, sf_dir):
     return in_micros(quality.with_created_at(_tx_features(spark, sf_dir), AS_OF))
 
@@ -494,5 +539,6 @@ QUERIES = {
         tx_decoded_timestamps, stream_rejects, online_user_row, training_from_store, online_compacted, model_scores,
         stream_tumbling, stream_country_risk, stream_dedup, created_at, key_values, stream_velocity_panes,
         stream_scoring, stream_amount_panes, stream_device_panes, stream_known_devices,
+        stream_dedup_history, stream_late_rows, tx_violations, violation_counts,
     )
 }

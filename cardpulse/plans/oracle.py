@@ -382,3 +382,21 @@ looked_up as (
   from tx left join live_users on tx.user_id = live_users.user_id and (event_us > {_AT_ONE})::int = live_users.delivery
        left join live_tx on tx.transaction_id = live_tx.transaction_id and (event_us > {_AT_ONE})::int = live_tx.delivery)""",
     _DECIDED)
+ORACLE["stream_dedup_history"] = _query("select transaction_id, user_id, (k % 2)::bigint as batch_id from tx")
+ORACLE["stream_late_rows"] = _query(
+    f"""select transaction_id, case when event_us < bound then bound - event_us end as lateness_us
+        from tx left join (
+          select delivery, (select max(event_us) from tx where k % 4 < delivery) - {10 * MINUTE}::bigint as bound
+          from range(4) r(delivery)) on k % 4 = delivery""")
+_BROKEN = {
+    "missing transaction_id": "false", "missing user_id": "k = 57", "missing amount": "k in (41, 29)",
+    "missing merchant_id": "k = 13", "missing merchant_country": "k = 41", "missing user_country": "false",
+    "missing status": "false", "missing event_time": "false", "unknown status": "k = 29",
+}
+ORACLE["tx_violations"] = _query(
+    "select event_id, violations from (select event_id, concat_ws(',', "
+    + ", ".join(f"case when {broken} then '{rule}' end" for rule, broken in _BROKEN.items())
+    + ") as violations from tx) where violations <> ''")
+ORACLE["violation_counts"] = _query(
+    "select 'rows' as rule, count(*) as violations from tx"
+    + "".join(f" union all select '{rule}', count(*) filter ({broken}) from tx" for rule, broken in _BROKEN.items()))

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
+from cardpulse.functions.times import micros
 from cardpulse.operators import features
 from cardpulse.operators.conform import (
     conform_transactions,
@@ -103,6 +104,66 @@ def ingest_once(frames: DataFrame, schemas: dict, fmt: str = "json", delay: str
     return dedupe_transactions(ingest(frames, schemas, fmt, delay))
 
 
+def start_history_dedup(tx: DataFrame, path: str, checkpoint: str, trigger: dict | None = None):
+    """I10 beyond the watermark: each ``transaction_id`` once, however late it is delivered again.
+
+    New rows go to ``path/batch_id=N/event_date=D``. A batch leaves out ids that earlier batches hold on the same date (a
+    row that is delivered again has its event time again), and reads only ids of its own dates: two bounds, the least and
+    the greatest, prune the history. A batch that is repeated does not see its own rows or later ones and replaces itself.
+    """
+    root = path.rstrip("/")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        fresh = batch.dropDuplicates(["transaction_id"]).withColumn("event_date", F.to_date("event_time")).persist()
+        try:
+            low, high = fresh.agg(F.min("event_date"), F.max("event_date")).first()
+            if batch_id and low is not None:
+                known = spark.read.schema("transaction_id string, event_date date, batch_id bigint").parquet(root).where(
+                    (F.col("batch_id") < batch_id) & F.col("event_date").between(F.lit(low), F.lit(high)))
+                fresh_rows = fresh.join(known, ["transaction_id", "event_date"], "left_anti")
+            else:
+                fresh_rows = fresh
+            fresh_rows.write.mode("overwrite").partitionBy("event_date").parquet(f"{root}/batch_id={batch_id}")
+        finally:
+            fresh.unpersist()
+
+    return _writer(tx, "append", checkpoint, trigger).foreachBatch(write).start()
+
+
+def start_late_split(
+    tx: DataFrame, on_time_path: str, late_path: str, seen_path: str, checkpoint: str, delay: str = WATERMARK,
+    trigger: dict | None = None,
+):
+    """I1 with a trace: rows later than the watermark go to a table of their own with ``lateness_us``, all others to the
+    first; together they are all rows.
+
+    The watermark of a batch is the greatest event time of the batches before it, less ``delay``. It travels as one row a
+    batch in ``seen_path``, each holding the greatest time so far, so a batch reads the one before it, and a batch that is
+    repeated finds the same watermark and replaces its rows.
+    """
+    good, late, seen = (p.rstrip("/") for p in (on_time_path, late_path, seen_path))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch.persist()
+        try:
+            before = None
+            if batch_id:
+                before = spark.read.schema("greatest bigint").parquet(f"{seen}/batch_id={batch_id - 1}").first()[0]
+            bound = F.lit(before).cast("bigint") - micros(delay)
+            at = F.unix_micros("event_time")
+            is_late = F.coalesce(at < bound, F.lit(False))
+            batch.where(~is_late).write.mode("overwrite").parquet(f"{good}/batch_id={batch_id}")
+            batch.where(is_late).withColumn("lateness_us", bound - at).write.mode("overwrite").parquet(f"{late}/batch_id={batch_id}")
+            batch.agg(F.greatest(F.max(at), F.lit(before).cast("bigint")).alias("greatest")).write.mode("overwrite").parquet(
+                f"{seen}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
+
+    return _writer(tx, "append", checkpoint, trigger).foreachBatch(write).start()
+
+
 def _writer(df: DataFrame, mode: str, checkpoint: str, trigger: dict | None) -> DataStreamWriter:
     writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     return writer.trigger(**trigger) if trigger else writer

@@ -186,6 +186,36 @@ def test_files_read_do_not_grow_with_the_number_of_batches(spark, tmp_path):
     assert 1 <= max(read) <= 3
 
 
+def test_history_keeps_the_first_delivery_and_replays_alike(spark, tmp_path):
+    path, folder = str(tmp_path / "rows"), str(tmp_path / "tx")
+    add_file(tx_rows(spark, [one(0, 1), one(0, 1), one(100_000, 2)]), folder, 0)
+    add_file(tx_rows(spark, [one(200_000, 3), one(0, 1)]), folder, 1)  # a day later, the first one again
+    add_file(tx_rows(spark, []), folder, 2)
+    add_file(tx_rows(spark, [one(100_000, 2), one(5, 4)]), folder, 3)
+    for checkpoint in ("cp", "again"):  # a second run from the start repeats all batches
+        streams.start_history_dedup(
+            file_stream(spark, folder, TX_DDL), path, str(tmp_path / checkpoint), ONCE).awaitTermination()
+        rows = spark.read.parquet(path).select("transaction_id", "batch_id").collect()
+        assert sorted((r.transaction_id, int(r.batch_id)) for r in rows) == [("t1", 0), ("t2", 0), ("t3", 1), ("t4", 3)]
+
+
+def test_violations_are_counted_as_a_stream_passes(spark, tmp_path):
+    folder = str(tmp_path / "tx")
+    good = ("a", "u", 1.0, "m", "FR", "FR", "APPROVED", 5)
+    for i, rows in enumerate(([good, (None, None, 1.0, "m", "FR", "FR", "ODD", 5)], [("b", "u", None, "m", "FR", "FR", None, 5)])):
+        add_file(spark.createDataFrame(rows, "transaction_id string, user_id string, amount double, merchant_id string, "
+                                             "merchant_country string, user_country string, status string, event_time bigint"), folder, i)
+    tx = file_stream(spark, folder, spark.read.parquet(folder).schema)
+    query = conform.observed_stream(conform.with_violations(tx)).writeStream.format("parquet").option(
+        "checkpointLocation", str(tmp_path / "cp")).trigger(**ONCE).start(str(tmp_path / "rows"))
+    query.awaitTermination()
+    seen = [p["observedMetrics"]["violations"] for p in query.recentProgress if p["numInputRows"]]
+    totals = {rule: sum(s[rule] for s in seen) for rule in ("rows", "missing user_id", "missing amount", "unknown status", "missing status")}
+    assert totals == {"rows": 3, "missing user_id": 1, "missing amount": 1, "unknown status": 1, "missing status": 1}
+    found = sorted(tuple(r.violations) for r in spark.read.parquet(str(tmp_path / "rows")).collect())
+    assert found == [(), ("missing amount", "missing status"), ("missing transaction_id", "missing user_id", "unknown status")]
+
+
 def test_a_running_scorer_sees_features_written_after_its_start(spark, tmp_path):
     path = str(tmp_path)
     users = f"user_id string, event_timestamp timestamp, {', '.join(f'{n} {t}' for n, t in USER_FEATURES.columns)}, last_event_time timestamp"
