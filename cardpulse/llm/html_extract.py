@@ -51,7 +51,9 @@ MARKED_OUTSIDE = frozenset(
     "user-comments disqus replies respond share sharing social related recommended newsletter subscribe subscription "
     "signup login search pagination pager toolbar complementary contentinfo".split())
 _TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^'\">]|\"[^\"]*\"|'[^']*')*+)>|</?[a-zA-Z][^>]*>", re.S)
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^'\">]|\"[^\"]*\"|'[^']*')*+)>|</?[a-zA-Z][^>]*>", re.S)
+# What a form that wraps a page's text holds, and the ends of forms.
+_FORM = re.compile(r"<(?:(article|main|h1)\b|/form\b)", re.I)
 _MARK = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 
 
@@ -107,7 +109,8 @@ class OpenElements:
 
 def page_blocks(html: str) -> list[tuple[str, bool]]:
     """(text, inside) of the blocks of a page in order, without those of elements outside an article. ``inside`` tells
-    whether an article or main element holds the block. Unclosed elements end where HTML ends them: at the start of a
+    whether an article or main element holds the block. An article whose marks say that it is a comment or the like is
+    outside; a form that holds an article, a main element or a first heading wraps the page and is not. Unclosed elements end where HTML ends them: at the start of a
     sibling or block, or with the element around them; cut-off pages are taken as they come.
     """
     blocks: list[tuple[str, bool]] = []
@@ -115,6 +118,12 @@ def page_blocks(html: str) -> list[tuple[str, bool]]:
     opened = OpenElements()
     skipped, at, length = -1, 0, len(html)  # the depth of the element that is skipped
     inside = False
+    forms = [(m.start(), bool(m[1])) for m in _FORM.finditer(html)] if "<form" in html.lower() else []
+
+    def wraps_text(start: int) -> bool:
+        """Whether the form that begins before ``start`` holds a page's text."""
+        following = bisect_left(forms, (start, False))
+        return following < len(forms) and forms[following][1]
 
     def end_block():
         if held:
@@ -155,7 +164,9 @@ def page_blocks(html: str) -> list[tuple[str, bool]]:
             continue
         closed = found[3].endswith("/")
         if skipped < 0:
-            if name == "header" and opened.last("article", "main") >= 0 or name in ("body", "html", "article", "main"):
+            if name == "header" and opened.last("article", "main") >= 0 or name in ("body", "html", "main"):
+                outside = False
+            elif name == "form" and wraps_text(at):
                 outside = False
             else:
                 outside = name in OUTSIDE or bool(found[3]) and _is_marked(found[3])

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cardpulse.llm.shared import written
+
 
 @dataclass(frozen=True)
 class HashPlan:
@@ -216,8 +218,9 @@ def nearest_neighbours(
     Queries are the rows where ``is_query`` holds; candidates all other rows that share a visited bucket with it.
     Every usable vector is in every table, with a null id left out; vectors that are null, zero or not finite take no
     part, and vectors of different lengths don't meet. Rows that repeat an id and a vector count once in a result; of
-    rows with one id and different vectors the better score counts. Equal scores go to the smaller id. Queries that
-    find nothing have no rows; other columns are ignored.
+    rows with one id and different vectors the better score counts. Equal scores go to the smaller id. A query whose
+    buckets hold fewer than ``k`` candidates goes on through all blocks of vectors, exactly, so that it has ``k`` rows or
+    all candidates there are; other columns are ignored.
 
     A bucket of more than ``block`` vectors is dealt out over several tasks, and its queries visit all of them; no
     bucket is capped. A task holds one block and some hundred queries, and gives at most ``k`` rows a query and block.
@@ -231,17 +234,34 @@ def nearest_neighbours(
     probes = asked.mapInArrow(_hashed(plan, True), ddl)
     sizes = base.mapInArrow(_hashed(plan, False), ddl).groupBy("bucket").agg(
         F.ceil(F.count(F.lit(1)) / block).cast("int").alias("_parts"))
+    found = written(_best(_meet(index, probes, sizes, k), k), "neighbours-found")
+    full = found.groupBy("query_id").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= k)
+    short = asked.join(full, F.col("vec_id") == F.col("query_id"), "left_anti").select("vec_id", "v")
+    once = _hashed(replace(plan, tables=1), False)
+    if not short.isEmpty():
+        by_length = F.octet_length("vector").cast("bigint")
+        everything = base.mapInArrow(once, ddl).withColumn("bucket", by_length)
+        parts = everything.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("_parts"))
+        rest = short.mapInArrow(once, ddl).withColumn("bucket", by_length)
+        more = _meet(everything, rest, parts, k).select("query_id", "vec_id", "score")
+        found = _best(found.select("query_id", "vec_id", "score").unionByName(more), k)
+    return found.select("query_id", "rank", "vec_id", "score")
+
+
+def _meet(index: DataFrame, probes: DataFrame, sizes: DataFrame, k: int) -> DataFrame:
+    """(query_id, vec_id, score): at most ``k`` of every block of a bucket for each query that visits the bucket."""
     placed = index.join(sizes, "bucket").select(
         "bucket", F.pmod(F.xxhash64("vec_id"), F.col("_parts")).cast("int").alias("salt"), F.lit(0).alias("side"),
         "vec_id", "vector")
     visits = probes.join(sizes, "bucket").select(
         "bucket", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)).alias("salt"), F.lit(1).alias("side"),
         "vec_id", "vector")
-    found = (
-        placed.unionByName(visits).repartition("bucket", "salt").sortWithinPartitions("bucket", "salt", "side")
-        .mapInArrow(_searched(k), "query_id bigint, vec_id bigint, score double")
-    )
+    return placed.unionByName(visits).repartition("bucket", "salt").sortWithinPartitions("bucket", "salt", "side").mapInArrow(
+        _searched(k), "query_id bigint, vec_id bigint, score double")
+
+
+def _best(found: DataFrame, k: int) -> DataFrame:
+    """The first ``k`` candidates of each query, with their rank."""
     best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     by = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return best.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k).select(
-        "query_id", "rank", "vec_id", "score")
+    return best.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k)

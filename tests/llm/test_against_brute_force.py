@@ -146,6 +146,24 @@ def test_neighbours_recall(spark):
     assert hits / total >= 0.95
 
 
+def test_short_lists_go_on_through_all_vectors(spark):
+    """Opposite and far vectors share no bucket; lists are complete all the same, and exact where they go on."""
+    rng = np.random.default_rng(2)
+    base = rng.normal(size=(7, 16))
+    vectors = [(50 * i, v.tolist()) for i, v in enumerate(base)] + [(50 * i + 1, (-v).tolist()) for i, v in enumerate(base[:3])]
+    df = spark.createDataFrame(vectors, "vec_id bigint, embedding array<double>")
+    plan = neighbours.HashPlan(tables=1, hashes=12, width=0.4, probes=1)
+    found = neighbours.nearest_neighbours(df, F.col("vec_id") % 50 == 0, 9, plan, block=4).collect()
+    by_query = {}
+    for r in sorted(found, key=lambda r: (r.query_id, r.rank)):
+        by_query.setdefault(r.query_id, []).append(r.vec_id)
+    ids, matrix = np.array([v[0] for v in vectors]), np.array([v[1] for v in vectors])
+    unit = matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
+    for q in range(0, 350, 50):
+        order = np.argsort(-(unit @ unit[ids == q][0]), kind="stable")
+        assert by_query[q] == [i for i in ids[order].tolist() if i != q]
+
+
 def test_probe_order():
     import itertools
 
@@ -339,6 +357,19 @@ def test_page_structure():
         "Head&line\n\nOne two three\n\nFour <b> é\n\nitem")
 
 
+@pytest.mark.parametrize("html, want", [
+    ("<p>a</p><!--><p>b</p><!---><p>c</p><!-- x --!><p>d</p><!-- -- > <p>no</p> --><p>e</p>", "a b c d e"),
+    ("<article><p>text</p><article class='comment'><p>reader</p></article><p>more</p></article>", "text more"),
+    ("<article class='comment'><p>reader</p></article><article class=post><p>text</p></article>", "text"),
+    ("<body><form action=/><div><h1>Title</h1><p>text</p><form><input><p>find</p></form></div></form>", "Title text"),
+    ("<body><FORM id=x><article><p>text</p></article></FORM><form><p>Name</p><input></form><p>end</p>", "text end"),
+    ("<form><h2>Subscribe</h2><p>now</p></form><article><p>text</p></article>", "text"),
+    ("<form><p>open for ever", ""),
+])
+def test_comments_articles_and_forms(html, want):
+    assert " ".join(text for text, _ in html_extract.page_blocks(html)) == want
+
+
 def test_unclosed_elements_outside_an_article_end():
     def texts(html):
         return [text for text, _ in html_extract.page_blocks(html)]

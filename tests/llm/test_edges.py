@@ -108,7 +108,8 @@ def test_pages(spark):
 def test_vectors(spark):
     df = spark.createDataFrame([(*v, 1, "x") for v in VECTORS], "vec_id bigint, embedding array<double>, rank int, score string")
     rows = neighbours.nearest_neighbours(df, F.col("vec_id") % 50 == 0).orderBy("query_id", "rank").collect()
-    assert [(r.query_id, r.vec_id, r.score) for r in rows if r.query_id == 50][:2] == [(50, 1, 1.0), (50, 2, 1.0)]
+    assert [(r.query_id, r.vec_id, r.score) for r in rows if r.query_id == 50] == [(50, 1, 1.0), (50, 2, 1.0), (50, 100, 0.0)]
+    assert [(r.vec_id, r.score) for r in rows if r.query_id == 100] == [(1, 0.0), (2, 0.0), (50, 0.0)]
     assert len({(r.query_id, r.vec_id) for r in rows}) == len(rows)
     assert {r.vec_id for r in rows} <= {1, 2, 50, 100}
     assert neighbours.nearest_neighbours(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
