@@ -3,6 +3,7 @@
 Online table: ``<path>/batch_id=N/``, one row per entity and batch, written whole or replaced whole, so a replayed
 batch changes nothing. The current value of an entity is the greatest row over all batches; compaction folds them.
 Offline table: ``<path>/batch_id=N/event_date=D/``, every version of every feature row.
+With a list of commits, a batch counts in both tables from the moment it is listed, and in none before.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import types as T
 
 from cardpulse.functions.scalars import feature_json, feature_key, time_text, ttl_of
 from cardpulse.functions.times import micros
+from cardpulse.operators.commits import commit_batch, committed_batches, unbroken
 from cardpulse.operators.quality import latest_by_key
 from cardpulse.operators.skew import lookup_join
 from cardpulse.schema import ONLINE_VIEWS, USER_FEATURES, FeatureView
@@ -60,8 +62,10 @@ def write_online(
     writer.parquet(f"{path.rstrip('/')}/batch_id={int(batch_id)}")
 
 
-def _read_batches(spark: SparkSession, paths) -> DataFrame:
-    """Rows of one or several tables; ``batch_id`` orders the batches of a table, ``_table`` the tables."""
+def _read_batches(spark: SparkSession, paths, commits: str | None = None, after: int | None = None) -> DataFrame:
+    """Rows of one or several tables; ``batch_id`` orders the batches of a table, ``_table`` the tables. ``commits``
+    lists the batches of the last table that count; others are not opened.
+    """
     paths = [paths] if isinstance(paths, str) else list(paths)
     tables = [
         spark.read.parquet(p)
@@ -69,23 +73,36 @@ def _read_batches(spark: SparkSession, paths) -> DataFrame:
         .withColumn("_table", F.lit(i))
         for i, p in enumerate(paths)
     ]
+    if commits is not None:
+        tables[-1] = tables[-1].where(F.col("batch_id").isin(committed_batches(spark, commits, after)))
     out = tables[0]
     for table in tables[1:]:
         out = out.unionByName(table)
     return out
 
 
-def read_online(spark: SparkSession, view: FeatureView, paths, as_of=None, folded_up_to: int | None = None) -> DataFrame:
+def read_online(
+    spark: SparkSession, view: FeatureView, paths, as_of=None, folded_up_to: int | None = None,
+    commits: str | None = None,
+) -> DataFrame:
     """The live value of every entity at ``as_of`` (now unless given).
 
     ``paths`` may list a compacted table followed by the one of the running query. ``folded_up_to`` is the last batch
     of the running table that the compacted one holds (see :func:`last_batch`): older ones are neither read nor counted.
+    With ``commits``, only batches listed there count (see :func:`push_features`).
     """
+    return _live_rows(spark, view, paths, as_of, folded_up_to, commits)
+
+
+def _live_rows(spark, view, paths, as_of, folded_up_to, commits, upto: int | None = None) -> DataFrame:
+    """``upto`` is the last batch of the running table to count."""
     at = F.current_timestamp() if as_of is None else _moment(as_of)
-    rows = _read_batches(spark, paths)
+    rows = _read_batches(spark, paths, commits, folded_up_to)
+    last = 0 if isinstance(paths, str) else len(list(paths)) - 1
     if folded_up_to is not None:
-        last = 0 if isinstance(paths, str) else len(list(paths)) - 1
         rows = rows.where((F.col("_table") < last) | (F.col("batch_id") > folded_up_to))
+    if upto is not None:
+        rows = rows.where((F.col("_table") < last) | (F.col("batch_id") <= upto))
     current = latest_by_key(rows, view.entity, (*view.recency, "_table", "batch_id"))
     return current.where(at < F.col("expires_at")).drop("_table")
 
@@ -97,19 +114,24 @@ def last_batch(spark: SparkSession, path: str) -> int:
 
 
 def compact_online(
-    spark: SparkSession, view: FeatureView, paths, target: str, as_of=None, folded_up_to: int | None = None
+    spark: SparkSession, view: FeatureView, paths, target: str, as_of=None, folded_up_to: int | None = None,
+    commits: str | None = None,
 ) -> int:
     """Fold all batches into one at a *new* path, dropping expired entities; rows end up clustered by entity, so
     that lookups read few row groups. Returns the last batch of the running table (the last of ``paths``) that is in
     it: give it to :func:`read_online` and to the next compaction as ``folded_up_to``, and to
-    :func:`expired_batches` to learn what can be removed.
+    :func:`expired_batches` to learn what can be removed. With ``commits``, batches are folded up to the first one that is
+    not listed: it may still be pushed again.
     """
     listed = [paths] if isinstance(paths, str) else list(paths)
     if target in listed:
         raise ValueError("compaction needs a new target path")
-    upto = last_batch(spark, listed[-1])
-    live = read_online(spark, view, listed, as_of, folded_up_to)
-    live = live.where(F.col("batch_id") <= upto).drop("batch_id") if len(listed) == 1 else live.drop("batch_id")
+    if commits is None:
+        upto = last_batch(spark, listed[-1])
+    else:
+        done = -1 if folded_up_to is None else folded_up_to
+        upto = unbroken(committed_batches(spark, commits, folded_up_to), done)
+    live = _live_rows(spark, view, listed, as_of, folded_up_to, commits, upto).drop("batch_id")
     writer = live.repartitionByRange(*view.entity).sortWithinPartitions(*view.entity).write.mode("errorifexists")
     for name in view.entity:
         writer = writer.option(f"parquet.bloom.filter.enabled#{name}", "true")
@@ -133,26 +155,45 @@ def expired_batches(
         "reason")
 
 
+def write_offline(df: DataFrame, path: str, batch_id: int) -> str:
+    """One batch of the offline history, written whole or replaced whole; returns its folder."""
+    folder = f"{path.rstrip('/')}/batch_id={int(batch_id)}"
+    dated = df.withColumn("event_date", F.to_date("event_timestamp"))
+    dated.write.mode("overwrite").partitionBy("event_date").parquet(folder)
+    return folder
+
+
 def push_features(
     df: DataFrame, view: FeatureView, online_path: str, offline_path: str, batch_id: int, written_at=None,
-    slide: str | None = None, files: int | None = None,
+    slide: str | None = None, files: int | None = None, commits: str | None = None,
 ) -> None:
     """A10: keep feature rows in the offline history and their newest values online.
 
     ``df`` carries ``event_timestamp``, the time the values became known (a window's end, a transaction's own time),
-    never the time of the push. The rows are read twice; persist them first if they are costly.
-    """
-    dated = df.withColumn("event_date", F.to_date("event_timestamp"))
-    dated.write.mode("overwrite").partitionBy("event_date").parquet(
-        f"{offline_path.rstrip('/')}/batch_id={int(batch_id)}")
-    write_online(df, view, online_path, batch_id, written_at, slide, files)
+    never the time of the push. It is computed once: the online values are taken from the history just written.
 
-
-def read_offline(spark: SparkSession, view: FeatureView, paths, start=None, end=None) -> DataFrame:
+    With ``commits`` both writes are one: the batch is listed there last, and readers given the same list take listed
+    batches only. After a crash between the writes neither table shows the batch, and pushing it again shows it once in
+    both; a batch already listed is left untouched.
+    """
+    spark = df.sparkSession
+    if commits is not None and batch_id in committed_batches(spark, commits, batch_id - 1):
+        return
+    folder = write_offline(df, offline_path, batch_id)
+    kept = spark.read.schema(df.schema).parquet(folder).select(*df.columns)
+    write_online(kept, view, online_path, batch_id, written_at, slide, files)
+    if commits is not None:
+        commit_batch(spark, commits, batch_id)
+
+
+def read_offline(
+    spark: SparkSession, view: FeatureView, paths, start=None, end=None, commits: str | None = None,
+) -> DataFrame:
     """The history with one row per (entity, event_timestamp): the version of the latest batch. ``start`` and ``end``
-    (both inclusive) keep the read to the dates, and then the rows, of a range.
+    (both inclusive) keep the read to the dates, and then the rows, of a range. With ``commits``, only batches listed
+    there count.
     """
-    rows = _read_batches(spark, paths)
+    rows = _read_batches(spark, paths, commits)
     if start is not None:
         rows = rows.where((F.col("event_date") >= F.to_date(_moment(start))) & (F.col("event_timestamp") >= _moment(start)))
     if end is not None:

@@ -135,6 +135,33 @@ def timestamp_schema():
         for f in writer_schemas()[CURRENT_SCHEMA_ID].fields])
 
 
+WRITERS = 200
+
+
+def many_writers() -> dict:
+    """Writer schemas 1000 to 1199: every second one lacks the currency, every third the metadata, and every fifth has a
+    logical timestamp.
+    """
+    from pyspark.sql.types import StructType
+
+    return {
+        1000 + w: StructType([
+            f for f in (timestamp_schema() if w % 5 == 0 else writer_schemas()[CURRENT_SCHEMA_ID]).fields
+            if not (f.name == "currency" and w % 2) and not (f.name == "metadata" and w % 3 == 0)])
+        for w in range(WRITERS)
+    }
+
+
+def frames_of_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Framed messages whose bodies hold every field, whatever their writer's schema lists."""
+    rows = transactions(spark, sf_dir).withColumn("_writer", F.expr(f"event_id % {WRITERS}"))
+    names = [f.name for f in writer_schemas()[CURRENT_SCHEMA_ID].fields]
+    millis = F.struct(*[F.expr("event_us div 1000").alias(n) if n == "event_time" else F.col(n) for n in names])
+    body = F.when(F.col("_writer") % 5 == 0, F.to_json(F.struct(*names))).otherwise(F.to_json(millis))
+    head = F.concat(F.lit(b"\x00"), F.unhex(F.lpad(F.hex(F.col("_writer") + 1000), 8, "0")))
+    return rows.select("event_id", F.concat(head, body.cast("binary")).alias("value"))
+
+
 def profile_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every customer; the country of those in debt is not known."""
     return table(spark, sf_dir, "customer").selectExpr(

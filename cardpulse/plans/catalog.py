@@ -2,17 +2,25 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardpulse.operators import conform, features, quality, scoring, store
+from cardpulse.operators import bucketed, conform, features, quality, risk_model, scoring, store
 from cardpulse.plans import adapter, scored, tables
 from cardpulse.plans.adapter import transactions
-from cardpulse.schema import ONLINE_VIEWS, TRANSACTION_FEATURES, USER_FEATURES
+from cardpulse.schema import ONLINE_VIEWS, SCORING_USER_FEATURES, TRANSACTION_FEATURES, USER_FEATURES
 from cardpulse.sources.tables import labels_between, user_profiles
-from cardpulse.sources.transactions import decode_transactions, publish_transactions, split_wire_frame
+from cardpulse.sources.transactions import (
+    decode_registered,
+    decode_transactions,
+    publish_transactions,
+    schema_registry,
+    split_wire_frame,
+)
 from cardpulse.streaming import panes, scorer
 from cardpulse.streaming import queries as streams
 
@@ -526,6 +534,71 @@ def key_values(spark, sf_dir):
     return store.from_json_value(rows, view).drop("value").withColumn("ttl_seconds", F.col("ttl_seconds").cast("bigint"))
 
 
+def tx_decoded_registry(spark, sf_dir):
+    """Messages of 200 writers, decoded with one parse."""
+    registry = schema_registry(spark, adapter.many_writers())
+    decoded = decode_registered(split_wire_frame(adapter.frames_of_many(spark, sf_dir)), registry)
+    return decoded.select(
+        "event_id", "decode_error", F.col("_schema_id").cast("bigint").alias("schema_id"), "transaction_id",
+        "user_id", "amount", "currency", "device_id", "status", "event_time",
+        F.col("metadata")["k"].alias("metadata_k"))
+
+
+def store_commits(spark, sf_dir):
+    """Three batches of which the second one fails between its two writes: what the online table and the history show
+    then, and after it is pushed again.
+    """
+    path = streams.shared_folder(spark, "commits")
+    on, off, commits = f"{path}/on", f"{path}/off", f"{path}/commits"
+    risks = _tx_features(spark, sf_dir)
+    third = F.pmod(F.unix_micros("event_timestamp"), F.lit(3))
+
+    def push(batch):
+        store.push_features(risks.where(third == batch), TRANSACTION_FEATURES, on, off, batch, AS_OF, commits=commits)
+
+    def shown(state):
+        live = store.read_online(spark, TRANSACTION_FEATURES, on, AS_OF, commits=commits)
+        kept = store.read_offline(spark, TRANSACTION_FEATURES, off, commits=commits)
+        return [
+            rows.select("transaction_id", "country_risk_score", F.lit(side).alias("side"), F.lit(state).alias("state"))
+            for side, rows in (("online", live), ("offline", kept))]
+
+    push(0)
+    store.write_offline(risks.where(third == 1), off, 1)
+    push(2)
+    online, offline = shown("failed")
+    for batch in (0, 1):
+        push(batch)
+    again = shown("pushed again")
+    return online.unionByName(offline).unionByName(again[0]).unionByName(again[1])
+
+
+def online_bucketed(spark, sf_dir):
+    """The newest activity of each transaction's user, from a table of two batches bucketed by user."""
+    view = ONLINE_VIEWS["tx_5min"]
+    tx = transactions(spark, sf_dir)
+    counts = features.tx_counts(tx)
+    name = f"online_{uuid.uuid4().hex}"
+    buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    bucketed.create_bucketed(spark, view, name, counts, streams.shared_folder(spark, "bucketed"), buckets)
+    early = F.col("window_end") <= F.lit("2024-01-01 01:00:00").cast("timestamp")
+    for batch, part in enumerate((early, ~early)):
+        bucketed.write_bucketed(counts.where(part), view, name, batch, F.col("window_end"), "1 minute")
+    live = bucketed.read_bucketed(spark, view, name, "2024-01-01 01:59:00")
+    return store.get_online_features(tx.select("transaction_id", "user_id"), [(view, live, None)])
+
+
+def fitted_scores(spark, sf_dir):
+    """A model fitted on the training set, saved, loaded, and applied to every scoring request."""
+    training = tables.training_dataset(
+        adapter.label_table(spark, sf_dir), _user_features(spark, sf_dir), _tx_features(spark, sf_dir),
+        "2024-01-01 00:30:00", "2024-01-01 01:45:00", SCORING_USER_FEATURES)
+    path = streams.shared_folder(spark, "model")
+    risk_model.fit_risk_model(training).write().overwrite().save(path)
+    return scoring.score(online_lookup(spark, sf_dir), PipelineModel.load(path)).select(
+        "transaction_id", "user_id", "score")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -540,5 +613,6 @@ QUERIES = {
         stream_tumbling, stream_country_risk, stream_dedup, created_at, key_values, stream_velocity_panes,
         stream_scoring, stream_amount_panes, stream_device_panes, stream_known_devices,
         stream_dedup_history, stream_late_rows, tx_violations, violation_counts,
+        tx_decoded_registry, store_commits, online_bucketed, fitted_scores,
     )
 }

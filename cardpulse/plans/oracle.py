@@ -400,3 +400,43 @@ ORACLE["tx_violations"] = _query(
 ORACLE["violation_counts"] = _query(
     "select 'rows' as rule, count(*) as violations from tx"
     + "".join(f" union all select '{rule}', count(*) filter ({broken}) from tx" for rule, broken in _BROKEN.items()))
+
+ORACLE["tx_decoded_registry"] = _query(
+    """select event_id, null::varchar as decode_error, 1000 + w as schema_id, transaction_id, user_id, amount,
+              case when w % 2 = 0 then currency end as currency, device_id, status, event_us // 1000 as event_time,
+              case when w % 3 <> 0 then metadata_k end as metadata_k
+       from (select *, event_id % 200 as w from tx)""")
+ORACLE["store_commits"] = _query(
+    f"""select transaction_id, country_risk_score, side, state
+        from k2, (values ('online'), ('offline')) s(side), (values ('failed'), ('pushed again')) t(state)
+        where state = 'pushed again' or event_timestamp % 3 <> 1""",
+    _F03, _K2)
+ORACLE["online_bucketed"] = _query(
+    f"""select transaction_id, tx.user_id, total_tx, approved_tx, failed_tx
+        from tx left join (select * from f01 {_NOW}) now
+          on tx.user_id = now.user_id and {AS_OF_US - MINUTE} < window_end + {10 * MINUTE}::bigint""",
+    _F01)
+_LIMITS = {
+    "tx_last_5min_total": 2, "tx_last_5min_failed": 0.5, "avg_amount_24h": 256, "velocity_score": 0.125,
+    "device_change_flag::int": 0.5, "failed_attempts_30min": 0.5, "country_risk_score": 0.25,
+}
+_BITS = ", ".join(f"coalesce(coalesce({name}, 0) > {limit}, false)::int as b{i}" for i, (name, limit) in enumerate(_LIMITS.items()))
+ORACLE["fitted_scores"] = _query(
+    f"""select transaction_id, user_id,
+               round(cast(cast(1 / (1 + exp(calm - risky)) as varchar) as decimal(38, 20)), 4)::double as score
+        from (select transaction_id, user_id, max(weight) filter (label = 0) as calm, max(weight) filter (label = 1) as risky
+              from weighed group by all)""",
+    *_ALL_FEATURES, _F03, _K2, _LOOKUP,
+    f"""
+learnt as (
+  select label, count(*) as n, sum(count(*)) over () as total,
+         {", ".join(f"(sum(b{i}) + 1) / (count(*) + 2) as p{i}" for i in range(7))}
+  from (select k % 13 = 0 as label, {_BITS}
+        from (select * from tx where event_us between {EPOCH_US + 30 * MINUTE} and {EPOCH_US + 105 * MINUTE}) l
+        asof left join k1 on l.user_id = k1.user_id and l.event_us >= k1.event_timestamp
+        left join k2 on l.transaction_id = k2.transaction_id)
+  group by label),
+weighed as (
+  select transaction_id, user_id, label::int as label, ln(n + 1) - ln(total + 2)
+         + {" + ".join(f"ln(case b{i} when 1 then p{i} else 1 - p{i} end)" for i in range(7))} as weight
+  from (select transaction_id, user_id, {_BITS} from looked_up), learnt)""")

@@ -106,22 +106,27 @@ def decode_transactions(df: DataFrame, schemas: dict, fmt: str = "json") -> Data
         parsed = parsed.withColumn(name, F.when(mine, _parse(F.col("payload"), schema, fmt)))
         here = F.when(mine & F.col(name).isNotNull(), _record_fields(name, parsed.schema[name].dataType))
         record = here if record is None else F.coalesce(record, here)
+    known = F.col("schema_id").isin([int(i) for i in schemas])
+    return _laid_out(parsed.withColumn("_known", known).withColumn("_record", record), kept)
+
+
+def _laid_out(parsed: DataFrame, kept: list[str]) -> DataFrame:
+    """The fields of ``_record`` and the reason where there are none, from frame and ``_known`` (the schema id's)."""
     # The record leaves through a generator: a filter on its fields, such as the one on a missing id, stays above
     # it instead of being pushed down together with a second copy of the parsing.
-    frame_error = F.col("frame_error") if "frame_error" in df.columns else F.lit(None).cast("string")
+    frame_error = F.col("frame_error") if "frame_error" in parsed.columns else F.lit(None).cast("string")
     fields = [f.name for f in _PAYLOAD_FIELDS]
     # A body without any field of the record counts as unreadable, as does one that is no record.
     anything = F.coalesce(*[F.col(f"_record.{f.name}").cast("string") for f in _PAYLOAD_FIELDS if f.name != "metadata"])
     opened = parsed.select(
-        *kept, "schema_id", frame_error.alias("_frame_error"), record.alias("_record"),
+        *kept, "schema_id", frame_error.alias("_frame_error"), "_known", "_record",
     ).select(
-        *kept, "schema_id", "_frame_error", anything.isNotNull().alias("_read"),
+        *kept, "schema_id", "_frame_error", "_known", anything.isNotNull().alias("_read"),
         F.inline_outer(F.when(F.col("_record").isNotNull(), F.array("_record"))),
     )
-    known = F.col("schema_id").isin([int(i) for i in schemas])
     error = (
         F.when(F.col("_frame_error").isNotNull(), F.col("_frame_error"))
-        .when(~known, "unknown schema id")
+        .when(~F.col("_known"), "unknown schema id")
         .when(F.col("transaction_id").isNull() & F.col("_read"), "missing transaction_id")
         .when(F.col("transaction_id").isNull(), "unreadable body")
     )
@@ -129,6 +134,49 @@ def decode_transactions(df: DataFrame, schemas: dict, fmt: str = "json") -> Data
         *kept, *fields, F.expr("try_cast(schema_id as int)").alias("_schema_id"), error.alias("decode_error"))
 
 
+# Up to this many writer schemas, a row of about 200 bytes each, the registry goes to every task.
+MOST_SENT = 10_000
+
+
+def schema_registry(spark: SparkSession, schemas: dict[int, T.StructType]) -> DataFrame:
+    """The JSON writers as a table (schema_id, fields, moments): the names that a writer knows, and those of them that
+    are logical timestamps.
+    """
+    rows = [
+        (int(i), [f.name for f in writer.fields],
+         [f.name for f in writer.fields if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType))])
+        for i, writer in schemas.items()
+    ]
+    registry = spark.createDataFrame(rows, "schema_id bigint, fields array<string>, moments array<string>")
+    return F.broadcast(registry) if len(rows) <= MOST_SENT else registry
+
+
+def decode_registered(df: DataFrame, registry: DataFrame) -> DataFrame:
+    """A3 for JSON payloads of any number of writers: the result of :func:`decode_transactions`, with one parse in the
+    plan however many schemas the ``registry`` (see :func:`schema_registry`) lists, one row per schema id.
+
+    Bodies are parsed to a variant without a schema; a field counts if its writer lists it, and is read as the type
+    the record has. A value of another JSON type is converted where it can be (``"12"`` to a number) and else null. A
+    body that names a field twice is unreadable.
+    """
+    kept = [c for c in df.columns if c not in ("schema_id", "payload", "frame_error")]
+    parsed = df.withColumn("_body", F.try_parse_json(F.col("payload").cast("string"))).join(
+        registry.select("schema_id", F.col("fields").alias("_fields"), F.col("moments").alias("_moments")),
+        "schema_id", "left")
+
+    def value(field: T.StructField) -> Column:
+        path, kind = f"$.{field.name}", field.dataType.simpleString()
+        plain = F.try_variant_get("_body", path, kind)
+        if isinstance(field.dataType, T.LongType):
+            at = F.unix_millis(F.try_variant_get("_body", path, "timestamp"))
+            plain = F.when(F.array_contains("_moments", field.name), at).otherwise(plain)
+        return F.when(F.array_contains("_fields", field.name), plain).alias(field.name)
+
+    record = F.when(F.col("_body").isNotNull() & F.col("_fields").isNotNull(), F.struct(*map(value, _PAYLOAD_FIELDS)))
+    return _laid_out(
+        parsed.withColumn("_known", F.col("_fields").isNotNull()).withColumn("_record", record), kept)
+
+
 def publish_transactions(df: DataFrame, schema_id: int, fmt: str = "json", avro_schema: str | None = None) -> DataFrame:
     """One message per transaction: ``key`` is the user id, ``value`` the framed record."""
     fields = [f.name for f in _PAYLOAD_FIELDS if f.name in df.columns]

@@ -202,15 +202,12 @@ def start_push(
     trigger: dict | None = None,
     written_at=None,
     files: int | None = None,
+    commits: str | None = None,
 ):
-    """Push a stream of feature rows (with ``event_timestamp``) to online and offline table."""
+    """Push a stream of feature rows (with ``event_timestamp``) to online and offline table, with ``commits`` as one."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            push_features(batch, view, online_path, offline_path, batch_id, written_at, files=files)
-        finally:
-            batch.unpersist()
+        push_features(batch, view, online_path, offline_path, batch_id, written_at, files=files, commits=commits)
 
     return _writer(result, mode, checkpoint, trigger).foreachBatch(write).start()
 

@@ -7,7 +7,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
-from cardpulse.operators import quality, scoring
+from cardpulse.operators import quality, risk_model, scoring
 from cardpulse.plans.scored import alert_messages, decide_requests
 from cardpulse.schema import FEATURE_ORDER
 from conftest import at
@@ -41,6 +41,35 @@ def test_score_with_a_saved_spark_model(spark, tmp_path):
     assert sum(risky) / len(risky) > sum(calm) / len(calm)
 
 
+def test_the_fitted_model_is_naive_bayes(spark, tmp_path):
+    import math
+
+    rows = [(i, int(i % 3 == 0), float(i % 5), i % 2, None if i % 4 else 0.5) for i in range(60)]
+    train = spark.createDataFrame(
+        [*rows, (60, None, 9.0, 1, 0.5)],
+        "id int, label int, tx_last_5min_total double, failed_attempts_30min int, country_risk_score double")
+    risk_model.fit_risk_model(train).save(str(tmp_path / "m"))
+    scored = scoring.score(train, PipelineModel.load(str(tmp_path / "m")))
+    assert scored.columns == [*train.columns, "score"]
+
+    def bits(row):
+        return [row[2] > 2, False, False, False, False, row[3] > 0.5, (row[4] or 0) > 0.25]
+
+    def weight(row, label):
+        mine = [bits(r) for r in rows if r[1] == label]
+        total = math.log(len(mine) + 1) - math.log(len(rows) + 2)
+        for i, bit in enumerate(bits(row)):
+            share = (sum(b[i] for b in mine) + 1) / (len(mine) + 2)
+            total += math.log(share if bit else 1 - share)
+        return total
+
+    for r in scored.collect():
+        want = 1 / (1 + math.exp(weight(tuple(r), 0) - weight(tuple(r), 1)))
+        assert abs(r.score - want) <= 0.00005 + 1e-9
+    with pytest.raises(ValueError):
+        risk_model.fit_risk_model(train.where("label = 0"))
+
+
 def test_no_model_scores_zero(spark):
     assert scoring.score(spark.range(1)).first().score == 0.0
 

@@ -3,7 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from cardpulse.operators import store
+from cardpulse.operators import bucketed, store
+from cardpulse.operators.commits import commit_batch, committed_batches, unbroken
 from cardpulse.plans.scored import scoring_features
 from cardpulse.schema import ONLINE_VIEWS, TRANSACTION_FEATURES, USER_FEATURES
 from conftest import at
@@ -152,3 +153,75 @@ def test_a_point_lookup_reaches_the_scan(spark, tmp_path):
     store.write_online(counts(spark, [("u", 60, 3, 59)]), VIEW, path, 0, at(0))
     plan = store.get_one(store.read_online(spark, VIEW, path, at(0)), VIEW, "u")._jdf.queryExecution().toString()
     assert "EqualTo(user_id,u)" in plan
+
+
+def test_a_crash_between_the_two_writes_shows_neither(spark, tmp_path):
+    on, off, commits = (str(tmp_path / n) for n in ("on", "off", "commits"))
+    assert committed_batches(spark, commits) == []
+
+    def push(batch, tx, risk):
+        store.push_features(tx_features(spark, [(tx, "u", 0, True, risk)]), TRANSACTION_FEATURES, on, off, batch, at(0),
+                            commits=commits)
+
+    def shown():
+        live = store.read_online(spark, TRANSACTION_FEATURES, on, at(1), commits=commits)
+        kept = store.read_offline(spark, TRANSACTION_FEATURES, off, commits=commits)
+        return [{r.transaction_id: r.country_risk_score for r in rows.collect()} for rows in (live, kept)]
+
+    push(0, "t0", 0.4)
+    second = tx_features(spark, [("t1", "u", 0, True, 0.8)])
+    store.write_offline(second, off, 1)
+    assert shown() == [{"t0": 0.4}] * 2
+    store.write_online(second, TRANSACTION_FEATURES, on, 1, at(0))  # still before the batch is listed
+    assert shown() == [{"t0": 0.4}] * 2
+    for _ in range(2):
+        push(1, "t1", 0.8)
+    assert shown() == [{"t0": 0.4, "t1": 0.8}] * 2
+    push(1, "t1", 0.0)  # listed batches are left untouched
+    assert shown() == [{"t0": 0.4, "t1": 0.8}] * 2
+    assert committed_batches(spark, commits) == [0, 1] and committed_batches(spark, commits, 0) == [1]
+
+
+def test_an_empty_batch_is_listed(spark, tmp_path):
+    on, off, commits = (str(tmp_path / n) for n in ("on", "off", "commits"))
+    rows = tx_features(spark, [("t0", "u", 0, True, 0.4)])
+    for batch, part in enumerate((rows, rows.where("false"))):
+        store.push_features(part, TRANSACTION_FEATURES, on, off, batch, at(0), commits=commits)
+    assert committed_batches(spark, commits) == [0, 1]
+    assert store.read_offline(spark, TRANSACTION_FEATURES, off, commits=commits).count() == 1
+
+
+def test_compaction_stops_at_a_batch_that_is_not_listed(spark, tmp_path):
+    path, base, commits = (str(tmp_path / n) for n in ("t", "base", "commits"))
+    for batch in range(4):
+        store.write_online(counts(spark, [(f"u{batch}", 60, batch + 1, 59)]), VIEW, path, batch, at(0))
+        if batch != 2:
+            commit_batch(spark, commits, batch)
+    folded = store.compact_online(spark, VIEW, path, base, at(30), commits=commits)
+    assert folded == 1 and online(spark, base) == {"u0": 1, "u1": 2}
+    commit_batch(spark, commits, 2)
+    live = store.read_online(spark, VIEW, [base, path], at(30), folded, commits)
+    assert {r.user_id: r.total_tx for r in live.collect()} == {f"u{i}": i + 1 for i in range(4)}
+    assert (unbroken([]), unbroken([0, 1, 3]), unbroken([3, 4], 2), unbroken([4], 2)) == (-1, 1, 4, 2)
+
+
+def test_a_bucketed_table_is_not_shuffled(spark, tmp_path):
+    rows = counts(spark, [(f"u{i}", 60, i, 59) for i in range(50)])
+    bucketed.create_bucketed(spark, VIEW, "bucketed_tx", rows, str(tmp_path / "t"), 8)
+    for batch, part in ((0, rows), (1, counts(spark, [("u1", 120, 7, 119)])), (1, counts(spark, [("u1", 120, 8, 119)]))):
+        bucketed.write_bucketed(part, VIEW, "bucketed_tx", batch, at(0))
+    assert len(list((tmp_path / "t").glob("batch_id=0/*.parquet"))) <= 8  # one file per bucket
+    live = bucketed.read_bucketed(spark, VIEW, "bucketed_tx", at(30))
+    assert {r.user_id: r.total_tx for r in live.collect()} == {f"u{i}": i for i in range(50)} | {"u1": 8}
+    assert bucketed.read_bucketed(spark, VIEW, "bucketed_tx", at(600)).isEmpty()
+    requests = spark.range(1000).selectExpr("concat('u', id % 60) as user_id", "id")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if the table were large
+    try:
+        found = store.get_online_features(requests, [(VIEW, live, None)])
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1 and "Exchange" not in plan[plan.index("FileScan"):]
+        assert "Exchange" not in live._jdf.queryExecution().executedPlan().toString()
+        assert found.where("total_tx is not null").count() == sum(1 for i in range(1000) if i % 60 < 50)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    spark.sql("drop table bucketed_tx")

@@ -7,13 +7,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from cardpulse.operators import conform
-from cardpulse.plans.adapter import writer_schemas
+from cardpulse.plans.adapter import many_writers, timestamp_schema, writer_schemas
 from cardpulse.schema import TX_SCHEMA
 from cardpulse.sources.transactions import (
+    decode_registered,
     decode_transactions,
     kafka_options,
     publish_transactions,
     read_transactions,
+    schema_registry,
     split_wire_frame,
 )
 
@@ -131,3 +133,49 @@ def test_a_body_that_only_misses_its_id_says_so(spark):
     values = [frame(nameless), frame(b"[]"), frame(b"{}"), frame(b"")]
     rows = decode_transactions(split_wire_frame(messages(spark, values)), writer_schemas()).orderBy("n").collect()
     assert [r.decode_error for r in rows] == ["missing transaction_id"] + ["unreadable body"] * 3
+
+
+def test_registered_writers_decode_alike(spark):
+    older = {k: v for k, v in SAMPLE.items() if k not in ("currency", "metadata")}
+    nameless = {k: v for k, v in SAMPLE.items() if k != "transaction_id"}
+    values = [frame(SAMPLE), frame({**older, "currency": "XXX"}, 7), frame(SAMPLE, 99), frame(b"{broken"), b"\x01", None,
+              frame(SAMPLE, 0xFFFFFFFF), frame(nameless), frame(b"[]"), frame(b"{}"), frame(b""), frame(b"null"),
+              frame({**SAMPLE, "event_time": "2024-04-05T19:34:38.901Z"}, 8)]
+    schemas = writer_schemas() | {8: timestamp_schema()}
+    split = split_wire_frame(messages(spark, values))
+    one = decode_registered(split, schema_registry(spark, schemas))
+    each = decode_transactions(split, schemas)
+    assert [(f.name, f.dataType) for f in one.schema] == [(f.name, f.dataType) for f in each.schema]
+    assert one.orderBy("n").collect() == each.orderBy("n").collect()
+    assert one.where("n = 12").first().event_time == SAMPLE["event_time"]
+
+
+def test_registered_values_of_other_types(spark):
+    bodies = [{**SAMPLE, "amount": "12.5"}, {**SAMPLE, "amount": "much"}, b'{"amount": 1, "amount": 2}']
+    rows = decode_registered(
+        split_wire_frame(messages(spark, [frame(b) for b in bodies])), schema_registry(spark, writer_schemas())
+    ).orderBy("n").collect()
+    assert [(r.amount, r.decode_error) for r in rows] == [(12.5, None), (None, None), (None, "unreadable body")]
+
+
+def test_the_plan_does_not_grow_with_the_writers(spark):
+    split = split_wire_frame(messages(spark, [frame(SAMPLE)]))
+
+    def plan(schemas):
+        df = conform.keep_decoded(decode_registered(split, schema_registry(spark, schemas)))
+        return df._jdf.queryExecution().optimizedPlan().toString()
+
+    few, many = plan(writer_schemas()), plan(many_writers())
+    assert few.lower().count("parsejson") == many.lower().count("parsejson") <= 2  # the call and its argument's name
+    assert few.count("\n") == many.count("\n") and abs(len(few) - len(many)) < 200
+
+
+def test_a_stream_decodes_by_the_registry(spark, tmp_path):
+    path = str(tmp_path / "frames")
+    messages(spark, [frame(SAMPLE), frame(SAMPLE, 99)]).write.parquet(path)
+    stream = read_transactions(spark, "parquet", path, schema="n int, value binary")
+    decode_registered(split_wire_frame(stream), schema_registry(spark, writer_schemas())).writeStream.format(
+        "parquet").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start(
+        str(tmp_path / "rows")).awaitTermination()
+    assert [(r.n, r.transaction_id) for r in spark.read.parquet(str(tmp_path / "rows")).orderBy("n").collect()] == [
+        (0, "order/7741"), (1, None)]
