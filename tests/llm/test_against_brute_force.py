@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -10,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cardpulse.llm import (
-    bpe, components, html_extract, neighbours, packing, pii, queries, simhash, suffix_dedup, toxicity)
+    bpe, components, html_extract, neighbours, packing, pii, queries, simhash, suffix_dedup, toxicity, url_filter)
 from cardpulse.llm.chunks import text_groups
 from compare import connect, duck_bag, spark_bag
 
@@ -433,3 +434,42 @@ def test_shared_lines_are_a_longest_common_subsequence():
         assert len(kept) == best[-1][-1]
         it = iter(b)
         assert all(a[k] in it for k in kept)
+
+
+def test_urls_against_brute_force(spark):
+    rng = np.random.default_rng(7)
+    hosts = ["", "org", "com", "a.org", "b.a.org", "c.b.a.org", "ab.org", "x.com", "é.com", "a.org."]
+    texts = ["", "/", "/a", "/a/", "/a/b", "/a/bc", "/a/b/c", "/ä", "/\U0001f600", "/\U0001f600/x", "/b", "/a\x7f", "a"]
+    rules = sorted({(str(rng.choice(hosts)), str(rng.choice(texts)), str(rng.choice(["allow", "block"]))) for _ in range(70)})
+    rules += [(None, "/n", "block"), ("n.com", None, "block"), ("v.com", "/", None), ("X.com", "/Q", "block")]
+    pages = [(i, f"http://{h}{p}") for i, (h, p) in enumerate(
+        (h, p + tail) for h in [*hosts, "z.a.org", "z.z.c.b.a.org", "n.com", "m.n.com", "v.com", "X.COM", "org.org", "-a.org"]
+        for p in texts if not p or p[0] == "/" for tail in ("", "z", "?q", "\xff"))]
+    pages += [(-1, None), (-2, "no scheme"), (-3, ""), (None, "http://a.org/a/b"), (-4, "http://x.com/Q"), (-4, "http://x.com/Q")]
+
+    def expected(url):
+        host, path = "", ""
+        if url and "://" in url:
+            rest = re.split(r"[?#]", url.split("://", 1)[1])[0]
+            host, _, path = rest.partition("/")
+            path = "/" + path if "/" in rest else ""
+            host = re.sub(r"[A-Z]", lambda m: m[0].lower(), host)
+        best = max(((len(h + p), len(h), h + p, v or "") for h, p, v in (
+            ((r[0] or "").lower(), r[1] or "", r[2]) for r in rules)
+            if (host == h or host.endswith("." + h)) and path.startswith(p)), default=None)
+        return host, path, best and best[2], (best and best[3]) or "allow"
+
+    got = url_filter.judge_urls(
+        spark.createDataFrame(pages, "page_id bigint, url string"),
+        spark.createDataFrame(rules, "host string, path string, verdict string")).collect()
+    want = [(i, *expected(url)) for i, url in pages]
+    assert sorted(map(repr, (tuple(r) for r in got))) == sorted(map(repr, want))
+    assert len({w[3] for w in want}) > 25  # nested rules of many hosts win somewhere
+
+
+def test_a_host_of_many_rules(spark):
+    rules = spark.range(3000).selectExpr("'a.org' as host", "'/' || id as path", "if(id % 2 = 0, 'block', 'allow') as verdict")
+    pages = spark.range(3000).selectExpr("id as page_id", "'http://w.a.org/' || id || '/x' as url")
+    got = url_filter.judge_urls(pages, rules)
+    assert got.where("rule = 'a.org/' || page_id and verdict = if(page_id % 2 = 0, 'block', 'allow')").count() == 3000
+    assert "collect_list" not in got._jdf.queryExecution().toString()
