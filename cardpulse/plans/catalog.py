@@ -589,13 +589,25 @@ def online_bucketed(spark, sf_dir):
 
 
 def fitted_scores(spark, sf_dir):
-    """A model fitted on the training set, saved, loaded, and applied to every scoring request."""
+    """Features pushed to the store; a model fitted on the history, saved, loaded, and applied to every request with the
+    features online.
+    """
+    start, end = "2024-01-01 00:30:00", "2024-01-01 01:45:00"
+    path = streams.shared_folder(spark, "fitted")
+    known = F.col("event_timestamp")
+    live, history = [], []
+    for rows, view, slide in ((_user_features(spark, sf_dir), USER_FEATURES, "1 minute"),
+                              (_tx_features(spark, sf_dir), TRANSACTION_FEATURES, None)):
+        on, off = f"{path}/{view.name}/on", f"{path}/{view.name}/off"
+        store.push_features(rows, view, on, off, 0, known, slide)
+        live.append(store.read_online(spark, view, on, AS_OF))
+        history.append(store.read_offline(spark, view, off, "2023-12-31 00:30:00", end))
     training = tables.training_dataset(
-        adapter.label_table(spark, sf_dir), _user_features(spark, sf_dir), _tx_features(spark, sf_dir),
-        "2024-01-01 00:30:00", "2024-01-01 01:45:00", SCORING_USER_FEATURES)
-    path = streams.shared_folder(spark, "model")
-    risk_model.fit_risk_model(training).write().overwrite().save(path)
-    return scoring.score(online_lookup(spark, sf_dir), PipelineModel.load(path)).select(
+        adapter.label_table(spark, sf_dir), *history, start, end, SCORING_USER_FEATURES)
+    risk_model.fit_risk_model(training).write().overwrite().save(f"{path}/model")
+    requests = transactions(spark, sf_dir).select("transaction_id", "user_id")
+    return scoring.score(
+        scored.scoring_features(requests, *live), PipelineModel.load(f"{path}/model")).select(
         "transaction_id", "user_id", "score")
 
 
