@@ -131,14 +131,37 @@ def _tag(raw: bytes) -> int:
     return crc32(raw) & 0x3FFF
 
 
-def _anchor_rows(length: int, core: int, with_place: bool):
-    """(core, body[, doc_id, place]) of all anchors: the hash of the core and a digest of all bytes that the strings of
+def _digest(data: bytes, size: int, salt: bytes = b"") -> bytes:
+    """``size`` bytes of a digest, as the eight bytes of a number."""
+    from hashlib import blake2b
+
+    return blake2b(data, digest_size=size, salt=salt).digest().ljust(8, b"\0")
+
+
+def _core_hashes(length: int, core: int):
+    """The core hash of every anchor."""
+
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            for value in batch.column(0):
+                raw = (value.as_py() or "").encode()
+                if len(raw) >= length:
+                    cores = anchors(PrefixHashes(raw), length, core)[3]
+                    yield pa.RecordBatch.from_arrays([pa.array(cores.view(np.int64))], names=["core"])
+
+    return run
+
+
+def _anchor_rows(length: int, core: int, digest_bytes: int):
+    """(core, body, doc_id, place) of all anchors: the hash of the core and a digest of all bytes that the strings of
     the anchor cover, with their place around it.
     """
 
     def run(batches: Iterator) -> Iterator:
         import struct
-        from hashlib import blake2b
 
         import numpy as np
         import pyarrow as pa
@@ -151,38 +174,43 @@ def _anchor_rows(length: int, core: int, with_place: bool):
                 at, first, last, cores = anchors(PrefixHashes(raw), length, core)
                 around = (at - first) << 9 | (last - first)
                 body = b"".join(
-                    blake2b(raw[f:e + length], digest_size=8, salt=struct.pack("<q", w)).digest()
+                    _digest(raw[f:e + length], digest_bytes, struct.pack("<q", w))
                     for f, e, w in zip(first.tolist(), last.tolist(), around.tolist()))
-                columns = [pa.array(cores.view(np.int64)), pa.array(np.frombuffer(body, "<i8"))]
-                if with_place:
-                    columns += [pa.array([doc_id.as_py()] * len(at), pa.int64()),
-                                pa.array(pack_places(_tag(raw), at, first, last))]
-                yield pa.RecordBatch.from_arrays(columns, names=["core", "body", "doc_id", "place"][:len(columns)])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(cores.view(np.int64)), pa.array(np.frombuffer(body, "<i8")),
+                     pa.array([doc_id.as_py()] * len(at), pa.int64()), pa.array(pack_places(_tag(raw), at, first, last))],
+                    names=["core", "body", "doc_id", "place"])
 
     return run
 
 
-def _contexts(length: int):
-    """(core, doc_id, place, single, context): the bytes that the strings of wanted anchors cover."""
+def _contexts(length: int, bytes_at_once: int = 4 << 20):
+    """(core, body, doc_id, place, context): the bytes that the strings of wanted anchors cover."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
+        def made(rows):
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(
+                    zip(*rows), (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()))],
+                names=["core", "body", "doc_id", "place", "context"])
+
         for batch in batches:
-            rows = []
+            rows, held = [], 0
             for doc_id, text, wanted in zip(*(batch.column(i) for i in range(3))):
                 raw = (text.as_py() or "").encode()
                 tag = _tag(raw)
                 for want in wanted.as_py():
                     own, first, last, _ = unpack_place(want["place"])
                     if own == tag and last + length <= len(raw):
-                        rows.append((want["core"], doc_id.as_py(), want["place"], want["single"],
-                                     raw[first:last + length]))
+                        rows.append((want["core"], want["body"], doc_id.as_py(), want["place"], raw[first:last + length]))
+                        held += last + length - first
+                        if held >= bytes_at_once:
+                            yield made(rows)
+                            rows, held = [], 0
             if rows:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(
-                        zip(*rows), (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary()))],
-                    names=["core", "doc_id", "place", "single", "context"])
+                yield made(rows)
 
     return run
 
@@ -319,38 +347,71 @@ def _group_spans(length: int, rows_at_once: int = 4_000):
     return run
 
 
-def _window_rows(length: int):
-    """(one, two, doc_id, tag, begin) of every start of contexts: a hash and a digest of each string."""
+def _window_rows(length: int, digest_bytes: int):
+    """(one, two, core, body, doc_id, tag, begin, single) of every start of contexts: a hash and a digest of each string."""
 
     def run(batches: Iterator) -> Iterator:
-        from hashlib import blake2b
-
         import numpy as np
         import pyarrow as pa
 
         for batch in batches:
-            for _, doc_id, place, single, context in zip(*(batch.column(i).to_pylist() for i in range(5))):
+            for core, doc_id, place, single, context, body in zip(*(batch.column(i).to_pylist() for i in range(6))):
                 tag, first, last, _ = unpack_place(place)
                 n = last - first + 1
-                one = PrefixHashes(context).all_windows(length)
-                two = b"".join(blake2b(context[s:s + length], digest_size=8).digest() for s in range(n))
+                one = PrefixHashes(context).all_windows(length) >> np.uint64(64 - 8 * digest_bytes)
+                two = b"".join(_digest(context[s:s + length], digest_bytes) for s in range(n))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(one.view(np.int64)), pa.array(np.frombuffer(two, "<i8"))]
+                    + [pa.array([v] * n, pa.int64()) for v in (core, body, doc_id, tag)]
+                    + [pa.array(np.arange(first, last + 1)), pa.array([single] * n)],
+                    names=["one", "two", "core", "body", "doc_id", "tag", "begin", "single"])
+
+    return run
+
+
+def _strings(length: int):
+    """From (place, context, starts): (one, two, string) with the bytes of the wanted starts of a context."""
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            for place, context, starts in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                first = unpack_place(place)[1]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(one.view(np.int64)), pa.array(np.frombuffer(two, "<i8")),
-                     pa.array([doc_id] * n, pa.int64()), pa.array([tag] * n, pa.int64()),
-                     pa.array(np.arange(first, last + 1)), pa.array([single] * n)],
-                    names=["one", "two", "doc_id", "tag", "begin", "single"])
+                    [pa.array([s["one"] for s in starts], pa.int64()), pa.array([s["two"] for s in starts], pa.int64()),
+                     pa.array([context[s["begin"] - first:s["begin"] - first + length] for s in starts], pa.binary())],
+                    names=["one", "two", "string"])
 
     return run
 
 
-def _hot_spans(contexts: DataFrame, length: int) -> DataFrame:
+def _same_bytes(grouped: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys that stand for more than one row, from (keys, bytes, n) grouped by keys and bytes. Where a key stands for
+    two different strings of bytes the query fails instead of taking them for equal.
+    """
+    return grouped.groupBy(*keys).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("_texts")).where(
+        F.when(F.col("_texts") == 1, F.col("n") > 1).otherwise(
+            F.raise_error("two different strings share a digest").cast("boolean"))).select(*keys)
+
+
+def _hot_spans(contexts: DataFrame, length: int, digest_bytes: int) -> DataFrame:
     """The same spans for cores with too many different surroundings for one task: strings are counted by hash and
-    digest, with map-side sums, so a string that every document has is one row of each task.
+    digest, and those found more than once are then grouped by their bytes. Both counts have map-side sums, so a string
+    that every document has is one row of each task.
     """
-    rows = contexts.mapInArrow(
-        _window_rows(length), "one bigint, two bigint, doc_id bigint, tag bigint, begin bigint, single boolean")
-    repeated = rows.groupBy("one", "two").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    return rows.where("single").join(repeated, ["one", "two"], "left_semi").select(
+    rows = written(contexts.mapInArrow(
+        _window_rows(length, digest_bytes),
+        "one bigint, two bigint, core bigint, body bigint, doc_id bigint, tag bigint, begin bigint, single boolean"),
+        "suffix-strings")
+    several = rows.groupBy("one", "two").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    again = rows.join(several, ["one", "two"], "left_semi")
+    starts = again.groupBy("core", "body").agg(F.collect_list(F.struct("one", "two", "begin")).alias("starts"))
+    strings = contexts.join(starts, ["core", "body"]).select("place", "context", "starts").mapInArrow(
+        _strings(length), "one bigint, two bigint, string binary")
+    equal = _same_bytes(
+        strings.groupBy("one", "two", "string").agg(F.count(F.lit(1)).alias("n")), ["one", "two"])
+    return again.where("single").join(equal, ["one", "two"], "left_semi").select(
         "doc_id", "tag", "begin", (F.col("begin") + length).alias("end"))
 
 
@@ -383,61 +444,62 @@ def _removed(length: int):
     return run
 
 
-def repeated_spans(docs: DataFrame, length: int = 400, core: int = 100, most_in_task: int = 8_000) -> DataFrame:
+def repeated_spans(docs: DataFrame, length: int = 400, core: int = 100, most_in_task: int = 8_000,
+                   digest_bytes: int = 8) -> DataFrame:
     """(doc_id, tag, begin, end): bytes covered by strings of ``length`` bytes that start elsewhere too. Spans overlap.
 
     1. Anchors with a core that no other anchor has can't repeat; they end here, and they are most.
-    2. Anchors whose strings cover exactly the same bytes as another's repeat as a whole.
-    3. The rest, at the borders of repeats, meets by core. Each different surrounding goes there once, with its bytes;
-       suffixes are sorted and matched (``repeated_starts``). A core with more than ``most_in_task`` surroundings goes
-       to ``_hot_spans`` instead.
+    2. The others are grouped by core, digest and the bytes that their strings cover; anchors that cover exactly the
+       same bytes as another's repeat as a whole. The bytes are a key of the group, with map-side sums.
+    3. Different surroundings of one core meet once each, with their bytes; suffixes are sorted and matched
+       (``repeated_starts``). A core with more than ``most_in_task`` of them goes to ``_hot_spans`` instead.
+
+    Digests of ``digest_bytes`` bytes only bring equal strings together; bytes are compared in every step, and the query
+    fails where a digest stands for two strings.
     """
     core = max(core, length - 511)  # a place has room for 512 starts
-    ddl = "core bigint, body bigint"
     # Written, so that the join below shuffles both sides itself and a core that very many anchors share can be split.
     keys = written(
-        docs.mapInArrow(_anchor_rows(length, core, False), ddl).groupBy("core")
-        .agg(F.count(F.lit(1)).alias("_n"), F.min("body").alias("_a"), F.max("body").alias("_b"))
-        .where("_n > 1").select("core", (F.col("_a") != F.col("_b")).alias("mixed")), "suffix-cores")
+        docs.select("text").mapInArrow(_core_hashes(length, core), "core bigint").groupBy("core")
+        .agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("core"), "suffix-cores")
     rows = written(
-        docs.mapInArrow(_anchor_rows(length, core, True), ddl + ", doc_id bigint, place bigint").join(keys, "core"),
-        "suffix-anchors")
-
-    def whole(df):
-        anchor = F.shiftright("place", 18).bitwiseAND(0x7FFFFFFF)
-        first = anchor - F.shiftright("place", 9).bitwiseAND(0x1FF)
-        return df.select(
-            "doc_id", F.shiftright("place", 49).alias("tag"), first.alias("begin"),
-            (first + F.col("place").bitwiseAND(0x1FF) + length).alias("end"))
-
-    mixed = rows.where("mixed")
+        docs.mapInArrow(_anchor_rows(length, core, digest_bytes), "core bigint, body bigint, doc_id bigint, place bigint")
+        .join(keys, "core"), "suffix-anchors")
+    wanted = rows.groupBy("doc_id").agg(F.collect_set(F.struct("core", "body", "place")).alias("wanted")).withColumnRenamed(
+        "doc_id", "_id")
+    contexts = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id"))).select("doc_id", "text", "wanted").mapInArrow(
+        _contexts(length), "core bigint, body bigint, doc_id bigint, place bigint, context binary")
+    # Of a group with several members the least id and the least place are kept, which need not belong together: its place
+    # tells the shape of the surroundings, and only groups with one member are reported by id.
     surroundings = written(
-        mixed.groupBy("core", "body").agg(
-            F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "place")).alias("at")), "suffix-surroundings")
-    equal = mixed.join(surroundings.where("n > 1").select("core", "body"), ["core", "body"], "left_semi")
+        contexts.groupBy("core", "body", "context").agg(
+            F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("doc_id"), F.min("place").alias("place")),
+        "suffix-surroundings")
+    equal = rows.join(_same_bytes(surroundings, ["core", "body"]), ["core", "body"], "left_semi")
+    anchor = F.shiftright("place", 18).bitwiseAND(0x7FFFFFFF)
+    first = anchor - F.shiftright("place", 9).bitwiseAND(0x1FF)
+    whole = equal.select(
+        "doc_id", F.shiftright("place", 49).alias("tag"), first.alias("begin"),
+        (first + F.col("place").bitwiseAND(0x1FF) + length).alias("end"))
+
     sizes = surroundings.groupBy("core").agg(F.count(F.lit(1)).alias("_size"))
 
-    def contexts(of):
-        wanted = of.select("at.doc_id", F.struct(
-            "core", "at.place", (F.col("n") == 1).alias("single")).alias("w")).groupBy("doc_id").agg(
-            F.collect_list("w").alias("wanted")).withColumnRenamed("doc_id", "_id")
-        return docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id"))).select("doc_id", "text", "wanted").mapInArrow(
-            _contexts(length), "core bigint, doc_id bigint, place bigint, single boolean, context binary")
+    def of(cores):
+        return surroundings.join(cores, "core", "left_semi").select(
+            "core", "doc_id", "place", (F.col("n") == 1).alias("single"), "context", "body")
 
     span_ddl = "doc_id bigint, tag bigint, begin bigint, end bigint"
-    small = surroundings.join(sizes.where(F.col("_size") <= most_in_task), "core", "left_semi")
-    spans = whole(rows.where("not mixed")).union(whole(equal)).union(
-        contexts(small).repartition("core").sortWithinPartitions("core", "doc_id", "place")
-        .mapInArrow(_group_spans(length), span_ddl))
-    hot = sizes.where(F.col("_size") > most_in_task)
+    spans = whole.union(
+        of(sizes.where(F.col("_size").between(2, most_in_task))).repartition("core")
+        .sortWithinPartitions("core", "doc_id", "place").mapInArrow(_group_spans(length), span_ddl))
+    hot = sizes.where(F.col("_size") > F.greatest(F.lit(1), F.lit(most_in_task)))
     if hot.limit(1).count():
-        spans = spans.union(_hot_spans(written(
-            contexts(surroundings.join(hot, "core", "left_semi")), "suffix-contexts"), length))
+        spans = spans.union(_hot_spans(written(of(hot), "suffix-contexts"), length, digest_bytes))
     return spans
 
 
 def remove_repeats(docs: DataFrame, length: int = 400, core: int = 100, most_in_task: int = 8_000,
-                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                   id_col: str = "doc_id", text_col: str = "text", digest_bytes: int = 8) -> DataFrame:
     """``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept`` (the remaining bytes) of every document.
 
     Every byte goes that a string of ``length`` bytes covers which also starts anywhere else, in this or another
@@ -447,7 +509,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, core: int = 100, most_in_
     empty result.
     """
     base = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    spans = repeated_spans(base, length, core, most_in_task).groupBy("doc_id").agg(
+    spans = repeated_spans(base, length, core, most_in_task, digest_bytes).groupBy("doc_id").agg(
         F.collect_list(F.struct("tag", "begin", "end")).alias("spans")).withColumnRenamed("doc_id", "_id")
     return base.join(spans, F.col("doc_id").eqNullSafe(F.col("_id")), "left").select("doc_id", "text", "spans").mapInArrow(
         _removed(length), "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")

@@ -126,6 +126,44 @@ def test_repeats(spark, limits):
     assert got == want and 0 < sum(w[2] for w in want) < sum(w[1] for w in want)
 
 
+@pytest.mark.parametrize("most", [0, 1, 10_000])
+def test_repeats_of_a_passage_between_other_bytes(spark, most):
+    """One core with more surroundings than a task takes, copies of some of them, and copies of whole texts."""
+    rnd = random.Random(5)
+    other = lambda n: "".join(rnd.choice("abcdefgh") for _ in range(n))
+    passage = other(70)
+    docs = [(i, other(rnd.randint(0, 60)) + passage[rnd.randint(0, 5):rnd.randint(60, 70)] + other(rnd.randint(0, 60)))
+            for i in range(60)]
+    docs += [(100 + i, t) for i, t in docs[:5]] + [(200 + i, other(40)) for i in range(5)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(5)
+    got = sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept))
+                  for r in suffix_dedup.remove_repeats(df, 40, 10, most_in_task=most).collect()), key=str)
+    assert got == removed_by_brute_force([(i, t.encode()) for i, t in docs], 40)
+
+
+@pytest.mark.parametrize("most", [0, 10_000])
+def test_equal_digests_of_different_bytes_are_not_taken_for_repeats(spark, most):
+    """Digests of one byte collide; the bytes are compared, so the query fails and gives no wrong row."""
+    rnd = random.Random(6)
+    passage = "".join(rnd.choice("abcdefgh") for _ in range(45))
+    docs = [(i, "".join(rnd.choice("abcdefgh") for _ in range(300)) + passage
+             + "".join(rnd.choice("abcdefgh") for _ in range(300))) for i in range(400)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(5)
+    with pytest.raises(Exception, match="share a digest"):
+        suffix_dedup.remove_repeats(df, 40, 10, most_in_task=most, digest_bytes=1).collect()
+
+
+@pytest.mark.parametrize("strings", [False, True])
+def test_digests_are_compared_by_bytes(spark, strings):
+    rows = [(1, b"x", 2), (2, b"y", 1), (3, b"z", 1)] + ([(3, b"w", 1)] if strings else [])
+    grouped = spark.createDataFrame(rows, "key bigint, bytes binary, n bigint")
+    if strings:
+        with pytest.raises(Exception, match="share a digest"):
+            suffix_dedup._same_bytes(grouped, ["key"]).collect()
+    else:
+        assert [r.key for r in suffix_dedup._same_bytes(grouped, ["key"]).collect()] == [1]
+
+
 def test_neighbours_recall(spark):
     rows = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
     found = {}
