@@ -404,13 +404,13 @@ def _hot_spans(contexts: DataFrame, length: int, digest_bytes: int) -> DataFrame
         _window_rows(length, digest_bytes),
         "one bigint, two bigint, core bigint, body bigint, doc_id bigint, tag bigint, begin bigint, single boolean"),
         "suffix-strings")
-    several = rows.groupBy("one", "two").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    again = rows.join(several, ["one", "two"], "left_semi")
+    several = rows.groupBy("one", "two").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("one", "two")
+    again = written(rows.join(written(several, "suffix-counted"), ["one", "two"], "left_semi"), "suffix-again")
     starts = again.groupBy("core", "body").agg(F.collect_list(F.struct("one", "two", "begin")).alias("starts"))
     strings = contexts.join(starts, ["core", "body"]).select("place", "context", "starts").mapInArrow(
         _strings(length), "one bigint, two bigint, string binary")
-    equal = _same_bytes(
-        strings.groupBy("one", "two", "string").agg(F.count(F.lit(1)).alias("n")), ["one", "two"])
+    equal = written(_same_bytes(
+        strings.groupBy("one", "two", "string").agg(F.count(F.lit(1)).alias("n")), ["one", "two"]), "suffix-equal")
     return again.where("single").join(equal, ["one", "two"], "left_semi").select(
         "doc_id", "tag", "begin", (F.col("begin") + length).alias("end"))
 
@@ -458,7 +458,8 @@ def repeated_spans(docs: DataFrame, length: int = 400, core: int = 100, most_in_
     fails where a digest stands for two strings.
     """
     core = max(core, length - 511)  # a place has room for 512 starts
-    # Written, so that the join below shuffles both sides itself and a core that very many anchors share can be split.
+    # Here and below the small side of a join is written first, so that the join shuffles both sides itself and a key
+    # that very many anchors share can be split.
     keys = written(
         docs.select("text").mapInArrow(_core_hashes(length, core), "core bigint").groupBy("core")
         .agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("core"), "suffix-cores")
@@ -475,26 +476,25 @@ def repeated_spans(docs: DataFrame, length: int = 400, core: int = 100, most_in_
         contexts.groupBy("core", "body", "context").agg(
             F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("doc_id"), F.min("place").alias("place")),
         "suffix-surroundings")
-    equal = rows.join(_same_bytes(surroundings, ["core", "body"]), ["core", "body"], "left_semi")
+    equal = rows.join(
+        written(_same_bytes(surroundings, ["core", "body"]), "suffix-whole"), ["core", "body"], "left_semi")
     anchor = F.shiftright("place", 18).bitwiseAND(0x7FFFFFFF)
     first = anchor - F.shiftright("place", 9).bitwiseAND(0x1FF)
     whole = equal.select(
         "doc_id", F.shiftright("place", 49).alias("tag"), first.alias("begin"),
         (first + F.col("place").bitwiseAND(0x1FF) + length).alias("end"))
 
-    sizes = surroundings.groupBy("core").agg(F.count(F.lit(1)).alias("_size"))
-
-    def of(cores):
-        return surroundings.join(cores, "core", "left_semi").select(
-            "core", "doc_id", "place", (F.col("n") == 1).alias("single"), "context", "body")
-
-    span_ddl = "doc_id bigint, tag bigint, begin bigint, end bigint"
+    sizes = written(
+        surroundings.groupBy("core").agg(F.count(F.lit(1)).alias("_size")).where("_size > 1"), "suffix-sizes")
+    # Written as well, because a join by core may be split, and the sorts below need each core in one task.
+    several = written(surroundings.join(sizes, "core").select(
+        "core", "doc_id", "place", (F.col("n") == 1).alias("single"), "context", "body", "_size"), "suffix-contexts")
     spans = whole.union(
-        of(sizes.where(F.col("_size").between(2, most_in_task))).repartition("core")
-        .sortWithinPartitions("core", "doc_id", "place").mapInArrow(_group_spans(length), span_ddl))
-    hot = sizes.where(F.col("_size") > F.greatest(F.lit(1), F.lit(most_in_task)))
-    if hot.limit(1).count():
-        spans = spans.union(_hot_spans(written(of(hot), "suffix-contexts"), length, digest_bytes))
+        several.where(F.col("_size") <= most_in_task).drop("body", "_size").repartition("core")
+        .sortWithinPartitions("core", "doc_id", "place")
+        .mapInArrow(_group_spans(length), "doc_id bigint, tag bigint, begin bigint, end bigint"))
+    if sizes.where(F.col("_size") > most_in_task).limit(1).count():
+        spans = spans.union(_hot_spans(several.where(F.col("_size") > most_in_task), length, digest_bytes))
     return spans
 
 
