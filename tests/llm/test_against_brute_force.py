@@ -126,6 +126,16 @@ def test_repeats(spark, limits):
     assert got == want and 0 < sum(w[2] for w in want) < sum(w[1] for w in want)
 
 
+def test_repeats_of_a_whole_table(spark):
+    """The query itself, over all documents of sf0.01."""
+    folder = "/root/testdata/sf0.01"
+    docs = [(r.doc_id, (r.text or "").encode()) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+    got = sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256)
+                 for r in queries.op2_suffix_dedup(spark, folder).collect())
+    want = sorted((*row[:4], hashlib.sha256(row[4]).hexdigest()) for row in removed_by_brute_force(docs, 400))
+    assert got == want and 0 < sum(w[2] for w in want) < sum(w[1] for w in want)
+
+
 @pytest.mark.parametrize("most", [0, 1, 10_000])
 def test_repeats_of_a_passage_between_other_bytes(spark, most):
     """One core with more surroundings than a task takes, copies of some of them, and copies of whole texts."""
