@@ -6,6 +6,7 @@ import base64
 from collections.abc import Iterator
 from functools import lru_cache
 
+import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,8 +44,11 @@ def last_merge(token: bytes, ranks: dict[bytes, int]) -> tuple[bytes, bytes] | N
 
 
 @lru_cache(maxsize=2)
-def _tools(path: str, pattern: str):
-    """The chunk encoder of a rank file and the bytes of each id."""
+def _tools(path: str, pattern: str, chunked: bool):
+    """A function from texts to their ids in parts (bytes), and the bytes of each id. The chunks of ``chunks`` end where
+    matches of one pattern end; for others whole texts are encoded (``chunked`` false).
+    """
+    import numpy as np
     from tokenizers import Regex, Tokenizer
     from tokenizers.models import BPE
     from tokenizers.pre_tokenizers import ByteLevel, Sequence, Split
@@ -68,7 +72,8 @@ def _tools(path: str, pattern: str):
         return tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
     newline = encode("\n")[0]
-    encoder = ChunkEncoder(lambda chunks: ids_by_chunk(chunks, encode, newline))
+    encoder = ChunkEncoder(lambda chunks: ids_by_chunk(chunks, encode, newline)).encode if chunked else (
+        lambda texts: [[np.asarray(encode(t), dtype="<u4").tobytes()] for t in texts])
     pieces = [b""] * (max(ranks.values()) + 1)
     for token, rank in ranks.items():
         pieces[rank] = token
@@ -86,7 +91,7 @@ def char_starts(text: str, lengths):
     return char_of_byte[np.cumsum(lengths) - lengths].astype(np.int32)
 
 
-def _encode(path: str, pattern: str, offsets: bool):
+def _encode(path: str, pattern: str, offsets: bool, chunked: bool):
     def run(batches: Iterator) -> Iterator:
         import os
 
@@ -96,12 +101,12 @@ def _encode(path: str, pattern: str, offsets: bool):
         from cardpulse.llm.chunks import text_groups
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder, pieces = _tools(path, pattern)
+        encoder, pieces = _tools(path, pattern, chunked)
         sizes = np.array([len(p) for p in pieces]) if offsets else None
         for batch in batches:
             at = 0
             for texts in text_groups(batch.column(1)):
-                ids = [np.frombuffer(b"".join(chunks), "<i4") for chunks in encoder.encode(texts)]
+                ids = [np.frombuffer(b"".join(chunks), "<i4") for chunks in encoder(texts)]
                 ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
                 lists = [pa.ListArray.from_arrays(ends, np.concatenate(ids))]
                 if offsets:
@@ -120,19 +125,20 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, offsets: bo
     """``doc_id`` and ``ids`` (array of int) of every whole text, optionally with ``offsets``: the character at which
     each id starts.
 
-    Ids are those that merging by rank gives within each match of ``pattern``; no special tokens. Null texts are
+    Ids are those that merging by rank gives within each match of ``pattern`` (which has to match all of a text); no
+    special tokens. Words are cached only for ``public_tokenizers.PATTERN``. Null texts are
     empty and have no ids; null ids, repeated rows and repeated ids stay as they are, one row each; other columns
     are ignored.
     """
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        _encode(ranks_path, pattern, offsets), "doc_id bigint, ids array<int>" + ", offsets array<int>" * offsets)
+        _encode(ranks_path, pattern, offsets, pattern == public_tokenizers.PATTERN), "doc_id bigint, ids array<int>" + ", offsets array<int>" * offsets)
 
 
 def _decode(path: str, pattern: str):
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        _, pieces = _tools(path, pattern)
+        _, pieces = _tools(path, pattern, True)
         piece = pieces.__getitem__
         for batch in batches:
             raw = [b"".join(map(piece, ids.as_py() or ())) for ids in batch.column(1)]

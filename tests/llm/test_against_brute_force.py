@@ -77,15 +77,16 @@ def test_sum_of_squares_choice_is_the_least():
     assert made.made * 1024 < 1.05 * sizes.sum()
 
 
-def test_bpe_equals_the_rank_merging_library(spark):
+@pytest.mark.parametrize("pattern", [public_tokenizers.PATTERN, r"\s+|\p{L}{1,3}|[^\s\p{L}]+", r"[^\n]+|\n"])
+def test_bpe_equals_the_rank_merging_library(spark, pattern):
     import tiktoken
 
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
-    other = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    other = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
     docs = texts(4_000)
     df = spark.createDataFrame(list(enumerate(docs)), "doc_id bigint, text string")
-    rows = bpe.encode_documents(df, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN,
-                                offsets=True).collect()
+    rows = bpe.encode_documents(
+        df, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), pattern, offsets=True).collect()
     for r in rows:
         ids = other.encode_ordinary(docs[r.doc_id])
         assert r.ids == ids
