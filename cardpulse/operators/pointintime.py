@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from cardpulse.functions.times import slot_of
-from cardpulse.operators.skew import row_digest, spread_keys
+from cardpulse.operators.skew import busy_keys, row_digest, spread_keys
 from cardpulse.schema import FeatureView
 
 # Shares of a slot of one entity, unless the caller says otherwise.
@@ -48,9 +48,10 @@ def point_in_time_join(
     lookups of one entity share one shuffle and one sort; there is no inequality join and no row is multiplied.
 
     Rows meet by (entity, time slot), not by entity, so a long history never gathers in one task. The engine can't
-    split a window's partition, so each slot is dealt out over ``spread`` shares by a hash of the row and its few
-    feature rows are copied to all of them. Choose it so that the busiest entity's slot, divided by it, fits a task; 1
-    for a spine known to be even. ``spine_key`` names the unique columns of the spine: an entity that holds them can't
+    split a window's partition, so a slot with many spine rows is dealt out over ``spread`` shares by a hash of the row
+    and its feature rows are copied to all of them; other slots are left whole. Choose it so that the busiest entity's
+    slot, divided by it, fits a task; 1 for a spine known to be even. Otherwise the spine's keys are counted beforehand,
+    so a spine that is costly to compute should be a stored table. ``spine_key`` names the unique columns of the spine: an entity that holds them can't
     be hot and is not spread.
     """
     by_entity: dict[tuple[str, ...], list[Lookup]] = {}
@@ -87,7 +88,8 @@ def _fill(spine, entity, group, ts, spine_key, spread):
         ).dropna(subset=list(entity))
         facts = mine if facts is None else facts.unionByName(mine, allowMissingColumns=True)
 
-    rows, facts = spread_keys(rows, facts, keys, row_digest(spine, spine_key, "_row."), spread)
+    busy = busy_keys(rows, keys) if spread > 1 else None
+    rows, facts = spread_keys(rows, facts, keys, row_digest(spine, spine_key, "_row."), spread, busy)
 
     # Features sort before spine rows of the same instant, so that a value is usable at its own time.
     known = (

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import NaiveBayes
 from pyspark.ml.feature import Binarizer, ElementwiseProduct
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,7 +24,8 @@ def fit_risk_model(
     training: DataFrame, limits: dict[str, float] = LIMITS, smoothing: float = 1.0, label: str = "label"
 ) -> PipelineModel:
     """Fit on a training set (inputs by name, absent and null ones count as 0.0; label 0 or 1, rows without one are left
-    out). One pass adds up the bits of each class; only those sums reach the driver. Both classes must occur.
+    out). One pass counts the rows of each class by their bits, two to the power of the inputs at most; the classifier,
+    which runs through its rows more than once, is fitted on those counts. Both classes must occur.
 
     The model reads ``features`` and writes ``probability``, as :func:`cardpulse.operators.scoring.score` wants it, and
     is saved and loaded like any Spark ML pipeline.
@@ -31,11 +33,18 @@ def fit_risk_model(
     rows = assemble_vector(training.where(F.col(label).isNotNull())).select(
         "features", F.col(label).cast("double").alias("_label"))
     scale = Vectors.dense([1.0 / limits[name] for name in FEATURE_ORDER])
-    model = Pipeline(stages=[
+    to_bits = [
         ElementwiseProduct(scalingVec=scale, inputCol="features", outputCol="_scaled"),
         Binarizer(threshold=1.0, inputCol="_scaled", outputCol="_bits"),
-        NaiveBayes(modelType="bernoulli", smoothing=smoothing, featuresCol="_bits", labelCol="_label"),
-    ]).fit(rows)
-    if model.stages[-1].numClasses != 2:
+    ]
+    bits = PipelineModel(to_bits).transform(rows).select(vector_to_array("_bits").alias("_bits"), "_label")
+    counted = bits.groupBy("_bits", "_label").agg(F.count("*").cast("double").alias("_weight")).select(
+        array_to_vector("_bits").alias("_bits"), "_label", "_weight").persist()
+    try:
+        bayes = NaiveBayes(
+            modelType="bernoulli", smoothing=smoothing, featuresCol="_bits", labelCol="_label", weightCol="_weight").fit(counted)
+    finally:
+        counted.unpersist()
+    if bayes.numClasses != 2:
         raise ValueError("training needs rows of both classes")
-    return model
+    return PipelineModel([*to_bits, bayes])

@@ -10,24 +10,38 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _NO_KEY_SHARES = 1024
+# A key with more rows than this is busy.
+FULL = 8192
+
+
+def busy_keys(rows: DataFrame, keys: list[str], full: int = FULL) -> DataFrame:
+    """The keys that more than ``full`` rows have; at most one for every ``full`` rows, hence few."""
+    return rows.dropna(subset=keys).groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > full).select(*keys)
 
 
 def spread_keys(
-    rows: DataFrame, facts: DataFrame, keys: list[str], digest: Column, spread: int = 1
+    rows: DataFrame, facts: DataFrame, keys: list[str], digest: Column, spread: int = 1, busy: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Add ``_share`` to both sides so that meeting on (keys, _share) is meeting on keys, in ``spread`` shares a key.
 
-    All keys are treated alike: each row takes the share its ``digest`` falls into, which is the same when a task is
-    repeated, and each fact is copied to all shares. A row without key meets nothing and may go anywhere.
+    Each row takes the share its ``digest`` falls into, which is the same when a task is repeated, and each fact is copied
+    to all shares. A row without key meets nothing and may go anywhere. All keys are treated alike, unless ``busy`` lists
+    those to deal out (see :func:`busy_keys`): then the facts of the others are not copied.
     """
     keyless = F.lit(False)
     for name in keys:
         keyless = keyless | F.col(name).isNull()
+    shares = F.lit(spread)
+    if busy is not None and spread > 1:
+        # Broadcast: a shuffle by the keys alone would leave a busy key in one task again.
+        listed = F.broadcast(busy.withColumn("_busy", F.lit(True)))
+        rows, facts = rows.join(listed, keys, "left"), facts.join(listed, keys, "left")
+        shares = F.when(F.col("_busy"), spread).otherwise(1)
     rows = rows.withColumn("_share", F.pmod(
-        digest, F.when(keyless, _NO_KEY_SHARES).otherwise(spread)).cast("int"))
+        digest, F.when(keyless, _NO_KEY_SHARES).otherwise(shares)).cast("int")).drop("_busy")
     if spread == 1:
         return rows, facts.withColumn("_share", F.lit(0))
-    return rows, facts.withColumn("_share", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
+    return rows, facts.withColumn("_share", F.explode(F.sequence(F.lit(0), shares - 1))).drop("_busy")
 
 
 def row_digest(df: DataFrame, names: tuple[str, ...] = (), prefix: str = "") -> Column:

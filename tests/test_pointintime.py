@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from cardpulse.operators import skew
 from cardpulse.operators.pointintime import Lookup, point_in_time_join
 from cardpulse.plans import tables
 from cardpulse.schema import FeatureView
@@ -104,6 +105,33 @@ def test_a_hot_slot_is_split_and_stays_whole(spark):
     assert busiest > 1
 
 
+def test_only_busy_slots_are_copied(spark):
+    """Of 100 users one has more rows than fit a task; only that one's features are copied to the shares."""
+    spine = spark.range(12_000).selectExpr(
+        "case when id < 9000 then 'hot' when id % 7 = 0 then null else 'u' || id % 99 end as user_id",
+        "'t' || id as transaction_id", "timestamp_seconds(1700000000 + id % 500) as event_timestamp")
+    facts = spark.sql("select 'u' || id as user_id from range(99) union all select 'hot'").crossJoin(
+        spark.range(0, 500, 50).selectExpr("timestamp_seconds(1700000000 + id) as event_timestamp", "id as a"))
+    rows, keys = spine.withColumn("_slot", F.lit(0)), ["user_id", "_slot"]
+    busy = skew.busy_keys(rows, keys)
+    assert [tuple(r) for r in busy.collect()] == [("hot", 0)]
+    dealt, copied = skew.spread_keys(
+        rows, facts.withColumn("_slot", F.lit(0)), keys, F.xxhash64("transaction_id"), 8, busy)
+    assert copied.count() == 99 * 10 + 8 * 10
+    shares = {r.user_id: r.n for r in dealt.groupBy("user_id").agg(F.countDistinct("_share").alias("n")).collect()}
+    assert shares["hot"] == 8 and shares[None] > 8
+    assert {n for user, n in shares.items() if user not in ("hot", None)} == {1}
+    joined = {n: point_in_time_join(spine, [Lookup(facts, FAST)], spread=n) for n in (1, 8)}
+    assert joined[8].count() == 12_000
+    assert joined[1].exceptAll(joined[8]).isEmpty() and joined[8].exceptAll(joined[1]).isEmpty()
+
+
+@pytest.mark.parametrize("full", [0, 5])
+def test_dealt_slots_against_brute_force(spark, monkeypatch, full):
+    monkeypatch.setattr(skew.busy_keys, "__defaults__", (full,))
+    test_against_brute_force(spark, 8)
+
+
 def test_wide_row_renames_and_keeps_absent_features_null(spark):
     from cardpulse.operators import features as f
 

@@ -70,6 +70,22 @@ def test_the_fitted_model_is_naive_bayes(spark, tmp_path):
         risk_model.fit_risk_model(train.where("label = 0"))
 
 
+def test_fitting_computes_the_training_set_once(spark):
+    """The classifier asks for its rows several times; the costly set behind them must not be computed each time."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counting(rows):
+        for row in rows:
+            seen.add(1)
+            yield row
+
+    rows = spark.range(0, 300, 1, 3).selectExpr("cast(id % 3 = 0 as int) as label", "cast(id % 5 as double) as tx_last_5min_total")
+    # A shuffle behind the rows, as a training set has.
+    train = spark.createDataFrame(rows.rdd.mapPartitions(counting), rows.schema).repartition(4, "label", "tx_last_5min_total")
+    risk_model.fit_risk_model(train)
+    assert seen.value == 300
+
+
 def test_no_model_scores_zero(spark):
     assert scoring.score(spark.range(1)).first().score == 0.0
 
