@@ -14,6 +14,7 @@ from cardpulse.operators.windows import (
     sliding_distinct,
     sliding_members,
     sliding_tallies,
+    with_windows,
 )
 from cardpulse.schema import FAILED_LIMIT, SMALL_AMOUNT, SMALL_FAILED_LIMIT
 
@@ -96,8 +97,7 @@ def device_change(
     """
     used = tx.where(F.col("device_id").isNotNull())
     if tx.isStreaming:
-        rows = used.withColumn("_w", F.window(
-            "event_time", f"{micros(window)} microseconds", f"{micros(slide)} microseconds"))
+        rows = with_windows(used, micros(window), micros(slide), "user_id", "event_time")
         counted = rows.groupBy("user_id", "_w").agg(
             F.array_sort(F.collect_set("device_id")).alias("known_devices"),
             F.max("event_time").alias("last_event_time"),

@@ -21,6 +21,8 @@ from pyspark.sql.window import Window
 from cardpulse.functions.times import interval, micros, slot_of
 
 _ROWS = "_rows"
+# Shares of a key's slot among the tasks that copy a stream's rows to windows.
+_STREAM_SHARES = 8
 
 
 @dataclass(frozen=True)
@@ -54,6 +56,21 @@ def with_bounds(df: DataFrame, tick: str, pane_us: int, length_us: int, key: str
     )
 
 
+def with_windows(tx: DataFrame, length_us: int, slide_us: int, key: str, time: str) -> DataFrame:
+    """A stream's rows with ``_w``, once for each window that holds them.
+
+    The aggregation that follows folds the copies in each task, in a table of all its keys and windows. A task that reads
+    a large file would hold those of every key in it, so the rows are dealt out first, by key and slot of a window's
+    length: the table then shrinks with the number of shuffle partitions. The tasks that read go to different shares of a
+    slot, so that one key's rows don't all meet in one task; no key has more folded rows than it would without.
+    """
+    rows = tx.where(F.col(time).isNotNull())
+    dealt = rows.withColumn("_share", F.spark_partition_id() % _STREAM_SHARES).repartition(
+        int(tx.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+        key, slot_of(F.unix_micros(time), length_us), "_share").drop("_share")
+    return dealt.withColumn("_w", F.window(time, f"{length_us} microseconds", f"{slide_us} microseconds"))
+
+
 def sliding_tallies(
     tx: DataFrame,
     tallies: list[Tally],
@@ -77,8 +94,7 @@ def _matches(where: str | None) -> Column:
 def _tallies_by_window(tx, tallies, slide, key, time):
     longest = max(micros(t.length) for t in tallies)
     _check(longest, micros(slide))
-    rows = tx.where(F.col(time).isNotNull()).withColumn(
-        "_w", F.window(time, f"{longest} microseconds", f"{micros(slide)} microseconds"))
+    rows = with_windows(tx, longest, micros(slide), key, time)
 
     def count(tally: Tally) -> Column:
         matches = _matches(tally.where)
@@ -200,8 +216,7 @@ def sliding_amounts(
     length_us, slide_us = micros(length), micros(slide)
     _check(length_us, slide_us)
     if tx.isStreaming:
-        rows = tx.where(F.col(time).isNotNull()).withColumn(
-            "_w", F.window(time, f"{length_us} microseconds", f"{slide_us} microseconds"))
+        rows = with_windows(tx, length_us, slide_us, key, time)
         return rows.groupBy(key, "_w").agg(
             F.avg(amount).alias("avg_amount"),
             F.stddev(amount).alias("stddev_amount"),

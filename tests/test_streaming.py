@@ -7,7 +7,7 @@ import struct
 import pytest
 from pyspark.sql import functions as F
 
-from cardpulse.operators import conform, features, store
+from cardpulse.operators import conform, features, store, windows
 from cardpulse.plans import adapter
 from cardpulse.plans.scored import alert_messages, decide_requests
 from cardpulse.schema import ONLINE_VIEWS, TRANSACTION_FEATURES, USER_FEATURES
@@ -88,6 +88,24 @@ def test_stream_equals_batch_on_closed_windows(spark, tx, source, tmp_path, name
     assert diff(comparable(streamed), comparable(compute(tx, **options).where(closed))) == (0, 0)
 
 
+@pytest.mark.parametrize("name", [n for n in CLOSED if n != "failed_attempts"])
+def test_stream_rows_are_dealt_out_before_they_are_copied(spark, tx, source, name):
+    """The task that reads a file must not fold the windows of all its users: its table grows with the file."""
+    compute, options = CLOSED[name]
+    stream = compute(conform.with_watermark(file_stream(spark, source, tx.schema)), **options)
+    plan = stream._jdf.queryExecution().analyzed().toString()
+    dealt, copied = plan.find("RepartitionByExpression [user_id"), plan.find("Expand [")
+    assert 0 <= copied < dealt  # a plan is printed from its end to its sources
+
+
+def test_one_busy_user_of_a_stream_is_dealt_to_several_tasks(spark, tmp_path):
+    rows = spark.range(0, 4000, 1, 16).selectExpr(
+        "'hot' as user_id", "timestamp_seconds(1700000000 + id % 600) as event_time", "id")
+    dealt = windows.with_windows(rows, 600_000_000, 60_000_000, "user_id", "event_time")
+    assert dealt.count() == 40_000
+    assert dealt.select(F.spark_partition_id()).distinct().count() > 1
+
+
 def test_tumbling_stream(spark, tx, source, tmp_path):
     stream = streams.tumbling_input(file_stream(spark, source, tx.schema))
     streamed = run(features.tumbling_velocity(stream), tmp_path, "f07")
