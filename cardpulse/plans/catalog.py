@@ -60,6 +60,12 @@ def _user_features(spark: SparkSession, sf_dir: str, current_only: bool = False)
     return tables.backfill_user_features(tx, _amounts(tx), features.device_change(tx), current_only)
 
 
+def _stored(df: DataFrame, path: str) -> DataFrame:
+    """The rows of ``df``, computed once and read from ``path`` from then on."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _tx_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.build_transaction_features(
         features.country_mismatch(transactions(spark, sf_dir), _profiles(spark, sf_dir)))
@@ -462,7 +468,9 @@ def stream_scoring(spark, sf_dir):
     path = streams.shared_folder(spark, "stream-scoring")
     requests = transactions(spark, sf_dir).select("transaction_id", "user_id", "event_time")
     users, tx = f"{path}/users", f"{path}/transactions"
-    user_rows, tx_rows = _user_features(spark, sf_dir), _tx_features(spark, sf_dir)
+    # Computed once for both deliveries; ``write_online`` would drop rows that are nobody's current ones only afterwards.
+    user_rows = _stored(_user_features(spark, sf_dir, current_only=True), f"{path}/user_rows")
+    tx_rows = _tx_features(spark, sf_dir)
     earlier = "event_timestamp <= timestamp'2024-01-01 01:00:00'"
     query = None
     for batch, part in enumerate((earlier, f"not {earlier}")):

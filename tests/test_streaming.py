@@ -114,6 +114,27 @@ def test_tumbling_stream(spark, tx, source, tmp_path):
     assert diff(streamed, features.tumbling_velocity(tx).where(closed)) == (0, 0)
 
 
+def test_scored_features_are_computed_once(spark, monkeypatch):
+    """Both deliveries of the running scorer take the users' rows from one computation of current rows."""
+    from cardpulse.plans import catalog
+
+    written, computed = [], catalog._user_features
+
+    def counting(spark, sf_dir, current_only=False):
+        written.append(current_only)
+        return computed(spark, sf_dir, current_only).withColumn("_at", F.lit(0)).drop("_at")
+
+    stored = []
+    monkeypatch.setattr(catalog, "_user_features", counting)
+    write = catalog.store.write_online
+    monkeypatch.setattr(catalog.store, "write_online", lambda df, view, *a, **b: (
+        stored.append((view.name, "Window" in df._jdf.queryExecution().optimizedPlan().toString())), write(df, view, *a, **b)))
+    assert catalog.QUERIES["stream_scoring"](spark, "/root/testdata/sf0.001").count() == 1000
+    assert written == [True]
+    users = [planned for name, planned in stored if name == USER_FEATURES.name]
+    assert users == [False, False]
+
+
 def test_mismatch_stream(spark, tx, source, tmp_path):
     profiles = streams_profiles(spark)
     streamed = run(features.country_mismatch(file_stream(spark, source, tx.schema), profiles), tmp_path, "f03")
