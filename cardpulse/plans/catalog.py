@@ -291,6 +291,7 @@ def stream_velocity_online(spark, sf_dir):
     path = streams.shared_folder(spark, "stream-velocity")
     streams.start_feature(
         "f04", tx, f"{path}/online", f"{path}/checkpoints", trigger={"availableNow": True}, written_at=AS_OF,
+        partitions=streams.partitions_for(adapter.table(spark, sf_dir, "events").count(), spark),
     ).awaitTermination()
     view = ONLINE_VIEWS["velocity"]
     live = store.read_online(spark, view, f"{path}/online", "2024-01-01 02:04:59")

@@ -169,6 +169,15 @@ def _writer(df: DataFrame, mode: str, checkpoint: str, trigger: dict | None) ->
     return writer.trigger(**trigger) if trigger else writer
 
 
+# Rows of a micro-batch for one task of an aggregation over window copies.
+ROWS_PER_TASK = 100_000
+
+
+def partitions_for(rows: int, spark: SparkSession) -> int:
+    """Tasks for micro-batches of up to ``rows`` rows; no fewer than the session's shuffle partitions."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // ROWS_PER_TASK))
+
+
 def start_feature(
     name: str,
     tx: DataFrame,
@@ -178,18 +187,27 @@ def start_feature(
     trigger: dict | None = None,
     written_at=None,
     files: int | None = None,
+    partitions: int | None = None,
 ):
     """Run one feature of :data:`FEATURE_QUERIES` into its online table; returns the running query.
 
     Each query has its own checkpoint below ``checkpoint_root``. Batches are written by the executors, in ``files``
-    files each if given.
+    files each if given. ``partitions`` is the number of tasks that aggregate a batch and keep the state (the session's
+    shuffle partitions unless given); a checkpoint holds on to the number it was made with.
     """
     query = FEATURE_QUERIES[name]
+    spark, setting = tx.sparkSession, "spark.sql.shuffle.partitions"
+    before = spark.conf.get(setting)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         write_online(batch, query.view, online_path, batch_id, written_at, query.slide, files)
 
-    return _writer(query.run(tx, profiles), query.mode, f"{checkpoint_root.rstrip('/')}/{name}", trigger).foreachBatch(write).start()
+    spark.conf.set(setting, partitions or before)  # a query takes the session's settings as they are at its start
+    try:
+        writer = _writer(query.run(tx, profiles), query.mode, f"{checkpoint_root.rstrip('/')}/{name}", trigger)
+        return writer.foreachBatch(write).start()
+    finally:
+        spark.conf.set(setting, before)
 
 
 def start_push(

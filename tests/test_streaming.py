@@ -98,6 +98,17 @@ def test_stream_rows_are_dealt_out_before_they_are_copied(spark, tx, source, nam
     assert 0 <= copied < dealt  # a plan is printed from its end to its sources
 
 
+def test_state_is_kept_in_as_many_parts_as_asked_for(spark, tx, source, tmp_path):
+    """A batch larger than the session's partitions are made for gets more tasks; the session keeps its setting."""
+    assert [streams.partitions_for(n, spark) for n in (0, 800_000, 1_000_001)] == [8, 8, 11]
+    streams.start_feature(
+        "f04", conform.with_watermark(file_stream(spark, source, tx.schema, 4)), str(tmp_path / "on"), str(tmp_path / "cp"),
+        trigger=ONCE, written_at=at(0), partitions=11).awaitTermination()
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+    parts = [n for n in os.listdir(tmp_path / "cp" / "f04" / "state" / "0") if n.isdigit()]
+    assert sorted(map(int, parts)) == list(range(11))
+
+
 def test_one_busy_user_of_a_stream_is_dealt_to_several_tasks(spark, tmp_path):
     rows = spark.range(0, 4000, 1, 16).selectExpr(
         "'hot' as user_id", "timestamp_seconds(1700000000 + id % 600) as event_time", "id")
