@@ -175,6 +175,29 @@ def test_digests_are_compared_by_bytes(spark, strings):
         assert [r.key for r in suffix_dedup._same_bytes(grouped, ["key"]).collect()] == [1]
 
 
+@pytest.mark.parametrize("most", [0, 10_000])
+def test_repeats_of_hot_keys(spark, most):
+    """Periodic texts, whose strings share few keys, and a passage between other bytes; keys of over 5 rows are hot."""
+    rnd = random.Random(7)
+    other = lambda n: "".join(rnd.choice("abcdefgh") for _ in range(n))
+    passage = other(60)
+    docs = [(i, other(rnd.randint(0, 30)) + "ab" * rnd.randint(20, 60) + other(rnd.randint(0, 30))) for i in range(15)]
+    docs += [(100 + i, other(rnd.randint(0, 40)) + passage + other(rnd.randint(0, 40))) for i in range(30)] + docs[:2]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(5)
+    got = sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept))
+                  for r in suffix_dedup.remove_repeats(df, 40, 10, most_in_task=most, hot_rows=5).collect()), key=str)
+    assert got == removed_by_brute_force([(i, t.encode()) for i, t in docs], 40)
+
+
+def test_rows_of_a_hot_key_do_not_meet_in_one_task(spark):
+    rows = spark.range(40_000).select(F.when(F.col("id") % 10 < 8, 1).otherwise(F.col("id")).alias("key"), "id").repartition(8)
+    counted = spark.createDataFrame([(1, 32_000), (8, 2), (19, 3)], "key bigint, n bigint")
+    got = suffix_dedup._rows_of(rows, counted, ["key"], 1_000)
+    assert sorted(r.id for r in got.collect()) == sorted({8, 19} | {i for i in range(40_000) if i % 10 < 8})
+    tasks = got.where("key = 1").groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in tasks) == 32_000 and max(r["count"] for r in tasks) < 6_000
+
+
 def test_neighbours_recall(spark):
     rows = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
     found = {}
